@@ -39,7 +39,8 @@ def with_best(rows: DataFrame, vocabulary: DataFrame, best: Callable[[Column], C
     if size is None:
         size = vocabulary.limit(limit + 1).count()
     if size <= limit:
-        return rows.withColumn("best", best(vocabulary.agg(_packed(vocabulary)).scalar()))
+        carried = rows.withColumn("_candidates", vocabulary.agg(_packed(vocabulary)).scalar())
+        return carried.withColumn("best", best(F.col("_candidates"))).drop("_candidates")
     blocks = -(-vocabulary.count() // limit)
     packed = (
         vocabulary.withColumn("_block", F.pmod(F.xxhash64("term"), F.lit(blocks)))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,9 +21,3 @@ def local_session(cores: int | str | None = None, name: str = "noteloom") -> Spa
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def stage_folder(spark: SparkSession) -> str:
-    """Shared folder for tables that cut lineage: the cluster's checkpoint folder, or a temporary
-    one where none is set (local runs)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="noteloom-")

@@ -12,7 +12,7 @@ _OPTIONS = {
     "allowSingleQuotes": "true",
     "allowBackslashEscapingAnyCharacter": "true",
     "allowUnquotedControlChars": "true",
-    "mode": "FAILFAST",
+    "mode": "PERMISSIVE",
 }
 # a quoted string, a quote without an end, or the text between strings
 _TOKEN = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|['"]|[^'"]+"""
@@ -36,11 +36,9 @@ def literal_to_json(text: Column) -> Column:
 def parse_literal(text: Column, schema: str) -> Column:
     """The list in ``text``; a list cut off before its closing bracket is repaired, and what still
     cannot be read is empty."""
-    options = {**_OPTIONS, "mode": "PERMISSIVE"}
-
     def read(json: Column) -> Column:
         # a list must be closed: the reader alone would also take the readable part of a broken one
-        whole = F.when(json.rlike(r"(?s)^\s*\[.*\]\s*$"), F.from_json(json, schema, options))
+        whole = F.when(json.rlike(r"(?s)^\s*\[.*\]\s*$"), F.from_json(json, schema, _OPTIONS))
         return F.when(F.size(whole) >= 0, whole)
 
     def parsed(json: Column) -> Column:
