@@ -1,208 +1,107 @@
 """Row-local span arithmetic: where patterns match, how spans merge, how they are replaced.
 
-A span is ``struct<start, neg_len, rank, end>`` with code-point offsets (end exclusive).
+A span is ``struct<start, neg_len, rank, stop>`` with code-point offsets (stop exclusive).
 The field order makes the natural struct order the one merging needs: first start, then
 the longest, then the pattern order.  Nothing here shuffles or leaves the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from noteloom.functions.text import all_matches, gaps, let, lits
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+NO_SPANS = "cast(array() AS array<struct<start:int,neg_len:int,rank:int,stop:int>>)"
 
-from noteloom.functions.text import all_matches, gaps
 
-SPANS = "array<struct<start:int,neg_len:int,rank:int,end:int>>"
+def span(start: str, stop: str, rank: str) -> str:
+    return f"named_struct('start', {start}, 'neg_len', {start} - ({stop}), 'rank', {rank}, 'stop', {stop})"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` to a variable of ``body``: evaluated once per row however often it is used,
-    and the expression stays small when the optimizer moves it through projections."""
-    return F.get(F.transform(F.array(value), body), 0)
+def slice_text(text: str, start: str, stop: str) -> str:
+    return f"substring({text}, {start} + 1, {stop} - {start})"
 
 
-def span(start: Column, end: Column, rank: Column) -> Column:
-    return F.struct(
-        start.cast("int").alias("start"),
-        (start - end).cast("int").alias("neg_len"),
-        rank.cast("int").alias("rank"),
-        end.cast("int").alias("end"),
-    )
-
-
-def no_spans() -> Column:
-    return F.array().cast(SPANS)
-
-
-def pattern_spans(text: Column, pattern: str, rank: int, ignore_case: bool = False) -> Column:
+def pattern_spans(text: str, pattern: str, rank: int, ignore_case: bool = False) -> str:
     """Spans of one pattern, from its matches and the lengths of the gaps between them."""
-
-    def located(matches: Column) -> Column:
-        steps = F.zip_with(
-            F.slice(gaps(text, pattern, ignore_case), 1, F.size(matches)),
-            matches,
-            lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("len")),
-        )
-        return F.aggregate(
-            steps,
-            F.struct(F.lit(0).alias("pos"), no_spans().alias("out")),
-            lambda acc, s: F.struct(
-                (acc.pos + s.gap + s.len).alias("pos"),
-                F.array_append(acc.out, span(acc.pos + s.gap, acc.pos + s.gap + s.len, F.lit(rank))).alias("out"),
-            ),
-            lambda acc: acc.out,
-        )
-
-    return let(
-        all_matches(text, pattern, ignore_case),
-        lambda m: F.when(F.size(m) > 0, located(m)).otherwise(no_spans()),
-    )
-
-
-def merge_overlapping(spans: Column) -> Column:
+    start = "ps_a.pos + ps_s.gap"
+    located = f"""aggregate(
+      zip_with(slice({gaps(text, pattern, ignore_case)}, 1, size(ps_m)), ps_m,
+        (ps_g, ps_x) -> named_struct('gap', length(ps_g), 'len', length(ps_x))),
+      named_struct('pos', 0, 'out', {NO_SPANS}),
+      (ps_a, ps_s) -> named_struct('pos', {start} + ps_s.len,
+        'out', array_append(ps_a.out, {span(start, f'{start} + ps_s.len', str(rank))})),
+      ps_a -> ps_a.out)"""
+    return let("ps_m", all_matches(text, pattern, ignore_case), f"if(size(ps_m) = 0, {NO_SPANS}, {located})")
+
+
+def merge_overlapping(spans: str) -> str:
     """Union of each cluster of overlapping spans, ranked as the cluster's first span."""
-
-    def merged(ordered: Column) -> Column:
-        return F.aggregate(
-            F.slice(ordered, 2, F.size(ordered) - 1),
-            F.struct(no_spans().alias("done"), F.get(ordered, 0).alias("last")),
-            lambda acc, s: F.when(
-                s.start < acc["last"].end,
-                F.struct(
-                    acc.done.alias("done"),
-                    span(acc["last"].start, F.greatest(acc["last"].end, s.end), acc["last"].rank).alias("last"),
-                ),
-            ).otherwise(F.struct(F.array_append(acc.done, acc["last"]).alias("done"), s.alias("last"))),
-            lambda acc: F.array_append(acc.done, acc["last"]),
-        )
-
-    return let(F.array_sort(spans), lambda o: F.when(F.size(o) > 1, merged(o)).otherwise(o))
-
-
-def drop_overlapping(spans: Column) -> Column:
+    union = span("mo_a.cur.start", "greatest(mo_a.cur.stop, mo_s.stop)", "mo_a.cur.rank")
+    merged = f"""aggregate(
+      slice(mo_o, 2, size(mo_o) - 1),
+      named_struct('done', {NO_SPANS}, 'cur', mo_o[0]),
+      (mo_a, mo_s) -> if(mo_s.start < mo_a.cur.stop,
+        named_struct('done', mo_a.done, 'cur', {union}),
+        named_struct('done', array_append(mo_a.done, mo_a.cur), 'cur', mo_s)),
+      mo_a -> array_append(mo_a.done, mo_a.cur))"""
+    return let("mo_o", f"array_sort({spans})", f"if(size(mo_o) <= 1, mo_o, {merged})")
+
+
+def drop_overlapping(spans: str) -> str:
     """Of overlapping spans the first (then longest, then lowest rank) stays."""
+    kept = f"""aggregate(
+      do_o,
+      named_struct('pos', 0, 'out', {NO_SPANS}),
+      (do_a, do_s) -> if(do_s.start < do_a.pos, do_a,
+        named_struct('pos', do_s.stop, 'out', array_append(do_a.out, do_s))),
+      do_a -> do_a.out)"""
+    return let("do_o", f"array_sort({spans})", f"if(size(do_o) <= 1, do_o, {kept})")
 
-    def kept(ordered: Column) -> Column:
-        return F.aggregate(
-            ordered,
-            F.struct(F.lit(0).alias("pos"), no_spans().alias("out")),
-            lambda acc, s: F.when(s.start < acc.pos, acc).otherwise(
-                F.struct(s.end.alias("pos"), F.array_append(acc.out, s).alias("out"))
-            ),
-            lambda acc: acc.out,
-        )
 
-    return let(F.array_sort(spans), lambda o: F.when(F.size(o) > 1, kept(o)).otherwise(o))
-
-
-def slice_text(text: Column, start: Column, end: Column) -> Column:
-    return F.substring(text, start + 1, end - start)
-
-
-def in_numbering_order(text: Column, spans: Column, types: list[str], by_rank: bool) -> Column:
+def in_numbering_order(text: str, spans: str, types: list[str], by_rank: bool) -> str:
     """Spans with their text and type, in the order of first appearance used for numbering.
 
     ``by_rank`` numbers pattern by pattern; otherwise spans are numbered from left to right.
     """
-    names = F.array(*map(F.lit, types))
-    return F.array_sort(
-        F.transform(
-            spans,
-            lambda s: F.struct(
-                (s.rank if by_rank else F.lit(0)).alias("turn"),
-                s.start.alias("start"),
-                s.end.alias("end"),
-                s.rank.alias("rank"),
-                F.get(names, s.rank).alias("type"),
-                slice_text(text, s.start, s.end).alias("text"),
-            ),
-        )
-    )
+    return f"""array_sort(transform({spans}, no_s -> named_struct(
+      'turn', {'no_s.rank' if by_rank else '0'}, 'start', no_s.start, 'stop', no_s.stop, 'rank', no_s.rank,
+      'type', get(array({lits(types)}), no_s.rank), 'text', {slice_text(text, 'no_s.start', 'no_s.stop')})))"""
 
 
-def placeholders(ordered: Column) -> Column:
+def placeholders(ordered: str) -> str:
     """``array<struct<text, name>>``: one ``[TYPE_n]`` per distinct text, n counting within the type.
 
     A text found under two types keeps the type it had first.
     """
-    texts = ordered["text"]
-    first = F.filter(ordered, lambda s, i: F.array_position(texts, s["text"]) == i + 1)
-    by_type = F.array_sort(
-        F.transform(
-            first,
-            lambda s, i: F.struct(
-                s["rank"].alias("rank"), i.alias("seen"), s["type"].alias("type"), s["text"].alias("text")
-            ),
-        )
-    )
-
-    def named(values: Column) -> Column:
-        return let(
-            values["rank"],
-            lambda ranks: F.transform(
-                values,
-                lambda v, i: F.struct(
-                    v["text"].alias("text"),
-                    F.concat(
-                        F.lit("["), v["type"], F.lit("_"),
-                        (i + 2 - F.array_position(ranks, v["rank"])).cast("string"), F.lit("]"),
-                    ).alias("name"),
-                ),
-            ),
-        )
-
-    return let(by_type, named)
-
-
-def with_placeholders(ordered: Column) -> Column:
-    """Entities ``struct<text, type, start, end, placeholder>`` in numbering order."""
+    by_type = f"""array_sort(transform(
+      filter({ordered}, (ph_s, ph_i) -> array_position(ph_t, ph_s.text) = ph_i + 1),
+      (ph_s, ph_i) -> named_struct('rank', ph_s.rank, 'seen', ph_i, 'type', ph_s.type, 'text', ph_s.text)))"""
+    named = """transform(ph_v, (ph_x, ph_n) -> named_struct('text', ph_x.text,
+      'name', concat('[', ph_x.type, '_', cast(ph_n + 2 - array_position(ph_r, ph_x.rank) AS string), ']')))"""
+    return let("ph_t", f"{ordered}.text", let("ph_v", by_type, let("ph_r", "ph_v.rank", named)))
 
-    def labelled(names: Column) -> Column:
-        return F.transform(
-            ordered,
-            lambda s: F.struct(
-                s["text"].alias("text"),
-                s["type"].alias("type"),
-                s["start"].alias("start"),
-                s["end"].alias("end"),
-                F.get(names["name"], (F.array_position(names["text"], s["text"]) - 1).cast("int")).alias("placeholder"),
-            ),
-        )
 
-    return let(placeholders(ordered), labelled)
+def with_placeholders(ordered: str) -> str:
+    """Entities ``struct<text, type, start, end, placeholder>`` in numbering order."""
+    labelled = f"""transform({ordered}, wp_s -> named_struct('text', wp_s.text, 'type', wp_s.type,
+      'start', wp_s.start, 'end', wp_s.stop,
+      'placeholder', get(wp_n, cast(array_position(wp_t, wp_s.text) - 1 AS int))))"""
+    return let("wp_p", placeholders(ordered), let("wp_t", "wp_p.text", let("wp_n", "wp_p.name", labelled)))
 
 
-def replace_spans(text: Column, entities: Column) -> Column:
+def replace_spans(text: str, entities: str) -> str:
     """``text`` with each of the disjoint ``entities`` replaced by its placeholder."""
-    by_position = F.array_sort(
-        F.transform(
-            entities,
-            lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["placeholder"].alias("name")),
-        )
-    )
-
-    def pieces(placed: Column) -> Column:
-        before = F.transform(
-            placed,
-            lambda r, i: F.concat(
-                slice_text(text, F.coalesce(F.get(placed, i - 1)["end"], F.lit(0)), r["start"]), r["name"]
-            ),
-        )
-        rest = F.substring(text, F.get(placed, F.size(placed) - 1)["end"] + 1, F.length(text))
-        return F.concat(F.array_join(before, ""), rest)
+    by_position = f"""array_sort(transform({entities}, rs_e ->
+      named_struct('start', rs_e.start, 'stop', rs_e.`end`, 'name', rs_e.placeholder)))"""
+    before = slice_text(text, "coalesce(get(rs_p, rs_i - 1).stop, 0)", "rs_x.start")
+    pieces = f"""concat(
+      array_join(transform(rs_p, (rs_x, rs_i) -> concat({before}, rs_x.name)), ''),
+      substring({text}, get(rs_p, size(rs_p) - 1).stop + 1, length({text})))"""
+    return f"if(size({entities}) = 0, {text}, {let('rs_p', by_position, pieces)})"
 
-    return F.when(F.size(entities) > 0, let(by_position, pieces)).otherwise(text)
 
-
-def redaction(text: Column, spans: Column, types: list[str], by_rank: bool) -> Column:
+def redaction(text: str, spans: str, types: list[str], by_rank: bool) -> str:
     """``struct<redacted_text, entities>`` for disjoint ``spans`` of ``text``."""
-
-    def replaced(entities: Column) -> Column:
-        return F.struct(replace_spans(text, entities).alias("redacted_text"), entities.alias("entities"))
-
+    replaced = f"named_struct('redacted_text', {replace_spans(text, 're_e')}, 'entities', re_e)"
     return let(
-        in_numbering_order(text, spans, types, by_rank),
-        lambda ordered: let(with_placeholders(ordered), replaced),
+        "re_o", in_numbering_order(text, spans, types, by_rank), let("re_e", with_placeholders("re_o"), replaced)
     )

@@ -1,73 +1,99 @@
-"""Regex and string helpers on Spark columns, with Unicode-aware meaning."""
+"""Regex and string helpers with Unicode-aware meaning.
+
+The functions of this package take and give Spark SQL expression text (``F.expr`` makes it a
+column).  Nested lambdas are long to build call by call from Python but parse at once as text.
+Lambda variables have names of their own in every function, so expressions nest safely.
+"""
 
 from __future__ import annotations
 
 import sys
 import unicodedata
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from noteloom.functions.patterns import ascii_regex, unicode_regex
 
-WHITESPACE = "".join(
-    c for c in map(chr, range(0x3001)) if c.isspace()
-)
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def lit(value) -> str:
+    """A Spark SQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"{value!r}D"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
 
+def lits(values) -> str:
+    return ", ".join(map(lit, values))
 
-def is_ascii(text: Column) -> Column:
-    return F.length(text) == F.octet_length(text)
 
+def col(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
 
-def _by_charset(text, pattern, ignore_case, build):
-    fast = build(F.lit(ascii_regex(pattern, ignore_case)))
-    exact = build(F.lit(unicode_regex(pattern, ignore_case)))
-    return F.when(is_ascii(text), fast).otherwise(exact)
 
+def let(var: str, value: str, body: str) -> str:
+    """Bind ``value`` to ``var`` in ``body``: evaluated once per row however often it is used, and
+    the expression stays small when the optimizer moves it through projections."""
+    return f"get(transform(array({value}), {var} -> {body}), 0)"
 
-def all_matches(text: Column, pattern: str, ignore_case: bool = False) -> Column:
+
+def _by_charset(text: str, pattern: str, ignore_case: bool, call: str) -> str:
+    fast = call.format(text, lit(ascii_regex(pattern, ignore_case)))
+    exact = call.format(text, lit(unicode_regex(pattern, ignore_case)))
+    return f"if(length({text}) = octet_length({text}), {fast}, {exact})"
+
+
+def all_matches(text: str, pattern: str, ignore_case: bool = False) -> str:
     """All non-overlapping matches from left to right (NULL text has none)."""
-    found = _by_charset(text, pattern, ignore_case, lambda p: F.regexp_extract_all(text, p, F.lit(0)))
-    return F.coalesce(found, F.array().cast("array<string>"))
+    found = _by_charset(text, pattern, ignore_case, "regexp_extract_all({}, {}, 0)")
+    return f"coalesce({found}, cast(array() AS array<string>))"
 
 
-def first_match(text: Column, pattern: str, ignore_case: bool = False) -> Column:
+def first_match(text: str, pattern: str, ignore_case: bool = False) -> str:
     """The leftmost match, NULL if there is none."""
-    return _by_charset(text, pattern, ignore_case, lambda p: F.regexp_substr(text, p))
+    return _by_charset(text, pattern, ignore_case, "regexp_substr({}, {})")
 
 
-def gaps(text: Column, pattern: str, ignore_case: bool = False) -> Column:
+def gaps(text: str, pattern: str, ignore_case: bool = False) -> str:
     """The text around the matches of ``pattern``: one piece more than there are matches."""
-    return _by_charset(text, pattern, ignore_case, lambda p: F.call_function("split", text, p, F.lit(-1)))
+    return _by_charset(text, pattern, ignore_case, "split({}, {}, -1)")
 
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+def strip(text: str) -> str:
+    return f"btrim({text}, {lit(WHITESPACE)})"
 
 
-def is_upper(text: Column) -> Column:
-    return (F.upper(text) == text) & (F.lower(text) != text)
+def is_upper(text: str) -> str:
+    return f"(upper({text}) = {text} AND lower({text}) <> {text})"
 
 
-def is_lower(text: Column) -> Column:
-    return (F.lower(text) == text) & (F.upper(text) != text)
+def is_lower(text: str) -> str:
+    return f"(lower({text}) = {text} AND upper({text}) <> {text})"
 
 
-def has_digit(text: Column) -> Column:
+def has_digit(text: str) -> str:
     """Decimal digits as well as raised, lowered and circled ones."""
-    return text.rlike("[\\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨]")
+    return f"({text} RLIKE {lit('[\\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨]')})"
 
 
-def _all_digits() -> tuple[str, str]:
+def _foreign_digits() -> tuple[str, str]:
     chars = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
     return "".join(chars), "".join(str(unicodedata.digit(c)) for c in chars)
 
 
-def to_number(digits: Column) -> Column:
+FOREIGN_DIGITS, PLAIN_DIGITS = _foreign_digits()
+
+
+def to_number(digits: str) -> str:
     """Decimal text to double; digits of any script count, other text gives NULL."""
-    foreign, plain = _all_digits()
-    return F.coalesce(digits.try_cast("double"), F.translate(digits, foreign, plain).try_cast("double"))
+    plain = f"translate({digits}, {lit(FOREIGN_DIGITS)}, {lit(PLAIN_DIGITS)})"
+    return f"coalesce(try_cast({digits} AS double), try_cast({plain} AS double))"
 
 
-def first_number(text: Column) -> Column:
-    return to_number(first_match(text, r"\d+\.?\d*"))
+def first_number(text: str) -> str:
+    return let("num_", first_match(text, r"\d+\.?\d*"), to_number("num_"))

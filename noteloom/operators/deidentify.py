@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions import spans as S
 from noteloom.functions.patterns import IDENTIFIER_PATTERNS
+from noteloom.functions.text import col, let, lits
 from noteloom.operators.entities import REDACTED_TYPES, keep_redactable, tagged_spans
 
 
-def identifier_spans(text: Column, patterns: dict[str, str]) -> Column:
+def identifier_spans(text: str, patterns: dict[str, str]) -> str:
     """Every match of every identifier pattern, unmerged."""
-    return F.concat(*[S.pattern_spans(text, p, i) for i, p in enumerate(patterns.values())])
+    return "concat(" + ", ".join(S.pattern_spans(text, p, i) for i, p in enumerate(patterns.values())) + ")"
 
 
-def structured_redaction(text: Column, patterns: dict[str, str] | None = None) -> Column:
+def structured_redaction(text: str, patterns: dict[str, str] | None = None) -> str:
     """``struct<redacted_text, entities>`` with structured identifiers replaced by ``[TYPE_n]``.
 
     Overlapping matches are replaced as one, so no part of any match survives.
@@ -25,29 +26,36 @@ def structured_redaction(text: Column, patterns: dict[str, str] | None = None) -
     return S.redaction(text, merged, list(patterns), by_rank=True)
 
 
-def entity_redaction(text: Column, tagged: Column) -> Column:
+def entity_redaction(text: str, tagged: str) -> str:
     """``struct<redacted_text, entities>`` with the redactable ones among ``tagged`` replaced."""
     return S.redaction(text, S.merge_overlapping(keep_redactable(tagged)), REDACTED_TYPES, by_rank=False)
 
 
+def full_redaction(text: str, gazetteer: dict | None = None, patterns: dict[str, str] | None = None) -> str:
+    """``struct<redacted_text, structured, named>``: structured identifiers first, then names in the rest."""
+    second = let("fr_t", "fr_1.redacted_text", entity_redaction("fr_t", tagged_spans("fr_t", gazetteer)))
+    result = "named_struct('redacted_text', fr_2.redacted_text, 'structured', fr_1.entities, 'named', fr_2.entities)"
+    return let("fr_1", structured_redaction(text, patterns), let("fr_2", second, result))
+
+
 def find_pii(notes: DataFrame, patterns: dict[str, str] | None = None, text: str = "raw_text", key: str = "record_id") -> DataFrame:
     """Long table of identifier matches with offsets, before any merging."""
     patterns = patterns or IDENTIFIER_PATTERNS
-    names = F.array(*map(F.lit, patterns))
+    spans = F.expr(identifier_spans(col(text), patterns))
     # the outer form keeps the optimizer from evaluating the array a second time in a filter
-    long = notes.select(key, text, F.explode_outer(identifier_spans(F.col(text), patterns)).alias("s"))
-    return long.filter("s IS NOT NULL").select(
+    long = notes.select(key, text, F.explode_outer(spans).alias("s")).filter("s IS NOT NULL")
+    return long.select(
         key,
-        F.get(names, F.col("s.rank")).alias("type"),
-        S.slice_text(F.col(text), F.col("s.start"), F.col("s.end")).alias("text"),
+        F.expr(f"get(array({lits(patterns)}), s.rank)").alias("type"),
+        F.expr(S.slice_text(col(text), "s.start", "s.stop")).alias("text"),
         F.col("s.start").alias("start"),
-        F.col("s.end").alias("end"),
+        F.col("s.stop").alias("end"),
     )
 
 
 def redact_structured(notes: DataFrame, patterns: dict[str, str] | None = None, text: str = "raw_text") -> DataFrame:
     """Add ``redacted_text`` and ``entities`` of :func:`structured_redaction`."""
-    done = notes.select("*", structured_redaction(F.col(text), patterns).alias("_r"))
+    done = notes.select("*", F.expr(structured_redaction(col(text), patterns)).alias("_r"))
     return done.select(*notes.columns, "_r.redacted_text", "_r.entities")
 
 
@@ -57,8 +65,8 @@ def redact_entities(notes: DataFrame, gazetteer: dict | None = None, text: str =
     Spans come from :func:`tagged_spans` or, if given, from column ``spans``
     (``array<struct<text, label, start, end>>`` on the same text).
     """
-    tagged = tagged_spans(F.col(text), gazetteer) if spans is None else F.col(spans)
-    done = notes.select("*", entity_redaction(F.col(text), tagged).alias("_r"))
+    tagged = tagged_spans(col(text), gazetteer) if spans is None else col(spans)
+    done = notes.select("*", F.expr(entity_redaction(col(text), tagged)).alias("_r"))
     return done.select(*notes.columns, "_r.redacted_text", "_r.entities")
 
 
@@ -68,14 +76,12 @@ def deidentify(notes: DataFrame, gazetteer: dict | None = None, patterns: dict[s
     Offsets of the first ``n_structured`` entities refer to the note, those of the others to
     the note with its structured identifiers replaced.
     """
-    first = notes.select("*", structured_redaction(F.col(text), patterns).alias("_first"))
-    half = F.col("_first.redacted_text")
-    both = first.select("*", entity_redaction(half, tagged_spans(half, gazetteer)).alias("_second"))
-    return both.select(
+    done = notes.select("*", F.expr(full_redaction(col(text), gazetteer, patterns)).alias("_r"))
+    return done.select(
         *notes.columns,
-        F.col("_second.redacted_text").alias("redacted_text"),
-        F.concat("_first.entities", "_second.entities").alias("entities"),
-        F.size("_first.entities").alias("n_structured"),
+        F.col("_r.redacted_text").alias("redacted_text"),
+        F.concat("_r.structured", "_r.named").alias("entities"),
+        F.size("_r.structured").alias("n_structured"),
     )
 
 

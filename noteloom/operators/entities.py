@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions import spans as S
-from noteloom.functions.text import has_digit, is_lower, is_upper, strip
+from noteloom.functions.text import col, has_digit, is_lower, is_upper, let, lit, lits, strip
 from noteloom.functions.vocabulary import GAZETTEER, STOPLIST
 from noteloom.operators.skew import heavy_keys, salted_join
 
@@ -37,41 +37,25 @@ def _cues(gazetteer: dict[str, list[str]]) -> list[tuple[str, str]]:
     return cues
 
 
-def _labelled(text: Column, spans: Column, labels: list[str]) -> Column:
-    names = F.array(*map(F.lit, labels))
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            S.slice_text(text, s.start, s.end).alias("text"),
-            F.get(names, s.rank).alias("label"),
-            s.start.alias("start"),
-            s.end.alias("end"),
-        ),
-    )
-
-
-def tagged_spans(text: Column, gazetteer: dict[str, list[str]] | None = None) -> Column:
+def tagged_spans(text: str, gazetteer: dict[str, list[str]] | None = None) -> str:
     """``array<struct<text, label, start, end>>`` of the entities in ``text``, without overlaps.
 
     A title followed by capitalised words is a PERSON, a day with a month a DATE, a gazetteer
     name what the gazetteer says.  Spans that touch a placeholder are not entities.
     """
     cues = _cues(GAZETTEER if gazetteer is None else gazetteer)
-    patterns = [p for _, p in cues] + [PLACEHOLDER]
-    each = [S.pattern_spans(text, p, i) for i, p in enumerate(patterns)]
-    free = S.let(
-        each[-1],
-        lambda blocked: F.filter(
-            F.concat(*each[:-1]),
-            lambda s: ~F.exists(blocked, lambda b: (s.start < b.end) & (b.start < s.end)),
-        ),
-    )
-    return _labelled(text, S.drop_overlapping(free), [label for label, _ in cues])
+    each = ", ".join(S.pattern_spans(text, p, i) for i, (_, p) in enumerate(cues))
+    free = f"""filter(concat({each}), tg_s ->
+      NOT exists(tg_b, tg_p -> tg_s.start < tg_p.stop AND tg_p.start < tg_s.stop))"""
+    kept = S.drop_overlapping(let("tg_b", S.pattern_spans(text, PLACEHOLDER, 0), free))
+    labels = lits(label for label, _ in cues)
+    return f"""transform({kept}, tg_x -> named_struct('text', {S.slice_text(text, 'tg_x.start', 'tg_x.stop')},
+      'label', get(array({labels}), tg_x.rank), 'start', tg_x.start, 'end', tg_x.stop))"""
 
 
 def tag_entities(notes: DataFrame, gazetteer: dict | None = None, text: str = "raw_text", key: str = "record_id") -> DataFrame:
     """Long span table ``(key, text, label, start, end)``; row-local, no shuffle."""
-    tagged = notes.select(key, F.explode_outer(tagged_spans(F.col(text), gazetteer)).alias("s"))
+    tagged = notes.select(key, F.explode_outer(F.expr(tagged_spans(col(text), gazetteer))).alias("s"))
     return tagged.filter("s IS NOT NULL").select(key, "s.text", "s.label", "s.start", "s.end")
 
 
@@ -82,16 +66,16 @@ def gazetteer_spans(notes: DataFrame, gazetteer: DataFrame, max_words: int = 4,
     shuffles by size; word runs that are very frequent are salted.
     """
     word = r"[\p{L}\p{N}_'’-]+"
-    words = notes.select(key, text, S.pattern_spans(F.col(text), word, 0).alias("_w"))
+    words = notes.select(key, text, F.expr(S.pattern_spans(col(text), word, 0)).alias("_w"))
     first = words.select(key, text, "_w", F.posexplode("_w").alias("i", "s"))
     runs = first.select(
         key, text, "s",
         F.explode(F.slice(F.col("_w"), F.col("i") + 1, F.lit(max_words))).alias("t"),
     ).select(
         key,
-        S.slice_text(F.col(text), F.col("s.start"), F.col("t.end")).alias("name"),
+        F.expr(S.slice_text(col(text), "s.start", "t.stop")).alias("name"),
         F.col("s.start").alias("start"),
-        F.col("t.end").alias("end"),
+        F.col("t.stop").alias("end"),
     )
     names = gazetteer.select("name", "label").distinct()
     hot = heavy_keys(runs.groupBy("name").count(), ["name"], "count")
@@ -99,59 +83,56 @@ def gazetteer_spans(notes: DataFrame, gazetteer: DataFrame, max_words: int = 4,
     return hits.select(key, F.col("name").alias("text"), "label", "start", "end")
 
 
+def wanted(text: str, label: str, labels: list[str] | None = None, stoplist: list[str] | None = None) -> str:
+    """The label is wanted and the trimmed text is not in the stoplist (case matters)."""
+    labels = ENTITY_LABELS if labels is None else labels
+    stoplist = STOPLIST if stoplist is None else stoplist
+    return f"({label} IN ({lits(labels)}) AND {strip(text)} NOT IN ({lits(stoplist)}))"
+
+
 def filter_entity_spans(spans: DataFrame, labels: list[str] | None = None, stoplist: list[str] | None = None) -> DataFrame:
-    """Keep spans of the wanted labels whose trimmed text is not in the stoplist (case matters)."""
-    return spans.filter(
-        F.col("label").isin(ENTITY_LABELS if labels is None else labels)
-        & ~strip(F.col("text")).isin(STOPLIST if stoplist is None else stoplist)
-    )
+    """Keep spans of the wanted labels whose trimmed text is not in the stoplist."""
+    return spans.filter(wanted("text", "label", labels, stoplist))
 
 
 def is_name_like(
-    text: Column,
-    label: Column,
+    text: str,
+    label: str,
     stoplist: list[str] | None = None,
     *,
     short_capitals: bool = True,
     single_character: bool = True,
     digits: bool = True,
     lower_case: bool = True,
-) -> Column:
+) -> str:
     """The filters against false names; each switch turns one of them off."""
     clean = strip(text)
-    ok = ~clean.isin(STOPLIST if stoplist is None else stoplist)
+    tests = [f"{clean} NOT IN ({lits(STOPLIST if stoplist is None else stoplist)})"]
     if short_capitals:
-        ok &= ~(is_upper(clean) & (F.length(clean) <= 5))
+        tests.append(f"NOT ({is_upper(clean)} AND length({clean}) <= 5)")
     if single_character:
-        ok &= F.length(clean) > 1
+        tests.append(f"length({clean}) > 1")
     if digits:
-        ok &= ~has_digit(clean)
+        tests.append(f"NOT {has_digit(clean)}")
     if lower_case:
-        ok &= ~(is_lower(clean) & label.isin("PERSON", "ORG"))
-    return ok
+        tests.append(f"NOT ({is_lower(clean)} AND {label} IN ('PERSON', 'ORG'))")
+    return "(" + " AND ".join(tests) + ")"
 
 
-def redacted_type(label: Column) -> Column:
+def redacted_type(label: str) -> str:
     """PERSON, ORG or LOCATION; NULL for labels that are not redacted."""
-    out = None
-    for name, kind in LABEL_TO_TYPE.items():
-        out = F.when(label == name, kind) if out is None else out.when(label == name, kind)
-    return out
+    return f"CASE {label} " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in LABEL_TO_TYPE.items()) + " END"
 
 
 def filter_spans_smart(spans: DataFrame, stoplist: list[str] | None = None, **switches: bool) -> DataFrame:
     """Spans that will be redacted, with the ``type`` they are redacted as."""
-    typed = spans.withColumn("type", redacted_type(F.col("label")))
-    return typed.filter(F.col("type").isNotNull() & is_name_like(F.col("text"), F.col("label"), stoplist, **switches))
+    typed = spans.withColumn("type", F.expr(redacted_type("label")))
+    return typed.filter(F.col("type").isNotNull()).filter(is_name_like("text", "label", stoplist, **switches))
 
 
-def keep_redactable(tagged: Column, stoplist: list[str] | None = None) -> Column:
+def keep_redactable(tagged: str, stoplist: list[str] | None = None) -> str:
     """The redactable ones among ``tagged`` as spans ranked by their type."""
-    types = F.array(*map(F.lit, REDACTED_TYPES))
-    kept = F.filter(
-        tagged, lambda s: redacted_type(s["label"]).isNotNull() & is_name_like(s["text"], s["label"], stoplist)
-    )
-    return F.transform(
-        kept,
-        lambda s: S.span(s["start"], s["end"], F.array_position(types, redacted_type(s["label"])) - 1),
-    )
+    kept = f"""filter({tagged}, kr_s -> {redacted_type('kr_s.label')} IS NOT NULL
+      AND {is_name_like('kr_s.text', 'kr_s.label', stoplist)})"""
+    rank = f"cast(array_position(array({lits(REDACTED_TYPES)}), {redacted_type('kr_x.label')}) - 1 AS int)"
+    return f"transform({kept}, kr_x -> {S.span('kr_x.start', 'kr_x.`end`', rank)})"

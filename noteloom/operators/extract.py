@@ -2,35 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions.patterns import CLINICAL_PATTERNS
-from noteloom.functions.text import all_matches, first_match
-from noteloom.operators.entities import ENTITY_LABELS, tagged_spans
-from noteloom.functions.text import strip
-from noteloom.functions.vocabulary import STOPLIST
+from noteloom.functions.text import all_matches, col, first_match, lit, lits
+from noteloom.operators.entities import tagged_spans, wanted
 
-PATTERN_ITEMS = "array<struct<pattern:string,ord:int,raw:string>>"
 
-
-def pattern_items(text: Column, patterns: dict[str, str] | None = None) -> Column:
+def pattern_items(text: str, patterns: dict[str, str] | None = None) -> str:
     """``array<struct<pattern, ord, raw>>`` of all matches, ordered by pattern and position."""
     patterns = CLINICAL_PATTERNS if patterns is None else patterns
-
-    def items(name: str, pattern: str) -> Column:
-        return F.transform(
-            all_matches(text, pattern, ignore_case=True),
-            lambda m, i: F.struct(F.lit(name).alias("pattern"), i.alias("ord"), m.alias("raw")),
-        )
-
-    return F.concat(*[items(n, p) for n, p in patterns.items()])
+    items = [
+        f"transform({all_matches(text, p, ignore_case=True)}, (pi_m, pi_i) -> "
+        f"named_struct('pattern', {lit(name)}, 'ord', pi_i, 'raw', pi_m))"
+        for name, p in patterns.items()
+    ]
+    return f"concat({', '.join(items)})"
 
 
 def extract_patterns(notes: DataFrame, patterns: dict[str, str] | None = None, text: str = "raw_text", key: str = "record_id") -> DataFrame:
     """Long table ``(key, pattern, ord, raw)``; a pattern without a match has no row."""
-    long = notes.select(key, F.explode_outer(pattern_items(F.col(text), patterns)).alias("i"))
-    return long.filter("i IS NOT NULL").select(key, "i.pattern", "i.ord", "i.raw")
+    items = F.expr(pattern_items(col(text), patterns))
+    # the outer form keeps the optimizer from matching a second time in a filter
+    long = notes.select(key, F.explode_outer(items).alias("i")).filter("i IS NOT NULL")
+    return long.select(key, "i.pattern", "i.ord", "i.raw")
 
 
 def extract_one(notes: DataFrame, pattern: str, text: str = "raw_text", key: str = "record_id") -> DataFrame:
@@ -38,35 +34,21 @@ def extract_one(notes: DataFrame, pattern: str, text: str = "raw_text", key: str
     return extract_patterns(notes, {pattern: CLINICAL_PATTERNS[pattern]}, text, key)
 
 
-def pattern_map(text: Column, patterns: dict[str, str] | None = None) -> Column:
+def pattern_map(text: str, patterns: dict[str, str] | None = None) -> str:
     """``map<pattern, array<raw>>`` holding only the patterns that matched."""
     patterns = CLINICAL_PATTERNS if patterns is None else patterns
-    full = F.map_from_arrays(
-        F.array(*map(F.lit, patterns)),
-        F.array(*[all_matches(text, p, ignore_case=True) for p in patterns.values()]),
-    )
-    return F.map_filter(full, lambda _, found: F.size(found) > 0)
+    lists = ", ".join(all_matches(text, p, ignore_case=True) for p in patterns.values())
+    return f"map_filter(map_from_arrays(array({lits(patterns)}), array({lists})), (pm_k, pm_v) -> size(pm_v) > 0)"
 
 
-def first_of(text: Column, pattern: str) -> Column:
+def first_of(text: str, pattern: str) -> str:
     """First match of a clinical pattern, NULL if there is none."""
     return first_match(text, CLINICAL_PATTERNS[pattern], ignore_case=True)
 
 
-def kept_entities(text: Column, gazetteer: dict | None = None) -> Column:
-    """Tagged spans with a wanted label whose trimmed text is not in the stoplist."""
-    return F.filter(
-        tagged_spans(text, gazetteer),
-        lambda s: s["label"].isin(ENTITY_LABELS) & ~strip(s["text"]).isin(STOPLIST),
-    )
-
-
 def extract_all(notes: DataFrame, gazetteer: dict | None = None, text: str = "raw_text") -> DataFrame:
     """Add ``extracted``: ``struct<ner_entities, vet_patterns>``."""
+    entities = f"filter({tagged_spans(col(text), gazetteer)}, ea_s -> {wanted('ea_s.text', 'ea_s.label')})"
     return notes.withColumn(
-        "extracted",
-        F.struct(
-            kept_entities(F.col(text), gazetteer).alias("ner_entities"),
-            pattern_map(F.col(text)).alias("vet_patterns"),
-        ),
+        "extracted", F.expr(f"named_struct('ner_entities', {entities}, 'vet_patterns', {pattern_map(col(text))})")
     )

@@ -14,33 +14,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions import similarity as sim
-from noteloom.functions.spans import let
+from noteloom.functions.text import col, let, lit
 from noteloom.functions.vocabulary import terms_df
 from noteloom.operators.skew import SALTS
 
 VOCABULARY_LIMIT = 1000
 
 
-def best_of(candidates: Column, score: Callable[[Column], Column], cutoff: float) -> Column:
-    """``struct<score, neg_ord, term>`` of the best candidate; the first one wins ties, NULL below ``cutoff``."""
-    scored = F.transform(
-        candidates,
-        lambda c: F.struct(score(c).alias("score"), (-c["ord"]).alias("neg_ord"), c["term"].alias("term")),
-    )
-    return F.array_max(F.filter(scored, lambda s: s["score"] >= cutoff))
+def best_of(candidates: str, score: str, cutoff: float) -> str:
+    """``struct<score, neg_ord, term>`` of the best candidate; the first one wins ties, NULL below
+    ``cutoff``.  ``score`` is an expression of the candidate ``cand``."""
+    scored = f"transform({candidates}, cand -> named_struct('score', {score}, 'neg_ord', -cand.ord, 'term', cand.term))"
+    return f"array_max(filter({scored}, bo_s -> bo_s.score >= {lit(float(cutoff))}))"
 
 
 def _packed(vocabulary: DataFrame) -> Column:
     return F.collect_list(F.struct(*vocabulary.columns))
 
 
-def with_best(rows: DataFrame, vocabulary: DataFrame, best: Callable[[Column], Column], row_id: str, size: int | None = None, limit: int = VOCABULARY_LIMIT) -> DataFrame:
+def with_best(rows: DataFrame, vocabulary: DataFrame, best: Callable[[str], str], row_id: str, size: int | None = None, limit: int = VOCABULARY_LIMIT) -> DataFrame:
     """Add ``best``: ``best(candidates)`` over the whole vocabulary.  ``row_id`` is unique in ``rows``."""
     if size is None:
         size = vocabulary.limit(limit + 1).count()
     if size <= limit:
         carried = rows.withColumn("_candidates", vocabulary.agg(_packed(vocabulary)).scalar())
-        return carried.withColumn("best", best(F.col("_candidates"))).drop("_candidates")
+        # as a generator, so that a later filter on the result cannot make it be computed twice
+        return carried.select(*rows.columns, F.explode_outer(F.expr(f"array({best('_candidates')})")).alias("best"))
     blocks = -(-vocabulary.count() // limit)
     packed = (
         vocabulary.withColumn("_block", F.pmod(F.xxhash64("term"), F.lit(blocks)))
@@ -51,7 +50,7 @@ def with_best(rows: DataFrame, vocabulary: DataFrame, best: Callable[[Column], C
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint")
     )
-    per_block = spread.join(packed, ["_block", "_salt"]).withColumn("best", best(F.col("_candidates")))
+    per_block = spread.join(packed, ["_block", "_salt"]).withColumn("best", F.expr(best("_candidates")))
     # scored once per block; a row keeps the best of all blocks
     top = per_block.groupBy(row_id).agg(F.max("best").alias("best"))
     return rows.join(top, row_id, "left")
@@ -59,37 +58,34 @@ def with_best(rows: DataFrame, vocabulary: DataFrame, best: Callable[[Column], C
 
 def prepared_terms(vocabulary: DataFrame) -> DataFrame:
     """``(term, ord, masks)`` from ``(term, ord)``."""
-    short = F.length("term") <= sim.WORD_BITS
-    return vocabulary.select("term", "ord", F.when(short, sim.char_masks(F.col("term"))).alias("masks"))
+    masks = f"if(length(term) <= {sim.WORD_BITS}, {sim.char_masks('term')}, NULL)"
+    return vocabulary.select("term", "ord", F.expr(masks).alias("masks"))
+
+
+def prepared_vectors(vocabulary: DataFrame) -> DataFrame:
+    """``(term, ord, vector, norm)`` from ``(term, ord, vector)``."""
+    return vocabulary.select("term", "ord", "vector", F.expr(sim.norm("vector")).alias("norm"))
 
 
-def fuzzy_best(term: Column, candidates: Column, cutoff: float, case_sensitive: bool = True, min_length: int = 4) -> Column:
+def fuzzy_best(term: str, candidates: str, cutoff: float, case_sensitive: bool = True, min_length: int = 4) -> str:
     """Best candidate by plain ratio; terms under ``min_length`` characters match nothing."""
-    fold = (lambda c: c) if case_sensitive else F.lower
-    near = F.filter(candidates, lambda c: sim.can_reach(fold(term), fold(c["term"]), F.lit(float(cutoff))))
-    found = let(near, lambda kept: best_of(
-        kept, lambda c: sim.ratio(fold(term), fold(c["term"]), cutoff, c["masks"] if case_sensitive else None), cutoff
-    ))
-    return F.when(F.length(term) >= min_length, found)
+    one, other = (term, "cand.term") if case_sensitive else (f"lower({term})", "lower(cand.term)")
+    limit = lit(float(cutoff))
+    near = f"filter({candidates}, cand -> {sim.can_reach(one, other, limit)})"
+    score = sim.ratio(one, other, limit, "cand.masks" if case_sensitive else None)
+    return f"if(length({term}) >= {min_length}, {let('fb_n', near, best_of('fb_n', score, cutoff))}, NULL)"
 
 
-def weighted_best(term: Column, candidates: Column, cutoff: float, min_length: int = 4) -> Column:
+def weighted_best(term: str, candidates: str, cutoff: float, min_length: int = 4) -> str:
     """Best candidate by weighted ratio."""
-    found = best_of(candidates, lambda c: sim.weighted_ratio(term, c["term"], cutoff), cutoff)
-    return F.when(F.length(term) >= min_length, found)
+    found = best_of(candidates, sim.weighted_ratio(term, "cand.term", cutoff), cutoff)
+    return f"if(length({term}) >= {min_length}, {found}, NULL)"
 
 
-def vector_best(vector: Column, candidates: Column, cutoff: float) -> Column:
+def vector_best(vector: str, candidates: str, cutoff: float) -> str:
     """Best candidate by cosine; a zero vector is similar to nothing."""
-
-    def scored(length: Column) -> Column:
-        def cosine(c: Column) -> Column:
-            scale = length * c["norm"]
-            return F.when(scale > 0, sim.dot(vector, c["vector"]) / scale).otherwise(0.0)
-
-        return best_of(candidates, cosine, cutoff)
-
-    return let(sim.norm(vector), scored)
+    cosine = f"if(vb_l * cand.norm > 0, {sim.dot('vb_v', 'cand.vector')} / (vb_l * cand.norm), 0D)"
+    return let("vb_v", vector, let("vb_l", sim.norm("vb_v"), best_of(candidates, cosine, cutoff)))
 
 
 def _flat(rows: DataFrame, matched: str, score: str) -> DataFrame:
@@ -109,22 +105,22 @@ def _vocabulary(spark, vocabulary: list[str] | DataFrame) -> tuple[DataFrame, in
 def fuzzy_join(terms: DataFrame, vocabulary: list[str] | DataFrame, threshold: float = 85, case_sensitive: bool = True, term: str = "term", limit: int = VOCABULARY_LIMIT) -> DataFrame:
     """Add ``matched`` and ``score`` by plain ratio.  ``term`` is unique in ``terms``."""
     vocab, size = _vocabulary(terms.sparkSession, vocabulary)
-    best = lambda cands: fuzzy_best(F.col(term), cands, threshold, case_sensitive)
-    return _flat(with_best(terms, vocab, best, term, size, limit), "matched", "score")
+    found = with_best(terms, vocab, lambda c: fuzzy_best(col(term), c, threshold, case_sensitive), term, size, limit)
+    return _flat(found, "matched", "score")
 
 
 def weighted_fuzzy_join(terms: DataFrame, vocabulary: list[str] | DataFrame, threshold: float = 75, term: str = "term", limit: int = VOCABULARY_LIMIT) -> DataFrame:
     """Add ``matched`` and ``score`` by weighted ratio.  ``term`` is unique in ``terms``."""
     vocab, size = _vocabulary(terms.sparkSession, vocabulary)
-    best = lambda cands: weighted_best(F.col(term), cands, threshold)
-    return _flat(with_best(terms, vocab, best, term, size, limit), "matched", "score")
+    found = with_best(terms, vocab, lambda c: weighted_best(col(term), c, threshold), term, size, limit)
+    return _flat(found, "matched", "score")
 
 
 def vector_join(rows: DataFrame, vocabulary: DataFrame, threshold: float = 0.86, row_id: str = "term", vector: str = "vector", size: int | None = None, limit: int = VOCABULARY_LIMIT) -> DataFrame:
     """Add ``matched`` and ``score`` by cosine with ``vocabulary (term, ord, vector)``."""
-    vocab = vocabulary.select("term", "ord", "vector", sim.norm(F.col("vector")).alias("norm"))
-    best = lambda cands: vector_best(F.col(vector), cands, threshold)
-    return _flat(with_best(rows, vocab, best, row_id, size, limit), "matched", "score")
+    vocab = prepared_vectors(vocabulary)
+    found = with_best(rows, vocab, lambda c: vector_best(col(vector), c, threshold), row_id, size, limit)
+    return _flat(found, "matched", "score")
 
 
 def label_top1(scores: DataFrame, threshold: float = 0.2, key: str = "record_id") -> DataFrame:

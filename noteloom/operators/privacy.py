@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions.patterns import CLINICAL_PATTERNS
-from noteloom.functions.text import all_matches, first_match, first_number, to_number
+from noteloom.functions.text import all_matches, col, first_match, first_number, let, to_number
 from noteloom.operators.extract import first_of
 from noteloom.operators.skew import heavy_keys, salted_join
 
@@ -18,7 +18,7 @@ def quasi_keys(notes: DataFrame, text: str = "raw_text", key: str = "record_id")
     """``(key, age, weight, sex)``: the first match of each, ``unknown`` where there is none."""
     patterns = {"age": "age", "weight": "weight", "sex": "sex_neuter"}
     return notes.select(
-        key, *[F.coalesce(first_of(F.col(text), p), F.lit(UNKNOWN)).alias(c) for c, p in patterns.items()]
+        key, *[F.coalesce(F.expr(first_of(col(text), p)), F.lit(UNKNOWN)).alias(c) for c, p in patterns.items()]
     )
 
 
@@ -50,43 +50,32 @@ def k_members(keyed: DataFrame, k: int = 5, keys: list[str] | None = None, key:
     return salted_join(keyed, k_anonymity(groups, k), keys, heavy_keys(groups, keys, "n_records"), key)
 
 
-def generalise_age(age: Column) -> Column:
-    """Age band of an age text; months and weeks are juvenile whatever the number."""
-    years = to_number(first_match(age, r"\d+"))
-    lowered = F.lower(age)
-    juvenile = lowered.contains("month") | lowered.contains("wk") | lowered.contains("week")
-    return (
-        F.when(years.isNull(), UNKNOWN)
-        .when(juvenile, "juvenile")
-        .when(years <= 2, "0-2 years")
-        .when(years <= 5, "3-5 years")
-        .when(years <= 10, "6-10 years")
-        .otherwise("11+ years")
-    )
+def generalise_age(age: str) -> Column:
+    """Age band of an age text column; months and weeks are juvenile whatever the number."""
+    text = f"lower({age})"
+    cases = f"""CASE WHEN ga_n IS NULL THEN '{UNKNOWN}'
+      WHEN contains({text}, 'month') OR contains({text}, 'wk') OR contains({text}, 'week') THEN 'juvenile'
+      WHEN ga_n <= 2 THEN '0-2 years' WHEN ga_n <= 5 THEN '3-5 years' WHEN ga_n <= 10 THEN '6-10 years'
+      ELSE '11+ years' END"""
+    return F.expr(let("ga_n", let("ga_d", first_match(age, r"\d+"), to_number("ga_d")), cases))
 
 
-def generalise_weight(weight: Column) -> Column:
-    """Weight band of a weight text by its number alone."""
-    number = first_number(weight)
-    return (
-        F.when(number.isNull(), UNKNOWN)
-        .when(number < 5, "0-5kg")
-        .when(number < 10, "5-10kg")
-        .when(number < 20, "10-20kg")
-        .when(number < 40, "20-40kg")
-        .otherwise("40+kg")
-    )
+def generalise_weight(weight: str) -> Column:
+    """Weight band of a weight text column by its number alone."""
+    cases = f"""CASE WHEN gw_n IS NULL THEN '{UNKNOWN}' WHEN gw_n < 5 THEN '0-5kg' WHEN gw_n < 10 THEN '5-10kg'
+      WHEN gw_n < 20 THEN '10-20kg' WHEN gw_n < 40 THEN '20-40kg' ELSE '40+kg' END"""
+    return F.expr(let("gw_n", first_number(weight), cases))
 
 
 GENERALISERS = {"age": generalise_age, "weight": generalise_weight}
 
 
 def generalise(keyed: DataFrame, condition: Column, rules: dict | None = None) -> DataFrame:
-    """Generalise the columns named in ``rules`` where ``condition`` holds; absent values stay absent."""
+    """Generalise the columns named in ``rules`` (column name to expression) where ``condition`` holds; absent values stay absent."""
     rules = GENERALISERS if rules is None else rules
     return keyed.select(
         *[
-            F.when(condition & (F.col(c) != UNKNOWN), rules[c](F.col(c))).otherwise(F.col(c)).alias(c)
+            F.when(condition & (F.col(c) != UNKNOWN), rules[c](c)).otherwise(F.col(c)).alias(c)
             if c in rules
             else F.col(c)
             for c in keyed.columns
@@ -121,15 +110,15 @@ def mitigated_patterns(notes: DataFrame, k: int = 5, text: str = "raw_text", key
     lists = {"age_values": "age", "weight_values": "weight"}
     found = notes.select(
         key,
-        *[all_matches(F.col(text), CLINICAL_PATTERNS[p], ignore_case=True).alias(c) for c, p in lists.items()],
-        F.coalesce(first_of(F.col(text), "sex_neuter"), F.lit(UNKNOWN)).alias("sex"),
+        *[F.expr(all_matches(col(text), CLINICAL_PATTERNS[p], ignore_case=True)).alias(c) for c, p in lists.items()],
+        F.coalesce(F.expr(first_of(col(text), "sex_neuter")), F.lit(UNKNOWN)).alias("sex"),
     )
     keyed = found.select("*", *[F.coalesce(F.get(c, F.lit(0)), F.lit(UNKNOWN)).alias(p) for c, p in lists.items()])
     members = k_members(keyed, k, key=key)
     return members.select(
         key,
         *[
-            F.when(F.col("risky") & (F.size(c) > 0), F.array(GENERALISERS[p](F.col(p)))).otherwise(F.col(c)).alias(c)
+            F.when(F.col("risky") & (F.size(c) > 0), F.array(GENERALISERS[p](p))).otherwise(F.col(c)).alias(c)
             for c, p in lists.items()
         ],
         "sex",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions.patterns import CAPITALS_PATTERN
-from noteloom.functions.text import all_matches
+from noteloom.functions.text import all_matches, col
 from noteloom.functions.vocabulary import RAW_CANONICAL
 from noteloom.operators.standardise import MATCHED_METHODS
 
@@ -51,7 +51,7 @@ def note_checks(notes: DataFrame, canonical: list[str] | None = None, text: str
     record are always filled, so each counts as a passed check.
     """
     canonical = RAW_CANONICAL if canonical is None else canonical
-    words = all_matches(F.col(text), CAPITALS_PATTERN)
+    words = F.expr(all_matches(col(text), CAPITALS_PATTERN))
     per_note = notes.select(
         F.coalesce(F.length(text), F.lit(0)).alias("size"),
         F.coalesce(F.size("icd_labels"), F.lit(0)).alias("labels"),

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions import similarity as sim
-from noteloom.functions.text import first_match, first_number
+from noteloom.functions.text import col, first_match, first_number, lit
 from noteloom.functions.vocabulary import DIAGNOSES, NOTE_LABELS, abbreviations_df, terms_df
-from noteloom.operators.matching import VOCABULARY_LIMIT, fuzzy_best, prepared_terms, vector_best, with_best
+from noteloom.operators.matching import VOCABULARY_LIMIT, fuzzy_best, prepared_terms, prepared_vectors, vector_best, with_best
 from noteloom.operators.skew import heavy_keys, salted_join
 
 # Unit texts per parsed pattern, in the order they are tried.
@@ -25,29 +25,25 @@ STANDARD_COLUMNS = ["record_id", "pattern", "ord", "raw", "standard", "category"
 MATCHED_METHODS = ["exact_match", "fuzzy_match", "semantic_match", "zero_shot", "parsed"]
 
 
-def lookup_key(raw: Column) -> Column:
+def lookup_key(raw: str) -> Column:
     """The leading letters of a match, or all of it if it starts otherwise."""
-    return F.coalesce(F.regexp_substr(raw, F.lit("^[A-Za-z]+")), raw)
+    return F.expr(f"coalesce(regexp_substr({raw}, '^[A-Za-z]+'), {raw})")
 
 
-def parsed_unit(pattern: Column, raw: Column) -> Column:
+def parsed_unit(pattern: str, raw: str) -> str:
     """Unit of a parsed value; NULL for patterns that are not parsed."""
 
-    def found(name: str) -> Column:
-        return F.coalesce(first_match(raw, UNITS[name], ignore_case=True), F.lit("unknown"))
+    def found(name: str) -> str:
+        return f"coalesce({first_match(raw, UNITS[name], ignore_case=True)}, 'unknown')"
 
-    return (
-        F.when(pattern == "age", found("age"))
-        .when(pattern == "temperature", DEGREES)
-        .when(pattern == "weight", F.lower(found("weight")))
-        .when(pattern == "dosage", found("dosage"))
-    )
+    return f"""CASE {pattern} WHEN 'age' THEN {found('age')} WHEN 'temperature' THEN {lit(DEGREES)}
+      WHEN 'weight' THEN lower({found('weight')}) WHEN 'dosage' THEN {found('dosage')} END"""
 
 
 def parse_values(patterns: DataFrame) -> DataFrame:
     """Add ``value``, ``unit`` and ``method`` (parsed or unmatched) to a long pattern table."""
     numbers = patterns.select(
-        "*", first_number(F.col("raw")).alias("_number"), parsed_unit(F.col("pattern"), F.col("raw")).alias("_unit")
+        "*", F.expr(first_number("raw")).alias("_number"), F.expr(parsed_unit("pattern", "raw")).alias("_unit")
     )
     parsed = F.col("_number").isNotNull() & F.col("_unit").isNotNull()
     return numbers.select(
@@ -78,7 +74,7 @@ def lookup(rows: DataFrame, key: Column, vocabulary: DataFrame, fold_keys: bool
 def standardise_patterns(patterns: DataFrame, vocabulary: DataFrame | None = None, fold_keys: bool = False) -> DataFrame:
     """Long standardised table of pattern matches: looked up, else parsed, else unmatched."""
     vocabulary = abbreviations_df(patterns.sparkSession) if vocabulary is None else vocabulary
-    found = lookup(parse_values(patterns), lookup_key(F.col("raw")), vocabulary, fold_keys)
+    found = lookup(parse_values(patterns), lookup_key("raw"), vocabulary, fold_keys)
     exact = F.col("standard").isNotNull()
     return found.select(
         *patterns.columns,
@@ -94,16 +90,17 @@ def standardise_patterns(patterns: DataFrame, vocabulary: DataFrame | None = Non
 def with_vital_value(standardised: DataFrame) -> DataFrame:
     """Add ``vital_value``: the number inside a vital sign, which the lookup itself leaves out."""
     return standardised.withColumn(
-        "vital_value", F.when(F.col("pattern") == "vital_sign", first_number(F.col("raw")))
+        "vital_value", F.when(F.col("pattern") == "vital_sign", F.expr(first_number("raw")))
     )
 
 
-Encoder = Callable[[Column], Column]
+# Makes a vector expression (array<float>) from a text expression.
+Encoder = Callable[[str], str]
 
 
 def term_vectors(terms: DataFrame, encode: Encoder = sim.hashed_ngrams) -> DataFrame:
     """``(term, ord, vector)`` of a vocabulary."""
-    return terms.select("term", "ord", encode(F.col("term")).alias("vector"))
+    return terms.select("term", "ord", F.expr(encode("term")).alias("vector"))
 
 
 def match_terms(
@@ -131,14 +128,12 @@ def match_terms(
     looked_up = lookup(terms, F.col("term"), vocabulary, fold_keys).drop("category").withColumnRenamed("standard", "_exact")
     fuzzy = with_best(
         looked_up, prepared_terms(table),
-        lambda c: F.when(F.col("_exact").isNull(), fuzzy_best(F.col("term"), c, fuzzy_threshold, case_sensitive)),
+        lambda c: f"if(_exact IS NULL, {fuzzy_best('term', c, fuzzy_threshold, case_sensitive)}, NULL)",
         "term", size, limit,
     ).withColumnRenamed("best", "_fuzzy")
-    vectors = term_vectors(table, encode).select("*", sim.norm(F.col("vector")).alias("norm"))
-    is_open = F.col("_exact").isNull() & F.col("_fuzzy").isNull()
     semantic = with_best(
-        fuzzy.withColumn("_vector", F.when(is_open, encode(F.col("term")))), vectors,
-        lambda c: F.when(is_open, vector_best(F.col("_vector"), c, semantic_threshold)),
+        fuzzy, prepared_vectors(term_vectors(table, encode)),
+        lambda c: f"if(_exact IS NULL AND _fuzzy IS NULL, {vector_best(encode('term'), c, semantic_threshold)}, NULL)",
         "term", size, limit,
     ).withColumnRenamed("best", "_semantic")
     return semantic.select(
@@ -199,12 +194,10 @@ def fallback_label(
     """Diagnosis rows for notes that have none: the label most similar to the note, if it reaches
     ``threshold``.  ``max_chars`` limits the text looked at (512 in the original model set-up)."""
     labels = NOTE_LABELS if labels is None else labels
-    vectors = term_vectors(terms_df(notes.sparkSession, labels), encode)
-    vectors = vectors.select("*", sim.norm(F.col("vector")).alias("norm"))
-    body = F.col(text) if max_chars is None else F.substring(text, 1, max_chars)
+    vectors = prepared_vectors(term_vectors(terms_df(notes.sparkSession, labels), encode))
+    body = col(text) if max_chars is None else f"substring({col(text)}, 1, {max_chars})"
     bare = notes.select(key, text).join(diagnoses.select(key).distinct(), key, "left_anti")
-    encoded = bare.select(key, encode(body).alias("_vector"))
-    best = with_best(encoded, vectors, lambda c: vector_best(F.col("_vector"), c, threshold), key, len(labels))
+    best = with_best(bare, vectors, lambda c: vector_best(encode(body), c, threshold), key, len(labels))
     return best.filter("best IS NOT NULL").select(
         key,
         F.lit("diagnoses").alias("pattern"),

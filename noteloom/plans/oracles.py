@@ -89,11 +89,9 @@ def top1(terms: str, vocab: str, cutoff: float) -> str:
 
 
 def ngrams(text: str) -> str:
-    p = f"(' ' || lower({text}) || ' ')"
-    code = f"((ascii(substr({p}, i, 1))::BIGINT * 31 + ascii(substr({p}, i + 1, 1))) * 31 + ascii(substr({p}, i + 2, 1))) % 64"
-    return (
-        f"list_transform(range(0, 64), lambda d: len(list_filter(list_transform(range(1, len({p}) - 1), lambda i: {code}), lambda b: b = d))::DOUBLE)"
-    )
+    code = "((ascii(substr(p, i, 1))::BIGINT * 31 + ascii(substr(p, i + 1, 1))) * 31 + ascii(substr(p, i + 2, 1))) % 64"
+    codes = f"list_transform([' ' || lower({text}) || ' '], lambda p: list_transform(range(1, len(p) - 1), lambda i: {code}))"
+    return f"list_transform({codes}, lambda c: list_transform(range(0, 64), lambda d: len(list_filter(c, lambda b: b = d))::DOUBLE))[1]"
 
 
 CTE_DIAG = f"diag AS (SELECT term, ord, {ngrams('term')} AS vec FROM {values(DIAGNOSES)} AS d(term, ord))"

@@ -352,13 +352,13 @@ def k_summary(notes):
 @on_notes
 def generalise_age(notes):
     ages = privacy.quasi_keys(notes).groupBy("age").agg(F.count("*").alias("n"))
-    return ages.select("age", privacy.generalise_age(F.col("age")).alias("age_band"), "n")
+    return ages.select("age", privacy.generalise_age("age").alias("age_band"), "n")
 
 
 @on_notes
 def generalise_weight(notes):
     weights = privacy.quasi_keys(notes).groupBy("weight").agg(F.count("*").alias("n"))
-    return weights.select("weight", privacy.generalise_weight(F.col("weight")).alias("weight_band"), "n")
+    return weights.select("weight", privacy.generalise_weight("weight").alias("weight_band"), "n")
 
 
 @on_notes
