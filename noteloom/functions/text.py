@@ -12,6 +12,9 @@ import unicodedata
 
 from noteloom.functions.patterns import ascii_regex, unicode_regex
 
+# Fixed value: the number inside a match.
+NUMBER = r"\d+\.?\d*"
+
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
@@ -96,4 +99,4 @@ def to_number(digits: str) -> str:
 
 
 def first_number(text: str) -> str:
-    return let("num_", first_match(text, r"\d+\.?\d*"), to_number("num_"))
+    return let("num_", first_match(text, NUMBER), to_number("num_"))

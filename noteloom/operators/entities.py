@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions import spans as S
+from noteloom.functions.patterns import WORD
 from noteloom.functions.text import col, has_digit, is_lower, is_upper, let, lit, lits, strip
 from noteloom.functions.vocabulary import GAZETTEER, STOPLIST
 from noteloom.operators.skew import heavy_keys, salted_join
@@ -21,19 +22,26 @@ GAZETTEER_LIMIT = 2000
 
 _NAME = r"[\p{Lu}][\p{L}'’-]+"
 _MONTH = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*"
-PERSON_CUE = rf"(?<=\b(?:Mr|Mrs|Ms|Miss|Dr|Prof)\.? ){_NAME}(?: {_NAME})*"
+# the capital is looked for before the title in front of it, which is rarely there
+PERSON_CUE = rf"(?=\p{{Lu}})(?<=\b(?:Mr|Mrs|Ms|Miss|Dr|Prof)\.? ){_NAME}(?: {_NAME})*"
 DATE_CUE = rf"\b\d{{1,2}}[ -]{_MONTH}(?:[ -]\d{{2,4}})?\b|\b{_MONTH} \d{{4}}\b"
 PLACEHOLDER = r"\[[A-Z]+_\d+\]"
 
 
+def name_pattern(names: list[str]) -> str:
+    """Any of ``names`` as whole words, the longest first."""
+    ordered = sorted(names, key=lambda n: (-len(n), n))
+    heads = "".join(sorted({re.escape(n[0]) for n in names}))
+    return rf"(?=[{heads}])(?<!{WORD})(?:{'|'.join(map(re.escape, ordered))})(?!{WORD})"
+
+
 def _cues(gazetteer: dict[str, list[str]]) -> list[tuple[str, str]]:
     cues = [("PERSON", PERSON_CUE), ("DATE", DATE_CUE)]
     for label, names in gazetteer.items():
         if len(names) > GAZETTEER_LIMIT:
             raise ValueError(f"{len(names)} names for {label}: use gazetteer_spans with a table")
         if names:
-            longest_first = sorted(names, key=lambda n: (-len(n), n))
-            cues.append((label, r"\b(?:" + "|".join(map(re.escape, longest_first)) + r")\b"))
+            cues.append((label, name_pattern(names)))
     return cues
 
 

@@ -32,6 +32,18 @@ def _packed(vocabulary: DataFrame) -> Column:
     return F.collect_list(F.struct(*vocabulary.columns))
 
 
+def spread_terms(terms: DataFrame, term: str) -> DataFrame:
+    """Distinct terms over a fixed number of tasks.
+
+    Adaptive execution sizes partitions by bytes, but here the cost is in the rows: a few
+    megabytes of terms can be hours of matching, so they must not end up in one task.
+    """
+    spark = terms.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    # by a hash of its own: a repartitioning by the term itself would be dropped as already done
+    return terms.repartition(tasks, F.xxhash64(term))
+
+
 def with_best(rows: DataFrame, vocabulary: DataFrame, best: Callable[[str], str], row_id: str, size: int | None = None, limit: int = VOCABULARY_LIMIT) -> DataFrame:
     """Add ``best``: ``best(candidates)`` over the whole vocabulary.  ``row_id`` is unique in ``rows``."""
     if size is None:
@@ -105,14 +117,14 @@ def _vocabulary(spark, vocabulary: list[str] | DataFrame) -> tuple[DataFrame, in
 def fuzzy_join(terms: DataFrame, vocabulary: list[str] | DataFrame, threshold: float = 85, case_sensitive: bool = True, term: str = "term", limit: int = VOCABULARY_LIMIT) -> DataFrame:
     """Add ``matched`` and ``score`` by plain ratio.  ``term`` is unique in ``terms``."""
     vocab, size = _vocabulary(terms.sparkSession, vocabulary)
-    found = with_best(terms, vocab, lambda c: fuzzy_best(col(term), c, threshold, case_sensitive), term, size, limit)
+    found = with_best(spread_terms(terms, term), vocab, lambda c: fuzzy_best(col(term), c, threshold, case_sensitive), term, size, limit)
     return _flat(found, "matched", "score")
 
 
 def weighted_fuzzy_join(terms: DataFrame, vocabulary: list[str] | DataFrame, threshold: float = 75, term: str = "term", limit: int = VOCABULARY_LIMIT) -> DataFrame:
     """Add ``matched`` and ``score`` by weighted ratio.  ``term`` is unique in ``terms``."""
     vocab, size = _vocabulary(terms.sparkSession, vocabulary)
-    found = with_best(terms, vocab, lambda c: weighted_best(col(term), c, threshold), term, size, limit)
+    found = with_best(spread_terms(terms, term), vocab, lambda c: weighted_best(col(term), c, threshold), term, size, limit)
     return _flat(found, "matched", "score")
 
 

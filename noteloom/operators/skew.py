@@ -15,8 +15,8 @@ SALTS = 64
 
 
 def heavy_keys(counts: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """The keys with most rows, from a table with one row per key."""
-    return counts.orderBy(F.col(count).desc(), *keys).limit(HEAVY_KEYS).select(*keys)
+    """The keys with most rows and their counts, from a table with one row per key."""
+    return counts.orderBy(F.col(count).desc(), *keys).limit(HEAVY_KEYS).select(*keys, count)
 
 
 def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], heavy: DataFrame, row_id: str, how: str = "left", salts: int = SALTS) -> DataFrame:
@@ -26,11 +26,14 @@ def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], heavy: Data
     row of that key is copied to all of them; other keys join as usual.  NULL keys match NULL.
     The salt depends on the row alone, so a task that runs again gives the same rows.
     """
-    marked = F.broadcast(heavy.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_heavy")))
 
     def mark(df: DataFrame) -> DataFrame:
-        match = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
-        return df.join(marked, reduce(and_, match), "left").drop(*[f"_h_{k}" for k in keys])
+        # the count is compared too where the group table has it: so all uses of the count table
+        # need the same columns and Spark runs it once
+        on = [c for c in heavy.columns if c in keys or c in df.columns]
+        marked = heavy.select(*[F.col(c).alias(f"_h_{c}") for c in on], F.lit(True).alias("_heavy"))
+        match = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in on]
+        return df.join(F.broadcast(marked), reduce(and_, match), "left").drop(*[f"_h_{c}" for c in on])
 
     salt = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
     left = mark(rows).withColumn("_salt", F.when(F.col("_heavy"), salt).otherwise(0)).drop("_heavy")

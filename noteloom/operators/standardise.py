@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.functions import similarity as sim
-from noteloom.functions.text import col, first_match, first_number, lit
+from noteloom.functions.text import NUMBER, col, first_match, first_number, lit, to_number
 from noteloom.functions.vocabulary import DIAGNOSES, NOTE_LABELS, abbreviations_df, terms_df
-from noteloom.operators.matching import VOCABULARY_LIMIT, fuzzy_best, prepared_terms, prepared_vectors, vector_best, with_best
+from noteloom.operators.matching import VOCABULARY_LIMIT, fuzzy_best, prepared_terms, prepared_vectors, spread_terms, vector_best, with_best
 from noteloom.operators.skew import heavy_keys, salted_join
 
 # Unit texts per parsed pattern, in the order they are tried.
@@ -42,9 +42,10 @@ def parsed_unit(pattern: str, raw: str) -> str:
 
 def parse_values(patterns: DataFrame) -> DataFrame:
     """Add ``value``, ``unit`` and ``method`` (parsed or unmatched) to a long pattern table."""
-    numbers = patterns.select(
-        "*", F.expr(first_number("raw")).alias("_number"), F.expr(parsed_unit("pattern", "raw")).alias("_unit")
+    digits = patterns.select(
+        "*", F.expr(first_match("raw", NUMBER)).alias("_digits"), F.expr(parsed_unit("pattern", "raw")).alias("_unit")
     )
+    numbers = digits.select(*patterns.columns, F.expr(to_number("_digits")).alias("_number"), "_unit")
     parsed = F.col("_number").isNotNull() & F.col("_unit").isNotNull()
     return numbers.select(
         *patterns.columns,
@@ -125,7 +126,7 @@ def match_terms(
     table = diagnoses if isinstance(diagnoses, DataFrame) else terms_df(spark, diagnoses)
     size = None if isinstance(diagnoses, DataFrame) else len(diagnoses)
 
-    looked_up = lookup(terms, F.col("term"), vocabulary, fold_keys).drop("category").withColumnRenamed("standard", "_exact")
+    looked_up = lookup(spread_terms(terms, "term"), F.col("term"), vocabulary, fold_keys).drop("category").withColumnRenamed("standard", "_exact")
     fuzzy = with_best(
         looked_up, prepared_terms(table),
         lambda c: f"if(_exact IS NULL, {fuzzy_best('term', c, fuzzy_threshold, case_sensitive)}, NULL)",
