@@ -54,13 +54,13 @@ def with_best(rows: DataFrame, vocabulary: DataFrame, best: Callable[[str], str]
         return carried.select(*rows.columns, F.explode_outer(F.expr(f"array({best('_candidates')})")).alias("best"))
     blocks = -(-vocabulary.count() // limit)
     packed = (
-        vocabulary.withColumn("_block", F.pmod(F.xxhash64("term"), F.lit(blocks)))
+        vocabulary.withColumn("_block", F.pmod(F.xxhash64("term", "ord"), F.lit(blocks)))
         .groupBy("_block")
         .agg(F.collect_list(F.struct(*vocabulary.columns)).alias("_candidates"))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint")
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
     )
     per_block = spread.join(packed, ["_block", "_salt"]).withColumn("best", F.expr(best("_candidates")))
     # scored once per block; a row keeps the best of all blocks
@@ -110,7 +110,7 @@ def _flat(rows: DataFrame, matched: str, score: str) -> DataFrame:
 
 def _vocabulary(spark, vocabulary: list[str] | DataFrame) -> tuple[DataFrame, int | None]:
     if isinstance(vocabulary, DataFrame):
-        return prepared_terms(vocabulary), None
+        return prepared_terms(vocabulary.groupBy("term").agg(F.min("ord").alias("ord"))), None
     return prepared_terms(terms_df(spark, vocabulary)), len(vocabulary)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from noteloom.functions import similarity as sim
 from noteloom.functions.text import NUMBER, col, first_match, first_number, lit, to_number
 from noteloom.functions.vocabulary import DIAGNOSES, NOTE_LABELS, abbreviations_df, terms_df
+from noteloom.operators.extract import extract_patterns
 from noteloom.operators.matching import VOCABULARY_LIMIT, fuzzy_best, prepared_terms, prepared_vectors, spread_terms, vector_best, with_best
 from noteloom.operators.skew import heavy_keys, salted_join
 
@@ -215,8 +216,6 @@ def fallback_label(
 
 def standardise(notes: DataFrame, spans: DataFrame, patterns: DataFrame | None = None, use_fallback: bool = False, **options) -> DataFrame:
     """The standardised long table of notes and their diagnosis spans."""
-    from noteloom.operators.extract import extract_patterns
-
     patterns = extract_patterns(notes) if patterns is None else patterns
     diagnoses = cascade(spans, **options)
     if use_fallback:
@@ -229,7 +228,8 @@ def standardised_map(standardised: DataFrame, notes: DataFrame, key: str = "reco
     ``diagnoses`` is always there."""
     fields = ["ord", "raw", "standard", "category", "value", "unit", "score", "method"]
     item = "struct<" + ",".join(f"{f}:{t}" for f, t in zip(fields, ["int", *["string"] * 3, "double", "string", "double", "string"])) + ">"
-    lists = standardised.groupBy(key, "pattern").agg(F.sort_array(F.collect_list(F.struct(*fields).cast(item))).alias("items"))
+    # one shuffle by the note serves both groupings and the join
+    lists = standardised.repartition(key).groupBy(key, "pattern").agg(F.sort_array(F.collect_list(F.struct(*fields).cast(item))).alias("items"))
     maps = lists.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("pattern", "items"))).alias("m"))
     none = F.create_map(F.lit("diagnoses"), F.array().cast(f"array<{item}>"))
     joined = notes.select(key).join(maps, key, "left")
