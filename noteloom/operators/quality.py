@@ -151,10 +151,11 @@ def scores(checks: DataFrame) -> DataFrame:
     return checks.groupBy("dimension").agg(side_ratio("before"), side_ratio("after"))
 
 
-def quality_checks(notes: DataFrame, items: DataFrame, key_columns: list[str] | None = None, canonical: list[str] | None = None, text: str = "raw_text") -> DataFrame:
+def quality_checks(notes: DataFrame, items: DataFrame, key_columns: list[str] | None = None, canonical: list[str] | None = None, text: str = "raw_text", weight: str | None = None) -> DataFrame:
+    """All checks; ``items`` is the standardised table, or its counts with their column as ``weight``."""
     return (
         note_checks(notes, canonical, text)
-        .unionByName(item_checks(items))
+        .unionByName(item_checks(items, weight))
         .unionByName(uniqueness_checks(notes, key_columns or [text]))
     )
 

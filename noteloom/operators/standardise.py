@@ -183,6 +183,23 @@ def method_distribution(spans: DataFrame, **options) -> DataFrame:
     return match_terms(term_counts(spans), **options).groupBy("method").agg(F.sum("n_spans").alias("n"))
 
 
+def item_counts(notes: DataFrame, spans: DataFrame, patterns: DataFrame | None = None, **options) -> DataFrame:
+    """``(pattern, value, unit, method, n)``: what scores need of the standardised table.
+
+    Diagnoses stay distinct terms with their number of spans; nothing is joined back.
+    """
+    patterns = extract_patterns(notes) if patterns is None else patterns
+    items = standardise_patterns(patterns).select("pattern", "value", "unit", "method", F.lit(1).cast("bigint").alias("n"))
+    terms = match_terms(term_counts(spans), **options).select(
+        F.lit("diagnoses").alias("pattern"),
+        F.lit(None).cast("double").alias("value"),
+        F.lit(None).cast("string").alias("unit"),
+        "method",
+        F.col("n_spans").alias("n"),
+    )
+    return items.unionByName(terms)
+
+
 def fallback_label(
     notes: DataFrame,
     diagnoses: DataFrame,

@@ -415,7 +415,7 @@ def _dimension(checks: DataFrame, name: str) -> DataFrame:
 
 
 def _items(notes: DataFrame) -> DataFrame:
-    return std.standardise(notes, inputs.spans_of(notes), **CASCADE)
+    return std.item_counts(notes, inputs.spans_of(notes), **CASCADE)
 
 
 @on_notes
@@ -434,7 +434,7 @@ def quality_accuracy_raw(notes):
 
 @on_notes
 def quality_accuracy(notes):
-    return _dimension(quality.item_checks(_items(notes)), "Accuracy").select("dimension", "after")
+    return _dimension(quality.item_checks(_items(notes), "n"), "Accuracy").select("dimension", "after")
 
 
 @on_notes
@@ -461,17 +461,17 @@ def quality_uniqueness_documents(spark, sf_dir):
 
 @on_notes
 def quality_standardisation(notes):
-    return _dimension(quality.item_checks(_items(notes)), "Standardisation")
+    return _dimension(quality.item_checks(_items(notes), "n"), "Standardisation")
 
 
 @on_notes
 def quality_report(notes):
-    return quality.quality_report(quality.quality_scores(inputs.annotated(notes), _items(notes)))
+    return quality.quality_report(quality.quality_scores(inputs.annotated(notes), _items(notes), weight="n"))
 
 
 @on_notes
 def attach_scores(notes):
-    six = quality.quality_scores(inputs.annotated(notes), _items(notes))
+    six = quality.quality_scores(inputs.annotated(notes), _items(notes), weight="n")
     scored = quality.attach_scores(notes.select("record_id"), six)
     flat = [
         F.element_at("quality_scores", F.lit(d))[side].alias(f"{d.lower()}_{side}")
