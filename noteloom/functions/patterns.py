@@ -41,9 +41,28 @@ DIGIT = r"\p{Nd}"
 BOUNDARY = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
 
+def _tuned(pattern: str, ignore_case: bool) -> str:
+    """A clinical pattern that finds the same matches sooner.
+
+    Nothing that follows a run of digits or spaces in these patterns can start with one, so runs
+    never need to be given back; and the first character is looked at before the boundary.
+    """
+    out = pattern
+    for run in (r"\d+", r"\d*", r"\s*"):
+        out = out.replace(run, run + "+")
+    heads = re.match(r"\\b\(\?:([A-Za-z|]+)\)", pattern) or re.match(r"\\b([A-Z])", pattern)
+    if not heads:
+        return out
+    first = {word[0] for word in heads.group(1).split("|")}
+    if ignore_case:
+        first |= {c.lower() for c in first} | {c.upper() for c in first}
+    return f"(?=[{''.join(sorted(first))}]){out}"
+
+
 def ascii_regex(pattern: str, ignore_case: bool = False) -> str:
     """The pattern for text known to be ASCII, where Java's fast shorthands mean the same."""
-    return ("(?i)" if ignore_case else "") + pattern.replace(r"\s", r"[\t-\r\x1c-\x1f ]")
+    out = _tuned(pattern, ignore_case) if pattern in CLINICAL_PATTERNS.values() else pattern
+    return ("(?i)" if ignore_case else "") + out.replace(r"\s", r"[\t-\r\x1c-\x1f ]")
 
 
 def unicode_regex(pattern: str, ignore_case: bool = False) -> str:

@@ -16,6 +16,9 @@ MIXED = [
     "ſc 5 mg ſC, 10 Kg (kelvin) K9",
     "07123 456789é 07123 456789 é07123456789 x07123 456789 01234\x1f567890 MRCVS",
     "é.b@x.com éabc@x.com abc@x.comé a_b@x.co.uk M1 1AAé M1 1AA 1-Feb-24é 1.2.24 123456789012345é 123456 MRCVS",
+    "HR 80 rr=20.  BP: 7. T=39.1.2 T 40. hrs HRR crt12.5.6 xHR 9 T1 t1.5 12.kg 12..kg 1.2.3kg 12 .5kg 007g 5kgs",
+    "4yo 4 yoo 44  years 4y.o 4yo. 6mos 6months1 8 wk. 1yr2 3mg/kgBID 3mg/kg  q12h 3 mg q8 mcg 3mcgs 3ml sid.",
+    "FSFN FS-FN FS_FN MIFE mife BARH bar. NADS adr/tpr",
     "",
 ]
 
