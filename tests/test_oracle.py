@@ -7,8 +7,11 @@ import pytest
 
 import compare
 
+from noteloom.plans import oracles
+from noteloom.plans import queries as registry
+
 entry = importlib.import_module("__spark_entry__")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.registered(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
