@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noteloom.llm import sharding, simhash
+from noteloom.llm import line_rules, preference, sharding, simhash
 from noteloom.llm.scratch import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,68 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts and quality verdict of every document."""
+    return line_rules.quality(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query
+def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preference pair for every conversation; spans as ``start:length`` text."""
+    pairs = preference.preference_pairs(preference.paired(table(spark, sf_dir, "conversations")))
+    return pairs.select(
+        "conv_id",
+        "rejected_id",
+        F.col("prompt_turns").cast("bigint").alias("prompt_turns"),
+        "prompt",
+        "chosen_text",
+        "rejected_text",
+        *[
+            F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["length"].cast("string"))), ",").alias(c)
+            for c in ("chosen_spans", "rejected_spans")
+        ],
+    )
+
+
+_ORACLES["op10_preference"] = r"""
+WITH turns AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), follow AS (
+  SELECT conv_id, t, lead(conv_id) OVER (PARTITION BY t[1] ORDER BY conv_id) AS rejected_id FROM turns
+), own AS (
+  SELECT *, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant') AS places FROM follow
+), pairs AS (
+  SELECT o.conv_id, o.rejected_id, o.t AS c,
+    CASE WHEN o.rejected_id IS NOT NULL THEN n.t
+      ELSE list_transform(range(1, len(o.t) + 1), lambda i: {'role': o.t[i].role,
+        'text': CASE WHEN i = o.places[-1] THEN coalesce(o.t[o.places[-2]].text, '') ELSE o.t[i].text END}) END AS r
+  FROM own o LEFT JOIN turns n ON n.conv_id = o.rejected_id
+), cut AS (
+  SELECT *, coalesce(list_position(list_transform(range(1, greatest(len(c), len(r)) + 1), lambda i: c[i] IS NOT DISTINCT FROM r[i]), false) - 1,
+    greatest(len(c), len(r))) AS p FROM pairs
+), parts AS (
+  SELECT conv_id, rejected_id, p, c[1:p] AS head, c[p + 1:] AS c, r[p + 1:] AS r FROM cut
+), written AS (
+  SELECT conv_id, rejected_id, p, head, c, r,
+    list_transform(head, lambda x: '<|' || replace(x.role, '<|', '< |') || '|>' || chr(10) || replace(x.text, '<|', '< |') || '<|end|>' || chr(10)) AS wh,
+    list_transform(c, lambda x: '<|' || replace(x.role, '<|', '< |') || '|>' || chr(10) || replace(x.text, '<|', '< |') || '<|end|>' || chr(10)) AS wc,
+    list_transform(r, lambda x: '<|' || replace(x.role, '<|', '< |') || '|>' || chr(10) || replace(x.text, '<|', '< |') || '<|end|>' || chr(10)) AS wr
+  FROM parts
+)
+SELECT conv_id, rejected_id, p AS prompt_turns,
+  array_to_string(wh, '') AS prompt, array_to_string(wc, '') AS chosen_text, array_to_string(wr, '') AS rejected_text,
+  array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'), lambda i:
+    CAST(length(array_to_string(wc[1:i - 1], '')) + length(replace(c[i].role, '<|', '< |')) + 5 AS VARCHAR) || ':' ||
+    CAST(length(replace(c[i].text, '<|', '< |')) + 8 AS VARCHAR)), ',') AS chosen_spans,
+  array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'), lambda i:
+    CAST(length(array_to_string(wr[1:i - 1], '')) + length(replace(r[i].role, '<|', '< |')) + 5 AS VARCHAR) || ':' ||
+    CAST(length(replace(r[i].text, '<|', '< |')) + 8 AS VARCHAR)), ',') AS rejected_spans
+FROM written
+"""
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
