@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.llm import line_rules, preference, sharding, simhash
+from noteloom.llm import line_rules, preference, sharding, simhash, topk
 from noteloom.llm.scratch import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,27 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+@query
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors by integer inner product, of each vector whose id is divisible by 20."""
+    return topk.self_search(table(spark, sf_dir, "embeddings"))
+
+
+_ORACLES["op8_topk"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.w AS DOUBLE[]), CAST(c.w AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors q, vectors c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 @query
 def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A preference pair for every conversation; spans as ``start:length`` text."""
