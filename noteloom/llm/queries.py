@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.llm import line_rules, preference, sharding, simhash, topk
-from noteloom.llm.scratch import ship
+from noteloom.llm import line_rules, packing, preference, sharding, simhash, token_index, topk
+from noteloom.llm.scratch import ship, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into sequences of binary lengths."""
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.numbered(written(digests, "pieces"))
+
+
+@query
+def op9_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to indexed shards and read back."""
+    rows = token_index.encode_to_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors by integer inner product, of each vector whose id is divisible by 20."""
