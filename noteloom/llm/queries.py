@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.llm import line_rules, packing, preference, sharding, simhash, token_index, topk
+from noteloom.llm import line_rules, packing, preference, sharding, simhash, token_index, topk, transducer, warc
 from noteloom.llm.scratch import ship, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,37 @@ def op9_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to WARC bundles and read back."""
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+_ORACLES["op5_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
+@query
+def op7_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents by automaton and exact merging, and their decoded texts, as digests."""
+    rows = transducer.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors by integer inner product, of each vector whose id is divisible by 20."""

@@ -155,7 +155,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, byte_level: bool
                 continue
             if sink is None:
                 store.create_dir(root, recursive=True)
-                sink = store.open_output_stream(f"{root}/{path}")
+                sink = store.open_output_stream(f"{root}/{path}", compression=None)
                 first = batch.column(0)[0].as_py(), batch.column(2)[0].as_py()
             keys.append(batch.column(0).to_numpy())
             for _, flat, lengths in encoder.encode(batch.column(1)):

@@ -99,8 +99,14 @@ class WordEncoder:
         self._forget()
         return found
 
-    def _gathered(self, values: pa.Array, first: np.ndarray | None, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number for each text, from its chunks; chunks not ``first`` have a space before them."""
+    @staticmethod
+    def cut(chunk: str) -> list[str]:
+        """The words of a byte-level chunk of known characters."""
+        return WORDS[True].findall(chunk)
+
+    @staticmethod
+    def numbered(values: pa.Array, first: np.ndarray | None) -> tuple[list[str], np.ndarray]:
+        """Distinct chunks, and the number of each chunk among them; chunks not ``first`` get a space before them."""
         coded = values.dictionary_encode()
         codes, texts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         if first is not None:
@@ -112,6 +118,11 @@ class WordEncoder:
             renumbered = np.zeros(len(used), np.int64)
             renumbered[places] = np.arange(len(places))
             codes = renumbered[codes]
+        return texts, codes
+
+    def _gathered(self, values: pa.Array, first: np.ndarray | None, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each text, from its chunks; chunks not ``first`` have a space before them."""
+        texts, codes = self.numbered(values, first)
         ids = self._chunks(texts)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.uint32)
