@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.llm import line_rules, packing, preference, sharding, simhash, token_index, topk, transducer, warc
+from noteloom.llm import line_rules, packing, preference, sharding, simhash, token_index, topk, toxicity, transducer, warc
 from noteloom.llm.scratch import ship, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,13 @@ FROM firsts
 """
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.score(docs, toxicity.fit(docs, labels))
+
+
 @query
 def op7_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents by automaton and exact merging, and their decoded texts, as digests."""
