@@ -178,6 +178,14 @@ FROM written
 """
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the pipeline over the documents."""
+    import corpus_pipeline  # at the top of the repository, and built on this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
