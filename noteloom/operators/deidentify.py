@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from noteloom.functions import spans as S
 from noteloom.functions.patterns import IDENTIFIER_PATTERNS
 from noteloom.functions.text import col, let, lits
-from noteloom.operators.entities import REDACTED_TYPES, keep_redactable, tagged_spans
+from noteloom.operators.entities import REDACTED_TYPES, Gazetteer, keep_redactable, tagged_spans, with_gazetteer
 
 
 def identifier_spans(text: str, patterns: dict[str, str]) -> str:
@@ -59,24 +59,48 @@ def redact_structured(notes: DataFrame, patterns: dict[str, str] | None = None,
     return done.select(*notes.columns, "_r.redacted_text", "_r.entities")
 
 
-def redact_entities(notes: DataFrame, gazetteer: dict | None = None, text: str = "raw_text", spans: str | None = None) -> DataFrame:
+def redact_entities(notes: DataFrame, gazetteer: Gazetteer | None = None, text: str = "raw_text", spans: str | None = None, key: str = "record_id") -> DataFrame:
     """Replace names, organisations and places; adds ``redacted_text`` and ``entities``.
 
     Spans come from :func:`tagged_spans` or, if given, from column ``spans``
-    (``array<struct<text, label, start, end>>`` on the same text).
+    (``array<struct<text, label, start, end>>`` on the same text).  ``key``, unique in ``notes``, is used only
+    with a gazetteer table.
     """
-    tagged = tagged_spans(col(text), gazetteer) if spans is None else col(spans)
-    done = notes.select("*", F.expr(entity_redaction(col(text), tagged)).alias("_r"))
+    rows, tagged = notes, col(spans) if spans else None
+    if tagged is None and isinstance(gazetteer, DataFrame):
+        rows, tagged = with_gazetteer(notes, gazetteer, text, key), tagged_spans(col(text), given="_given")
+    done = rows.select("*", F.expr(entity_redaction(col(text), tagged or tagged_spans(col(text), gazetteer))).alias("_r"))
     return done.select(*notes.columns, "_r.redacted_text", "_r.entities")
 
 
-def deidentify(notes: DataFrame, gazetteer: dict | None = None, patterns: dict[str, str] | None = None, text: str = "raw_text") -> DataFrame:
+def deidentify(
+    notes: DataFrame,
+    gazetteer: Gazetteer | None = None,
+    patterns: dict[str, str] | None = None,
+    text: str = "raw_text",
+    spans: str | None = None,
+    key: str = "record_id",
+) -> DataFrame:
     """Both redactions in a chain; adds ``redacted_text``, ``entities`` (both lists) and ``n_structured``.
 
     Offsets of the first ``n_structured`` entities refer to the note, those of the others to
-    the note with its structured identifiers replaced.
+    the note with its structured identifiers replaced.  Names come from cues and the gazetteer, lists or a table
+    of any size, or from column ``spans`` (``array<struct<text, label, start, end>>``), found by a model of your own on the
+    text that :func:`redact_structured` gives.  ``key``, unique in ``notes``, is used only with a table.
     """
-    done = notes.select("*", F.expr(full_redaction(col(text), gazetteer, patterns)).alias("_r"))
+    if spans is None and not isinstance(gazetteer, DataFrame):
+        done = notes.select("*", F.expr(full_redaction(col(text), gazetteer, patterns)).alias("_r"))
+    else:
+        first = notes.select("*", F.expr(structured_redaction(col(text), patterns)).alias("_r1"))
+        first = first.withColumn("_text", F.col("_r1.redacted_text"))
+        if spans is None:
+            first = with_gazetteer(first, gazetteer, "_text", key)
+        tagged = tagged_spans("_text", given="_given") if spans is None else col(spans)
+        second = first.select("*", F.expr(entity_redaction("_text", tagged)).alias("_r2"))
+        whole = F.struct(
+            F.col("_r2.redacted_text").alias("redacted_text"), F.col("_r1.entities").alias("structured"), F.col("_r2.entities").alias("named")
+        )
+        done = second.select(*notes.columns, whole.alias("_r"))
     return done.select(
         *notes.columns,
         F.col("_r.redacted_text").alias("redacted_text"),

@@ -17,14 +17,14 @@ ENTITY_LABELS = ["PERSON", "ORG", "GPE", "LOC", "DATE"]
 REDACTED_TYPES = ["PERSON", "ORG", "LOCATION"]
 LABEL_TO_TYPE = {"PERSON": "PERSON", "ORG": "ORG", "GPE": "LOCATION", "LOC": "LOCATION"}
 
-# Names beyond this many go through the table join of gazetteer_spans instead of one pattern.
-GAZETTEER_LIMIT = 2000
-
-_NAME = r"[\p{Lu}][\p{L}'’-]+"
+_NAME = r"[\p{Lu}][\p{L}'’-]++"
 _MONTH = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*"
 # the capital is looked for before the title in front of it, which is rarely there
-PERSON_CUE = rf"(?=\p{{Lu}})(?<=\b(?:Mr|Mrs|Ms|Miss|Dr|Prof)\.? ){_NAME}(?: {_NAME})*"
+PERSON_CUE = rf"(?=\p{{Lu}})(?<=\b(?:Mr|Mrs|Ms|Miss|Dr|Prof)\.? ){_NAME}(?: {_NAME})*+"
 DATE_CUE = rf"\b\d{{1,2}}[ -]{_MONTH}(?:[ -]\d{{2,4}})?\b|\b{_MONTH} \d{{4}}\b"
+# names by label, or a table (name, label)
+Gazetteer = dict[str, list[str]] | DataFrame
+
 PLACEHOLDER = r"\[[A-Z]+_\d+\]"
 
 
@@ -38,59 +38,91 @@ def name_pattern(names: list[str]) -> str:
 def _cues(gazetteer: dict[str, list[str]]) -> list[tuple[str, str]]:
     cues = [("PERSON", PERSON_CUE), ("DATE", DATE_CUE)]
     for label, names in gazetteer.items():
-        if len(names) > GAZETTEER_LIMIT:
-            raise ValueError(f"{len(names)} names for {label}: use gazetteer_spans with a table")
         if names:
             cues.append((label, name_pattern(names)))
     return cues
 
 
-def tagged_spans(text: str, gazetteer: dict[str, list[str]] | None = None) -> str:
+def tagged_spans(text: str, gazetteer: dict[str, list[str]] | None = None, given: str | None = None) -> str:
     """``array<struct<text, label, start, end>>`` of the entities in ``text``, without overlaps.
 
     A title followed by capitalised words is a PERSON, a day with a month a DATE, a gazetteer
-    name what the gazetteer says.  Spans that touch a placeholder are not entities.
+    name what the gazetteer says.  ``given`` is an expression of more spans of the same kind, which follow
+    the same rules; it takes the place of the gazetteer.  Spans that touch a placeholder are not entities.
     """
-    cues = _cues(GAZETTEER if gazetteer is None else gazetteer)
-    each = ", ".join(S.pattern_spans(text, p, i) for i, (_, p) in enumerate(cues))
-    free = f"""filter(concat({each}), tg_s ->
+    cues = _cues({} if given is not None else GAZETTEER if gazetteer is None else gazetteer)
+    each = [S.pattern_spans(text, p, i) for i, (_, p) in enumerate(cues)]
+    labels = f"array({lits(label for label, _ in cues)})"
+    if given is not None:
+        # of equal spans the label that comes first by name stays
+        more = f"cast({len(cues)} + array_position(tg_l, tg_g.label) - 1 AS int)"
+        each.append(f"transform({given}, tg_g -> {S.span('tg_g.start', 'tg_g.`end`', more)})")
+        labels = f"concat({labels}, tg_l)"
+    free = f"""filter(concat({', '.join(each)}), tg_s ->
       NOT exists(tg_b, tg_p -> tg_s.start < tg_p.stop AND tg_p.start < tg_s.stop))"""
     kept = S.drop_overlapping(let("tg_b", S.pattern_spans(text, PLACEHOLDER, 0), free))
-    labels = lits(label for label, _ in cues)
-    return f"""transform({kept}, tg_x -> named_struct('text', {S.slice_text(text, 'tg_x.start', 'tg_x.stop')},
-      'label', get(array({labels}), tg_x.rank), 'start', tg_x.start, 'end', tg_x.stop))"""
+    tagged = f"""transform({kept}, tg_x -> named_struct('text', {S.slice_text(text, 'tg_x.start', 'tg_x.stop')},
+      'label', get({labels}, tg_x.rank), 'start', tg_x.start, 'end', tg_x.stop))"""
+    return tagged if given is None else let("tg_l", f"array_sort(array_distinct(transform({given}, tg_n -> tg_n.label)))", tagged)
 
 
-def tag_entities(notes: DataFrame, gazetteer: dict | None = None, text: str = "raw_text", key: str = "record_id") -> DataFrame:
-    """Long span table ``(key, text, label, start, end)``; row-local, no shuffle."""
-    tagged = notes.select(key, F.explode_outer(F.expr(tagged_spans(col(text), gazetteer))).alias("s"))
-    return tagged.filter("s IS NOT NULL").select(key, "s.text", "s.label", "s.start", "s.end")
+def tag_entities(notes: DataFrame, gazetteer: Gazetteer | None = None, text: str = "raw_text", key: str = "record_id") -> DataFrame:
+    """Long span table ``(key, text, label, start, end)``.
+
+    With lists of names, or the shipped ones, row-local and without a shuffle; with a table
+    ``(name, label)`` of any size by :func:`with_gazetteer`, with the same result.
+    """
+    if isinstance(gazetteer, DataFrame):
+        notes, tagged = with_gazetteer(notes.select(key, text), gazetteer, text, key), tagged_spans(col(text), given="_given")
+    else:
+        tagged = tagged_spans(col(text), gazetteer)
+    long = notes.select(key, F.explode_outer(F.expr(tagged)).alias("s"))
+    return long.filter("s IS NOT NULL").select(key, "s.text", "s.label", "s.start", "s.end")
 
 
-def gazetteer_spans(notes: DataFrame, gazetteer: DataFrame, max_words: int = 4, text: str = "raw_text", key: str = "record_id") -> DataFrame:
-    """Span table from a gazetteer table ``(name, label)`` of any size.
+def gazetteer_spans(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_text", key: str = "record_id") -> DataFrame:
+    """Every place where a name of a gazetteer table ``(name, label)`` stands, overlapping ones too.
 
-    Runs of up to ``max_words`` words meet the names in an equi-join, which Spark broadcasts or
-    shuffles by size; word runs that are very frequent are salted.
+    A name begins and ends with a letter, digit or underscore and stands between other characters; names that
+    do not are never found.  Runs of as many words as the longest name has meet the names in an equi-join, which
+    Spark broadcasts or shuffles by size; word runs that are very frequent are salted.
     """
-    word = r"[\p{L}\p{N}_'’-]+"
+    word = f"{WORD}+"
+    names = gazetteer.select("name", "label").filter("name IS NOT NULL AND label IS NOT NULL").distinct()
+    # one number, and one pass over the names
+    longest = names.agg(F.max(F.size(F.expr(f"regexp_extract_all(name, {lit(word)}, 0)")))).first()[0] or 0
     words = notes.select(key, text, F.expr(S.pattern_spans(col(text), word, 0)).alias("_w"))
     first = words.select(key, text, "_w", F.posexplode("_w").alias("i", "s"))
     runs = first.select(
         key, text, "s",
-        F.explode(F.slice(F.col("_w"), F.col("i") + 1, F.lit(max_words))).alias("t"),
+        F.explode(F.slice("_w", F.col("i") + 1, F.lit(longest))).alias("t"),
     ).select(
         key,
         F.expr(S.slice_text(col(text), "s.start", "t.stop")).alias("name"),
         F.col("s.start").alias("start"),
         F.col("t.stop").alias("end"),
     )
-    names = gazetteer.select("name", "label").distinct()
     hot = heavy_keys(runs.groupBy("name").count(), ["name"], "count")
     hits = salted_join(runs, names, ["name"], hot, key, how="inner")
     return hits.select(key, F.col("name").alias("text"), "label", "start", "end")
 
 
+def with_gazetteer(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_text", key: str = "record_id") -> DataFrame:
+    """``notes`` with ``_given``: the names of a gazetteer table in their text, for :func:`tagged_spans`.
+
+    As with lists, a name does not start inside another of its label.  ``key`` is unique in ``notes``.
+    """
+    found = gazetteer_spans(notes, gazetteer, text, key)
+    # a name per place and label: nothing else of a note's text is collected
+    each = found.groupBy(key, "label").agg(F.collect_list(F.struct("start", "end")).alias("all"))
+    kept = S.drop_overlapping(f"transform(`all`, wg_s -> {S.span('wg_s.start', 'wg_s.`end`', '0')})")
+    named = f"transform({kept}, wg_x -> named_struct('label', label, 'start', wg_x.start, 'end', wg_x.stop))"
+    lists = each.groupBy(F.col(key).alias("_key")).agg(F.flatten(F.collect_list(F.expr(named))).alias("_given"))
+    joined = notes.join(lists, F.col(key) == F.col("_key"), "left").drop("_key")
+    none = "cast(array() AS array<struct<label:string,start:int,end:int>>)"
+    return joined.withColumn("_given", F.coalesce("_given", F.expr(none)))
+
+
 def wanted(text: str, label: str, labels: list[str] | None = None, stoplist: list[str] | None = None) -> str:
     """The label is wanted and the trimmed text is not in the stoplist (case matters)."""
     labels = ENTITY_LABELS if labels is None else labels

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noteloom.functions.patterns import CLINICAL_PATTERNS
 from noteloom.functions.text import all_matches, col, first_match, lit, lits
-from noteloom.operators.entities import tagged_spans, wanted
+from noteloom.operators.entities import Gazetteer, tagged_spans, wanted, with_gazetteer
 
 
 def pattern_items(text: str, patterns: dict[str, str] | None = None) -> str:
@@ -46,9 +46,11 @@ def first_of(text: str, pattern: str) -> str:
     return first_match(text, CLINICAL_PATTERNS[pattern], ignore_case=True)
 
 
-def extract_all(notes: DataFrame, gazetteer: dict | None = None, text: str = "raw_text") -> DataFrame:
-    """Add ``extracted``: ``struct<ner_entities, vet_patterns>``."""
-    entities = f"filter({tagged_spans(col(text), gazetteer)}, ea_s -> {wanted('ea_s.text', 'ea_s.label')})"
-    return notes.withColumn(
-        "extracted", F.expr(f"named_struct('ner_entities', {entities}, 'vet_patterns', {pattern_map(col(text))})")
-    )
+def extract_all(notes: DataFrame, gazetteer: Gazetteer | None = None, text: str = "raw_text", key: str = "record_id") -> DataFrame:
+    """Add ``extracted``: ``struct<ner_entities, vet_patterns>``.  ``key``, unique in ``notes``, is used only with a gazetteer table."""
+    rows, tagged = notes, None
+    if isinstance(gazetteer, DataFrame):
+        rows, tagged = with_gazetteer(notes, gazetteer, text, key), tagged_spans(col(text), given="_given")
+    entities = f"filter({tagged or tagged_spans(col(text), gazetteer)}, ea_s -> {wanted('ea_s.text', 'ea_s.label')})"
+    extracted = F.expr(f"named_struct('ner_entities', {entities}, 'vet_patterns', {pattern_map(col(text))})").alias("extracted")
+    return rows.select(*[c for c in notes.columns if c != "extracted"], extracted)

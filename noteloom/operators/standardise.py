@@ -23,6 +23,8 @@ UNITS = {
 DEGREES = "°C"
 
 STANDARD_COLUMNS = ["record_id", "pattern", "ord", "raw", "standard", "category", "value", "unit", "score", "method"]
+# A record without annotated diagnoses.
+NO_SPANS = "coalesce(size(ground_truth.disease_spans), 0) <= 0"
 MATCHED_METHODS = ["exact_match", "fuzzy_match", "semantic_match", "zero_shot", "parsed"]
 
 
@@ -56,16 +58,29 @@ def parse_values(patterns: DataFrame) -> DataFrame:
     )
 
 
+def one_per_term(vocabulary: DataFrame, fold_keys: bool = False) -> DataFrame:
+    """``(term, canonical, category)`` with one row for each term, the last by ``ord``; terms in capitals with ``fold_keys``.
+
+    Without ``ord``, or where it is the same, the last by canonical term and category.
+    """
+    term = F.upper("term") if fold_keys else F.col("term")
+    order = ["ord"] if "ord" in vocabulary.columns else []
+    last = F.max(F.struct(*order, "canonical", "category")).alias("last")
+    return vocabulary.groupBy(term.alias("term")).agg(last).select("term", "last.canonical", "last.category")
+
+
 def lookup(rows: DataFrame, key: Column, vocabulary: DataFrame, fold_keys: bool = False) -> DataFrame:
     """Add ``standard`` and ``category`` of the vocabulary term equal to the upper-cased key, else
-    to the key as it is.  ``fold_keys`` compares without regard to case instead."""
+    to the key as it is.  ``fold_keys`` compares without regard to case instead.
+
+    Of entries for one term, or for one folded term, the last by ``ord`` counts: every row stays one row."""
     rows = rows.withColumn("_key", key)
-    term = F.upper("term") if fold_keys else F.col("term")
-    first = vocabulary.select(term.alias("_t1"), F.col("canonical").alias("_c1"), F.col("category").alias("_g1"))
+    entries = one_per_term(vocabulary, fold_keys)
+    first = entries.select(F.col("term").alias("_t1"), F.col("canonical").alias("_c1"), F.col("category").alias("_g1"))
     out = rows.join(first, F.upper("_key") == F.col("_t1"), "left")
     if fold_keys:
         return out.withColumnsRenamed({"_c1": "standard", "_g1": "category"}).drop("_key", "_t1")
-    second = vocabulary.select(F.col("term").alias("_t2"), F.col("canonical").alias("_c2"), F.col("category").alias("_g2"))
+    second = entries.select(F.col("term").alias("_t2"), F.col("canonical").alias("_c2"), F.col("category").alias("_g2"))
     return out.join(second, F.col("_key") == F.col("_t2"), "left").select(
         *[c for c in rows.columns if c != "_key"],
         F.coalesce("_c1", "_c2").alias("standard"),
@@ -100,7 +115,7 @@ def with_vital_value(standardised: DataFrame) -> DataFrame:
 Encoder = Callable[[str], str]
 
 
-def term_vectors(terms: DataFrame, encode: Encoder = sim.hashed_ngrams) -> DataFrame:
+def encoded_terms(terms: DataFrame, encode: Encoder = sim.hashed_ngrams) -> DataFrame:
     """``(term, ord, vector)`` of a vocabulary."""
     return terms.select("term", "ord", F.expr(encode("term")).alias("vector"))
 
@@ -115,12 +130,19 @@ def match_terms(
     case_sensitive: bool = True,
     fold_keys: bool = False,
     limit: int = VOCABULARY_LIMIT,
+    term_vectors: DataFrame | None = None,
+    diagnosis_vectors: DataFrame | None = None,
 ) -> DataFrame:
     """The cascade on distinct ``term`` values: exact, then fuzzy, then semantic, then unmatched.
 
     Adds ``standard``, ``score`` and ``method``.  A later tier is evaluated only for terms that
     the earlier ones left open, and terms are matched once however often they occur.
+
+    Vectors made elsewhere are given together: ``term_vectors (term, vector)``, one row a term, and ``diagnosis_vectors
+    (term, ord, vector)``; they take the place of ``encode``.  A term without a vector is similar to nothing.
     """
+    if (term_vectors is None) != (diagnosis_vectors is None):
+        raise ValueError("vectors of terms and of diagnoses are given together or not at all")
     spark = terms.sparkSession
     vocabulary = abbreviations_df(spark) if vocabulary is None else vocabulary
     diagnoses = DIAGNOSES if diagnoses is None else diagnoses
@@ -133,9 +155,16 @@ def match_terms(
         lambda c: f"if(_exact IS NULL, {fuzzy_best('term', c, fuzzy_threshold, case_sensitive)}, NULL)",
         "term", size, limit,
     ).withColumnRenamed("best", "_fuzzy")
+    vector, vectors = encode("term"), None
+    if term_vectors is not None:
+        given = term_vectors.select(F.col("term").alias("_term"), F.col("vector").alias("_vector"))
+        fuzzy = fuzzy.join(given, F.col("term") == F.col("_term"), "left").drop("_term")
+        vector, vectors, size = "_vector", diagnosis_vectors, None
+    # no vector, no score
+    nearest = f"if(_exact IS NULL AND _fuzzy IS NULL, {vector_best(vector, '{c}', semantic_threshold)}, NULL)"
     semantic = with_best(
-        fuzzy, prepared_vectors(term_vectors(table, encode)),
-        lambda c: f"if(_exact IS NULL AND _fuzzy IS NULL, {vector_best(encode('term'), c, semantic_threshold)}, NULL)",
+        fuzzy, prepared_vectors(encoded_terms(table, encode) if vectors is None else vectors),
+        lambda c: nearest.replace("{c}", c),
         "term", size, limit,
     ).withColumnRenamed("best", "_semantic")
     return semantic.select(
@@ -202,21 +231,19 @@ def item_counts(notes: DataFrame, spans: DataFrame, patterns: DataFrame | None =
 
 def fallback_label(
     notes: DataFrame,
-    diagnoses: DataFrame,
+    bare: str,
     labels: list[str] | None = None,
     threshold: float = 0.2,
-    max_chars: int | None = None,
     encode: Encoder = sim.hashed_ngrams,
     text: str = "raw_text",
     key: str = "record_id",
 ) -> DataFrame:
-    """Diagnosis rows for notes that have none: the label most similar to the note, if it reaches
-    ``threshold``.  ``max_chars`` limits the text looked at (512 in the original model set-up)."""
+    """Diagnosis rows for notes that have none: the label most similar to the whole note, if it reaches
+    ``threshold``.  ``bare`` is a condition on the note's own columns that says it has none, so no note leaves its row."""
     labels = NOTE_LABELS if labels is None else labels
-    vectors = prepared_vectors(term_vectors(terms_df(notes.sparkSession, labels), encode))
-    body = col(text) if max_chars is None else f"substring({col(text)}, 1, {max_chars})"
-    bare = notes.select(key, text).join(diagnoses.select(key).distinct(), key, "left_anti")
-    best = with_best(bare, vectors, lambda c: vector_best(encode(body), c, threshold), key, len(labels))
+    vectors = prepared_vectors(encoded_terms(terms_df(notes.sparkSession, labels), encode))
+    rows = notes.filter(bare).select(key, text)
+    best = with_best(rows, vectors, lambda c: vector_best(encode(col(text)), c, threshold), key, len(labels))
     return best.filter("best IS NOT NULL").select(
         key,
         F.lit("diagnoses").alias("pattern"),
@@ -231,12 +258,15 @@ def fallback_label(
     )
 
 
-def standardise(notes: DataFrame, spans: DataFrame, patterns: DataFrame | None = None, use_fallback: bool = False, **options) -> DataFrame:
-    """The standardised long table of notes and their diagnosis spans."""
+def standardise(notes: DataFrame, spans: DataFrame, patterns: DataFrame | None = None, use_fallback: bool = False, bare: str = NO_SPANS, **options) -> DataFrame:
+    """The standardised long table of notes and their diagnosis spans.
+
+    With ``use_fallback`` notes that are ``bare``, by default records without annotated diagnoses, get a label.
+    """
     patterns = extract_patterns(notes) if patterns is None else patterns
     diagnoses = cascade(spans, **options)
     if use_fallback:
-        diagnoses = diagnoses.unionByName(fallback_label(notes, spans, encode=options.get("encode", sim.hashed_ngrams)))
+        diagnoses = diagnoses.unionByName(fallback_label(notes, bare, encode=options.get("encode", sim.hashed_ngrams)))
     return standardise_patterns(patterns).unionByName(diagnoses).select(*STANDARD_COLUMNS)
 
 

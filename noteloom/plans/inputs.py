@@ -96,6 +96,23 @@ SELECT p_partkey AS record_id,
 FROM part
 """.replace("strpos(", "instr(")
 
+# Names of one to six words from the given tables, one of which stands inside another.
+GAZETTEER = """
+SELECT c_name AS name, 'ORG' AS label FROM customer
+UNION ALL SELECT 'Clinic ' || CAST(c_custkey AS STRING) || ' of the ' || p_name, 'ORG' FROM customer
+  JOIN part ON p_partkey = c_custkey % 200
+UNION ALL SELECT DISTINCT p_name, 'LOC' FROM part
+UNION ALL SELECT 'Clinic', 'GPE'
+"""
+# Notes with such names, a title, a placeholder, and a name that a letter beyond ASCII runs into.
+NAMED_NOTES = """
+SELECT event_id AS record_id, c_name, p_name, 'Clinic ' || CAST(c_custkey AS STRING) || ' of the ' || p_name AS clinic,
+  'Dr Hale saw ' || c_name || ' at Clinic ' || CAST(c_custkey AS STRING) || ' of the ' || p_name
+    || ', not [LOCATION_1] nor Clinic and ' || CASE event_id % 2 WHEN 0 THEN 'é' ELSE 'e' END || p_name || '. ' || p_name AS raw_text
+FROM events JOIN customer ON c_custkey = event_id % 150
+  JOIN part ON p_partkey = c_custkey % 200
+"""
+
 # A span table as a model would give it: the words of each note under labels in turn.
 GIVEN_LABELS = ["PERSON", "ORG", "GPE", "LOC", "DATE", "CARDINAL"]
 WORDS = "[A-Za-z0-9/+@.]+"
@@ -140,6 +157,21 @@ def misspelt_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MISSPELT_PARTS.replace("FROM part", "FROM {part}"), part=table(spark, sf_dir, "part"))
 
 
+def _from_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    names = ("events", "customer", "part")
+    for name in names:
+        sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}").replace(f"JOIN {name}", f"JOIN {{{name}}}")
+    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in names})
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_tables(spark, sf_dir, GAZETTEER)
+
+
+def named_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_tables(spark, sf_dir, NAMED_NOTES).select("record_id", "raw_text")
+
+
 def spans_of(notes: DataFrame) -> DataFrame:
     """Annotated diagnoses as ``(record_id, ord, entity)``."""
     return notes.filter("disease IS NOT NULL").select("record_id", F.lit(0).alias("ord"), F.col("disease").alias("entity"))

@@ -122,6 +122,9 @@ ITEMS = [*STD, CTE_SPANS, *cascade_ctes(), CTE_DX,
          "items AS (SELECT pattern, value, unit, method FROM std UNION ALL SELECT pattern, NULL, NULL, method FROM dx)"]
 
 
+CTE_DX_ONLY = "x AS (SELECT record_id, CASE WHEN method <> 'unmatched' THEN standard END AS standard, method FROM dx)"
+
+
 def weighted_ctes(vocab: str) -> list[str]:
     """Weighted ratio of every pair of ``terms`` and the vocabulary, step by step."""
 
@@ -414,7 +417,10 @@ LEFT JOIN (SELECT record_id, count(*) AS n, count(DISTINCT pattern) AS k FROM pa
     out["label_top1"] = with_(*near) + "SELECT vec_id, 'label ' || label AS label, round(score, 6) AS score FROM near WHERE score >= 0.2"
     out["label_top1_scores"] = """WITH s AS (SELECT user_id, event_type, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY user_id) AS score FROM events GROUP BY user_id, event_type),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, ascii(event_type), event_type DESC) AS rn FROM s)
-SELECT user_id, event_type AS label, round(score, 6) AS score FROM r WHERE rn = 1 AND score >= 0.4"""
+SELECT user_id, event_type AS label, round(score, 6) AS score FROM r WHERE rn = 1 AND score >= 0.25"""
+    out["cascade_vectors"] = with_(*near) + """SELECT vec_id AS record_id, 'item ' || vec_id AS raw,
+  CASE WHEN score >= 0.22 THEN 'label ' || label ELSE 'item ' || vec_id END AS standard, CASE WHEN score >= 0.22 THEN round(score, 6) END AS score,
+  CASE WHEN score >= 0.22 THEN 'semantic_match' ELSE 'unmatched' END AS method FROM near"""
     dx = [CTE_NOTES, CTE_VOCAB, CTE_SPANS, *cascade_ctes()]
     out["cascade_diagnoses"] = with_(*dx, CTE_DX) + "SELECT record_id, pattern, ord, raw, standard, round(score, 6) AS score, method FROM dx"
     out["cascade_misspelt"] = with_(
@@ -428,6 +434,12 @@ SELECT user_id, event_type AS label, round(score, 6) AS score FROM r WHERE rn =
     ) + """SELECT record_id, arg_max(term, (s, -ord)) AS standard, round(max(s), 6) AS score, 'zero_shot' AS method FROM s GROUP BY record_id HAVING max(s) >= 0.2"""
     out["standardised_long"] = with_(*STD, CTE_SPANS, *cascade_ctes(), CTE_DX) + """SELECT record_id, pattern, ord, raw, standard, category, round(value, 6) AS value, unit, NULL::DOUBLE AS score, method FROM std
 UNION ALL SELECT record_id, pattern, ord, raw, standard, NULL, NULL, NULL, round(score, 6), method FROM dx"""
+    labelled = out["fallback_label"].removeprefix("WITH ")
+    out["standardise_fallback"] = f"""SELECT * FROM ({out["standardised_long"]}) UNION ALL
+SELECT record_id, 'diagnoses', 0, NULL, standard, NULL, NULL, NULL, score, method FROM (WITH {labelled})"""
+    out["standardised_map_items"] = f"""WITH long AS ({out["standardised_long"]}), bare AS (SELECT DISTINCT record_id FROM long EXCEPT SELECT record_id FROM long WHERE pattern = 'diagnoses')
+SELECT record_id, pattern, row_number() OVER (PARTITION BY record_id, pattern ORDER BY ord) - 1 AS pos, raw, standard, category, value, unit, score, method FROM long
+UNION ALL SELECT record_id, 'diagnoses', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM bare"""
     out["method_distribution"] = with_(*dx) + "SELECT method, sum(n)::BIGINT AS n FROM matched GROUP BY method"
 
     names = {"PHONE": "pii_phone", "EMAIL": "pii_email", "POSTCODE": "pii_postcode", "MICROCHIP": "pii_microchip", "DATE": "pii_date", "ID": "pii_registration_id"}
@@ -437,6 +449,7 @@ UNION ALL SELECT record_id, pattern, ord, raw, standard, NULL, NULL, NULL, round
     out["pii_conversations"] = with_(
         "turns AS (SELECT conv_id * 1000 + turn AS turn_id, text AS body FROM conversations)", pii_cte("turns", "turn_id", "body")
     ) + """SELECT turn_id, type, text, start::BIGINT AS start, "end"::BIGINT AS "end" FROM pii"""
+    out["pii_documents"] = with_(pii_cte("documents", "doc_id", "text")) + """SELECT doc_id, type, text, start::BIGINT AS start, "end"::BIGINT AS "end" FROM pii"""
     found = with_(CTE_NOTES, pii_cte())
     out["pii_spans"] = found + """SELECT record_id, type, text, start::BIGINT AS start, "end"::BIGINT AS "end" FROM pii"""
     out["pii_counts"] = found + "SELECT type, count(*) AS n_matches, count(DISTINCT text) AS n_values FROM pii GROUP BY type"
@@ -451,6 +464,22 @@ LEFT JOIN (SELECT record_id, count(*) AS n FROM e_entities GROUP BY record_id) c
     out["deidentify_notes"] = with_(*CHAIN) + """SELECT d.record_id, d.redacted AS redacted_text, coalesce(s.n, 0) + coalesce(e.n, 0) AS n_entities, coalesce(s.n, 0) AS n_structured FROM e_done d
 LEFT JOIN (SELECT record_id, count(*) AS n FROM s_entities GROUP BY record_id) s ON d.record_id = s.record_id
 LEFT JOIN (SELECT record_id, count(*) AS n FROM e_entities GROUP BY record_id) e ON d.record_id = e.record_id"""
+    out["publish_notes"] = with_(*CHAIN, *ITEMS[1:], SIX, CTE_DX_ONLY) + """SELECT d.record_id, d.redacted AS redacted_text, coalesce(e.p, '') AS placeholders,
+  coalesce(p.n, 0) AS n_matches, x.standard AS diagnosis, x.method, round((SELECT after FROM six WHERE dimension = 'Accuracy')::DOUBLE, 6) AS accuracy
+FROM e_done d
+LEFT JOIN (SELECT record_id, string_agg(placeholder, '|' ORDER BY part, seq) AS p FROM (
+  SELECT record_id, 0 AS part, seq, placeholder FROM s_entities UNION ALL SELECT record_id, 1, seq, placeholder FROM e_entities) GROUP BY record_id) e ON d.record_id = e.record_id
+LEFT JOIN (SELECT record_id, count(*) AS n FROM patterns GROUP BY record_id) p ON d.record_id = p.record_id
+LEFT JOIN x ON d.record_id = x.record_id"""
+    named = f"named AS ({inputs.NAMED_NOTES})"
+    out["tag_gazetteer"] = with_(named, """parts AS (SELECT record_id, unnest([
+  {'text': 'Hale', 'label': 'PERSON', 's': 3}, {'text': c_name, 'label': 'ORG', 's': 12}, {'text': clinic, 'label': 'ORG', 's': 16 + len(c_name)},
+  {'text': 'Clinic', 'label': 'GPE', 's': 39 + len(c_name) + len(clinic)},
+  {'text': p_name, 'label': 'LOC', 's': 53 + len(c_name) + len(clinic) + len(p_name)}]) AS x FROM named)""") + (
+        """SELECT record_id, x.text AS text, x.label AS label, x.s::BIGINT AS start, (x.s + len(x.text))::BIGINT AS "end" FROM parts"""
+    )
+    out["deidentify_gazetteer"] = with_(named) + """SELECT record_id, 'Dr [PERSON_1] saw ' || c_name || ' at ' || clinic || ', not [LOCATION_1] nor [LOCATION_1] and '
+  || CASE record_id % 2 WHEN 0 THEN 'é' ELSE 'e' END || p_name || '. [LOCATION_2]' AS redacted_text, 3::BIGINT AS n_entities FROM named"""
     out["entities_all"] = with_(*CHAIN) + f"""SELECT {entity}, 'raw' AS frame FROM s_entities UNION ALL
 SELECT record_id, seq + coalesce(n, 0), type, text, start::BIGINT, "end"::BIGINT, placeholder, 'regex_redacted'
 FROM e_entities LEFT JOIN (SELECT record_id, count(*) AS n FROM s_entities GROUP BY record_id) USING (record_id)"""

@@ -14,6 +14,7 @@ from noteloom.operators import entities as ent
 from noteloom.operators import evaluation, matching, privacy, quality
 from noteloom.operators import extract as ext
 from noteloom.operators import standardise as std
+from noteloom.operators.publish import publish
 from noteloom.plans import inputs
 from noteloom.sources.annotations import parse_annotations
 from noteloom.sources.notes import shape_records
@@ -25,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 NGRAM_THRESHOLD = 0.5
 # The given vectors are spread out: the nearest label mean is rarely closer than this.
 VECTOR_THRESHOLD = 0.22
+# About half of the users have an event type with more than this share of their events.
+LABEL_SHARE = 0.25
 CASCADE = {"semantic_threshold": NGRAM_THRESHOLD}
 
 CUSTOMER_KEYS = ["nation", "segment", "balance"]
@@ -148,6 +151,12 @@ def extract_all(notes):
     )
 
 
+@query
+def tag_gazetteer(spark, sf_dir):
+    """Names from a table of any size, of one to six words, under the same rules as the cues."""
+    return ent.tag_entities(inputs.named_notes(spark, sf_dir), inputs.gazetteer(spark, sf_dir))
+
+
 # --- standardisation -------------------------------------------------------------------------
 
 
@@ -213,7 +222,7 @@ def label_top1_scores(spark, sf_dir):
     scores = parts.join(totals, "user_id").select(
         "user_id", F.col("event_type").alias("label"), F.ascii("event_type").alias("ord"), (F.col("n") / F.col("total")).alias("score")
     )
-    return matching.label_top1(scores, 0.4, "user_id")
+    return matching.label_top1(scores, LABEL_SHARE, "user_id")
 
 
 @on_notes
@@ -229,15 +238,47 @@ def cascade_misspelt(spark, sf_dir):
 
 @on_notes
 def fallback_label(notes):
-    found = std.fallback_label(notes, inputs.spans_of(notes))
+    found = std.fallback_label(notes, "disease IS NULL")
     return found.select("record_id", "standard", "score", "method")
 
 
+@query
+def cascade_vectors(spark, sf_dir):
+    """The cascade with vectors made elsewhere: those of ``embeddings`` against the means of their labels."""
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    named = vectors.select("vec_id", F.concat(F.lit("item "), F.col("vec_id").cast("string")).alias("term"), "embedding")
+    spans = named.select(F.col("vec_id").alias("record_id"), F.lit(0).alias("ord"), F.col("term").alias("entity"))
+    means = _label_vectors(vectors)
+    out = std.cascade(
+        spans,
+        diagnoses=means.select("term", "ord"),
+        semantic_threshold=VECTOR_THRESHOLD,
+        term_vectors=named.select("term", F.col("embedding").alias("vector")),
+        diagnosis_vectors=means,
+    )
+    return out.select("record_id", "raw", "standard", "score", "method")
+
+
 @on_notes
 def standardised_long(notes):
     return std.standardise(notes, inputs.spans_of(notes), **CASCADE)
 
 
+@on_notes
+def standardise_fallback(notes):
+    return std.standardise(notes, inputs.spans_of(notes), use_fallback=True, bare="disease IS NULL", **CASCADE)
+
+
+@on_notes
+def standardised_map_items(notes):
+    """The items of each note's map, in their order."""
+    maps = std.standardised_map(std.standardise(notes, inputs.spans_of(notes), **CASCADE), notes)
+    lists = maps.select("record_id", F.explode("standardised").alias("pattern", "items"))
+    items = lists.select("record_id", "pattern", F.posexplode_outer("items").alias("pos", "i"))
+    fields = ("raw", "standard", "category", "value", "unit", "score", "method")
+    return items.select("record_id", "pattern", "pos", *[F.col(f"i.{c}").alias(c) for c in fields])
+
+
 @on_notes
 def method_distribution(notes):
     return std.method_distribution(inputs.spans_of(notes), **CASCADE)
@@ -279,6 +320,13 @@ def pii_conversations(spark, sf_dir):
     return deid.find_pii(inputs.spread(keyed, "turn_id"), None, "text", "turn_id")
 
 
+@query
+def pii_documents(spark, sf_dir):
+    """Identifiers of every type in whole documents."""
+    documents = inputs.spread(inputs.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return deid.find_pii(documents, None, "text", "doc_id")
+
+
 @on_notes
 def pii_spans(notes):
     return deid.find_pii(notes)
@@ -321,6 +369,33 @@ def entities_all(notes):
     return deid.entities_long(deid.deidentify(notes), n_structured="n_structured")
 
 
+@query
+def deidentify_gazetteer(spark, sf_dir):
+    done = deid.deidentify(inputs.named_notes(spark, sf_dir), inputs.gazetteer(spark, sf_dir))
+    return done.select("record_id", "redacted_text", F.size("entities").alias("n_entities"))
+
+
+@on_notes
+def publish_notes(notes):
+    """What is published of each note: no span text of an unmatched diagnosis among it."""
+    maps = std.standardised_map(std.standardise(notes, inputs.spans_of(notes), **CASCADE), notes)
+    done = deid.deidentify(ext.extract_all(notes)).select(
+        "record_id", "extracted", F.struct("redacted_text", F.col("entities").alias("entities_found")).alias("deidentified")
+    )
+    records = quality.attach_scores(done.join(maps, "record_id"), quality.quality_scores(inputs.annotated(notes), _items(notes), weight="n"))
+    public = publish(records)
+    diagnoses = F.element_at("standardised", F.lit("diagnoses"))
+    return public.select(
+        "record_id",
+        "redacted_text",
+        F.array_join(F.transform("entities", lambda e: e["placeholder"]), "|").alias("placeholders"),
+        F.aggregate(F.map_values("patterns"), F.lit(0), lambda n, m: n + F.size(m)).alias("n_matches"),
+        F.get(diagnoses, F.lit(0))["standard"].alias("diagnosis"),
+        F.get(diagnoses, F.lit(0))["method"].alias("method"),
+        F.element_at("quality_scores", F.lit("Accuracy"))["after"].alias("accuracy"),
+    )
+
+
 # --- privacy ---------------------------------------------------------------------------------
 
 

@@ -30,7 +30,7 @@ class Run:
     fmt: str = "parquet"
     k: int = 5
     use_fallback: bool = False
-    gazetteer: dict | None = None
+    gazetteer: dict | DataFrame | None = None
     match_options: dict = field(default_factory=dict)
 
     def path(self, stage: str) -> str:

@@ -14,9 +14,10 @@ _OPTIONS = {
     "allowUnquotedControlChars": "true",
     "mode": "PERMISSIVE",
 }
-# a quoted string, a quote without an end, or the text between strings
-_TOKEN = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|['"]|[^'"]+"""
-_HEX = r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})"
+# a quoted string, a quote without an end, or the text between strings; possessive, as Java keeps a
+# stack frame for every repetition that it might give back
+_TOKEN = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|['"]|[^'"]++"""
+_HEX = r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})"
 _TRAILING_COMMA = r",(\s*[\]}])"
 
 

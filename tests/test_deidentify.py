@@ -128,6 +128,35 @@ def test_gazetteer_table_equals_pattern(spark, texts):
     assert sorted(by_table.collect()) == sorted(by_pattern.collect()) and by_table.count() == 5
 
 
+def test_gazetteer_table_of_any_size(spark, texts):
+    rows = texts(
+        "Sent to Royal Veterinary College of North London via [LOCATION_1] and Leeds", "North London Leeds's York_ éLeeds", "Mrs Leeds of College of North",
+        "A B C D E F", None, "", "Call 01234 567890 for Mr Hale of Leeds, York or North London",
+    )
+    lists = {"GPE": ["Leeds", "York", "London", "C", "LOCATION_1"], "LOC": ["North London", "B C"], "ORG": ["Royal Veterinary College of North London", "A B", "College of North", "A B C D E F"]}
+    lists = dict(sorted(lists.items()))
+    small = spark.createDataFrame([(n, label) for label, names in lists.items() for n in names] + [(None, "GPE"), ("x", None), ("York", "GPE")], "name string, label string")
+    large = small.unionByName(spark.range(3000).select(F.concat(F.lit("nobody "), "id").alias("name"), F.lit("ORG").alias("label")))
+    expected = sorted(tag_entities(rows, lists).collect())
+    assert sorted(tag_entities(rows, small).collect()) == sorted(tag_entities(rows, large).collect()) == expected
+    assert sorted(tag_entities(rows, small.limit(0)).collect()) == sorted(tag_entities(rows, {}).collect())
+    assert sorted(deidentify(rows, large).collect()) == sorted(deidentify(rows, lists).collect())
+    many = {label: [*names, *(f"nobody {i}" for i in range(3000 if label == "ORG" else 0))] for label, names in lists.items()}
+    assert sorted(tag_entities(rows, many).collect()) == expected
+
+
+def test_given_spans_after_structured_redaction(texts):
+    rows = texts("Call 01234 567890 for Hale")
+    named = redact_structured(rows).select("record_id", "raw_text", F.expr("array(named_struct('text', 'Hale', 'label', 'PERSON', 'start', 19, 'end', 23))").alias("model"))
+    row = deidentify(named, spans="model").first()
+    assert row.redacted_text == "Call [PHONE_1] for [PERSON_1]" and row.n_structured == 1
+
+
+def test_long_names_do_not_overflow(texts):
+    row = tag_entities(texts("Mr" + " Hale" * 100_000 + ". end")).first()
+    assert (row.label, row.start, row.end) == ("PERSON", 3, 2 + 5 * 100_000)
+
+
 def test_span_filters(spark):
     rows = [
         ("Hale", "PERSON"), (" BAR ", "ORG"), ("ABCDE", "ORG"), ("ABCDEF", "ORG"), ("X", "GPE"), ("Flat 4", "GPE"), ("Flat ²", "GPE"),

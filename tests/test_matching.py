@@ -172,9 +172,30 @@ def test_methods_partition_the_spans(notes):
 
 def test_fallback_only_without_diagnosis(spark, texts):
     rows = texts("vomiting, vomiting and more vomiting", "xyz", "vomiting")
-    got = fallback_label(rows, spans(spark, "a", "b").filter("record_id = 1").unionByName(spans(spark, "x", "y", "z").filter("record_id = 2")))
+    got = fallback_label(rows, "record_id = 0")
     assert [(r.record_id, r.standard, r.method) for r in got.collect()] == [(0, "Vomiting", "zero_shot")]
     late = texts("x" * 600 + " vomiting" * 200)
-    none = spans(spark).filter("false")
-    assert fallback_label(late, none).first().standard == "Vomiting"
-    assert fallback_label(late, none, max_chars=512).filter("standard = 'Vomiting'").count() == 0
+    found = fallback_label(late, "true")
+    assert found.first().standard == "Vomiting"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange hash" not in plan
+
+
+def test_given_vectors(spark):
+    terms = term_counts(spans(spark, "OA", "a", "b", "c", "d"))
+    given = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 2.0]), ("d", [0.0, 0.0])], "term string, vector array<float>")
+    known = spark.createDataFrame([("x", 0, [3.0, 0.0]), ("y", 1, [0.0, 1.0])], "term string, ord int, vector array<float>")
+    matched = match_terms(terms, term_vectors=given, diagnosis_vectors=known)
+    assert {r.term: (r.standard, r.method) for r in matched.collect()} == {
+        "OA": ("Osteoarthritis", "exact_match"), "a": ("x", "semantic_match"), "b": ("y", "semantic_match"), "c": ("c", "unmatched"), "d": ("d", "unmatched"),
+    }
+    with pytest.raises(ValueError, match="together"):
+        match_terms(terms, term_vectors=given)
+
+
+def test_repeated_vocabulary_rows_keep_one_row_an_item(spark):
+    rows = [("OA", "first", "g", 0), ("OA", "last", "h", 1), ("oa", "folded", "i", 2), ("oA", "other", "j", 3), (None, "none", "k", 4)]
+    vocabulary = spark.createDataFrame(rows, "term string, canonical string, category string, ord int")
+    for fold, expected in ((False, "last"), (True, "other")):
+        found = match_terms(term_counts(spans(spark, "OA")), vocabulary, fold_keys=fold).collect()
+        assert [(r.standard, r.method) for r in found] == [(expected, "exact_match")]

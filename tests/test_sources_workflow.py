@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from noteloom.operators.privacy import quasi_keys
+from noteloom.operators.standardise import standardise
 from noteloom.plans import inputs
 from noteloom.plans.workflow import Run, run_all
 from noteloom.sources.annotations import parse_labels, parse_spans
-from noteloom.sources.notes import read_notes, read_records, write_records
+from noteloom.sources.notes import disease_spans, read_notes, read_records, write_records
 from noteloom.streaming.notes import redacted_stream, standardised_stream, stream_notes, write_stream
 
 
@@ -69,6 +70,13 @@ def test_json_array_file(spark, tmp_path):
     assert read_records(spark, str(tmp_path / "lines"), "json").count() == 2
 
 
+def test_long_literals_do_not_overflow(spark):
+    long = "it\\'s x " * 150_000
+    rows = spark.createDataFrame([(f"[{{'entity': '{long}', 'label': None}}]",), ("[{'entity': '" + "y" * 1_000_000,)], "t string")
+    got = rows.select(parse_spans("t").alias("s")).collect()
+    assert got[0].s[0].entity == long.replace("\\", "") and got[1].s == []
+
+
 @pytest.fixture(scope="module")
 def finished(spark, sf_dir, tmp_path_factory):
     folder = tmp_path_factory.mktemp("run")
@@ -103,6 +111,28 @@ def test_published_table_holds_no_identifiers(finished):
     assert raw.join(kept, "record_id").filter(F.array_contains("shown", F.col("age"))).count() == 0
 
 
+def test_published_table_holds_no_unmatched_span_text(finished):
+    run, _ = finished
+    public = run.load("public")
+    shown = public.select("record_id", F.explode(F.element_at("standardised", F.lit("diagnoses"))).alias("i"))
+    assert shown.filter("i.method = 'unmatched' AND i.standard IS NOT NULL").count() == 0
+    assert shown.filter("i.method = 'unmatched'").count() > 0 and shown.filter("i.standard IS NOT NULL").count() > 0
+    texts = run.load("standardised").filter("pattern = 'diagnoses' AND method = 'unmatched'").select("record_id", "raw")
+    everything = public.drop("redacted_text").select("record_id", F.to_json(F.struct("*")).alias("j"))
+    assert everything.join(texts, "record_id").filter(F.col("j").contains(F.col("raw"))).count() == 0
+    families = {r.k for r in public.select(F.explode(F.map_keys("patterns")).alias("k")).distinct().collect()}
+    assert families >= {"vital_sign", "temperature", "dosage", "age", "weight", "sex_neuter", "clinical_status"}
+
+
+def test_fallback_stage_of_records(finished):
+    run, _ = finished
+    records = run.load("records")
+    items = standardise(records, disease_spans(records), use_fallback=True, semantic_threshold=0.5)
+    labelled = items.filter("method = 'zero_shot'").select("record_id")
+    assert labelled.count() > 0
+    assert labelled.join(records.filter("size(ground_truth.disease_spans) > 0"), "record_id").count() == 0
+
+
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
     notes = inputs.notes(spark, sf_dir).select("record_id", "raw_text")
     notes.repartition(3).write.parquet(str(tmp_path / "in"))
