@@ -29,6 +29,12 @@ def extract_patterns(notes: DataFrame, patterns: dict[str, str] | None = None, t
     return long.select(key, "i.pattern", "i.ord", "i.raw")
 
 
+def extracted_patterns(extracted: DataFrame, key: str = "record_id") -> DataFrame:
+    """The long table of :func:`extract_patterns` from written extractions."""
+    lists = extracted.select(key, F.explode("extracted.vet_patterns").alias("pattern", "m"))
+    return lists.select(key, "pattern", F.posexplode("m").alias("ord", "raw"))
+
+
 def extract_one(notes: DataFrame, pattern: str, text: str = "raw_text", key: str = "record_id") -> DataFrame:
     """Long table of a single clinical pattern."""
     return extract_patterns(notes, {pattern: CLINICAL_PATTERNS[pattern]}, text, key)

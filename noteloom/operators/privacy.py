@@ -12,6 +12,7 @@ from noteloom.operators.skew import heavy_keys, salted_join
 
 QUASI_KEYS = ["age", "weight", "sex"]
 UNKNOWN = "unknown"
+VALUE_LISTS = {"age_values": "age", "weight_values": "weight"}
 
 
 def quasi_keys(notes: DataFrame, text: str = "raw_text", key: str = "record_id") -> DataFrame:
@@ -51,7 +52,7 @@ def k_members(keyed: DataFrame, k: int = 5, keys: list[str] | None = None, key:
 
 
 def generalise_age(age: str) -> Column:
-    """Age band of an age text column; months and weeks are juvenile whatever the number."""
+    """Age band of an age text column (bands and limits are fixed values); months and weeks are juvenile whatever the number."""
     text = f"lower({age})"
     cases = f"""CASE WHEN ga_n IS NULL THEN '{UNKNOWN}'
       WHEN contains({text}, 'month') OR contains({text}, 'wk') OR contains({text}, 'week') THEN 'juvenile'
@@ -61,7 +62,7 @@ def generalise_age(age: str) -> Column:
 
 
 def generalise_weight(weight: str) -> Column:
-    """Weight band of a weight text column by its number alone."""
+    """Weight band of a weight text column by its number alone (bands and limits are fixed values)."""
     cases = f"""CASE WHEN gw_n IS NULL THEN '{UNKNOWN}' WHEN gw_n < 5 THEN '0-5kg' WHEN gw_n < 10 THEN '5-10kg'
       WHEN gw_n < 20 THEN '10-20kg' WHEN gw_n < 40 THEN '20-40kg' ELSE '40+kg' END"""
     return F.expr(let("gw_n", first_number(weight), cases))
@@ -107,19 +108,38 @@ def mitigated_patterns(notes: DataFrame, k: int = 5, text: str = "raw_text", key
 
     A record at risk keeps one generalised value in each list it has; other lists stay whole.
     """
-    lists = {"age_values": "age", "weight_values": "weight"}
     found = notes.select(
         key,
-        *[F.expr(all_matches(col(text), CLINICAL_PATTERNS[p], ignore_case=True)).alias(c) for c, p in lists.items()],
+        *[F.expr(all_matches(col(text), CLINICAL_PATTERNS[p], ignore_case=True)).alias(c) for c, p in VALUE_LISTS.items()],
         F.coalesce(F.expr(first_of(col(text), "sex_neuter")), F.lit(UNKNOWN)).alias("sex"),
     )
-    keyed = found.select("*", *[F.coalesce(F.get(c, F.lit(0)), F.lit(UNKNOWN)).alias(p) for c, p in lists.items()])
+    return mitigated_lists(keyed_lists(found), k, key)
+
+
+def keyed_lists(found: DataFrame) -> DataFrame:
+    """Add ``age`` and ``weight``, the first of each list, to ``(key, age_values, weight_values, sex)``."""
+    return found.select("*", *[F.coalesce(F.get(c, F.lit(0)), F.lit(UNKNOWN)).alias(p) for c, p in VALUE_LISTS.items()])
+
+
+def extracted_lists(extracted: DataFrame, key: str = "record_id") -> DataFrame:
+    """``(key, age_values, weight_values, sex, age, weight)`` from written extractions: no text is matched again."""
+    none = F.array().cast("array<string>")
+
+    def matches(pattern: str) -> Column:
+        return F.coalesce(F.try_element_at("extracted.vet_patterns", F.lit(pattern)), none)
+
+    sex = F.coalesce(F.get(matches("sex_neuter"), F.lit(0)), F.lit(UNKNOWN)).alias("sex")
+    return keyed_lists(extracted.select(key, *[matches(p).alias(c) for c, p in VALUE_LISTS.items()], sex))
+
+
+def mitigated_lists(keyed: DataFrame, k: int = 5, key: str = "record_id") -> DataFrame:
+    """The lists of :func:`keyed_lists` with the values of records at risk generalised."""
     members = k_members(keyed, k, key=key)
     return members.select(
         key,
         *[
             F.when(F.col("risky") & (F.size(c) > 0), F.array(GENERALISERS[p](p))).otherwise(F.col(c)).alias(c)
-            for c, p in lists.items()
+            for c, p in VALUE_LISTS.items()
         ],
         "sex",
         "n_records",

@@ -25,6 +25,7 @@ DEGREES = "°C"
 STANDARD_COLUMNS = ["record_id", "pattern", "ord", "raw", "standard", "category", "value", "unit", "score", "method"]
 # A record without annotated diagnoses.
 NO_SPANS = "coalesce(size(ground_truth.disease_spans), 0) <= 0"
+# Methods that count as standardised.
 MATCHED_METHODS = ["exact_match", "fuzzy_match", "semantic_match", "zero_shot", "parsed"]
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from noteloom.operators.deidentify import deidentify
 from noteloom.operators.evaluation import evaluate_spans, span_counts
-from noteloom.operators.extract import extract_all
-from noteloom.operators.privacy import k_before_after, mitigated_patterns, quasi_keys
+from noteloom.operators.extract import extract_all, extracted_patterns
+from noteloom.operators.privacy import extracted_lists, k_before_after, mitigated_lists
 from noteloom.operators.publish import publish
 from noteloom.operators.quality import attach_scores, quality_report, quality_scores
 from noteloom.operators.standardise import method_distribution, standardise, standardised_map
@@ -48,30 +48,35 @@ def load_stage(run: Run, source: str, fmt: str = "parquet", **options: str) -> D
     return run.save(read_notes(run.spark, source, fmt, **options), "records")
 
 
+def text_stage(run: Run) -> DataFrame:
+    """Records with ``extracted``, ``redacted_text``, ``entities`` and ``n_structured``.
+
+    The one stage that looks into the notes: each text is matched here and nowhere else.
+    """
+    found = extract_all(run.load("records"), run.gazetteer)
+    return run.save(deidentify(found, run.gazetteer), "texts")
+
+
 def standardise_stage(run: Run) -> DataFrame:
     records = run.load("records")
-    items = standardise(records, disease_spans(records), use_fallback=run.use_fallback, **run.match_options)
+    patterns = extracted_patterns(run.load("texts"))
+    items = standardise(records, disease_spans(records), patterns, use_fallback=run.use_fallback, **run.match_options)
     return run.save(items, "standardised")
 
 
-def deidentify_stage(run: Run) -> DataFrame:
-    """Redaction is done once and serves both the output and the evaluation."""
-    records = run.load("records").select("record_id", "raw_text")
-    return run.save(deidentify(records, run.gazetteer), "deidentified")
-
-
 def privacy_stage(run: Run) -> tuple[DataFrame, DataFrame]:
-    records = run.load("records")
-    risk = run.save(k_before_after(quasi_keys(records), run.k), "privacy_risk")
-    mitigated = mitigated_patterns(records, run.k)
-    return risk, run.save(mitigated, "mitigated")
+    """k-anonymity before and after, and the pattern lists of each note with risky values generalised."""
+    keyed = extracted_lists(run.load("texts"))
+    risk = run.save(k_before_after(keyed, run.k), "privacy_risk")
+    return risk, run.save(mitigated_lists(keyed, run.k), "mitigated")
 
 
 def evaluation_stage(run: Run) -> DataFrame:
-    gold = run.load("records").select("record_id", F.col("ground_truth.anon_spans.entity").alias("gold"))
-    found = run.load("deidentified").select("record_id", F.col("entities.text").alias("found"))
-    joined = gold.filter(F.size("gold") > 0).join(found, "record_id")
-    return run.save(evaluate_spans(span_counts(joined, "gold", "found")), "evaluation")
+    """Detected entities against the annotated ones, row by row."""
+    pairs = run.load("texts").select(
+        "record_id", F.col("ground_truth.anon_spans.entity").alias("gold"), F.col("entities.text").alias("found")
+    )
+    return run.save(evaluate_spans(span_counts(pairs.filter(F.size("gold") > 0), "gold", "found")), "evaluation")
 
 
 def quality_stage(run: Run) -> DataFrame:
@@ -81,15 +86,11 @@ def quality_stage(run: Run) -> DataFrame:
 
 def final_records(run: Run) -> DataFrame:
     """One nested record per note with everything the stages found."""
-    records = run.load("records")
-    extracted = extract_all(records, run.gazetteer)
+    texts = run.load("texts")
     mitigated = run.load("mitigated").select("record_id", "age_values", "weight_values")
-    patterns = standardised_map(run.load("standardised"), records)
-    redacted = run.load("deidentified").select(
-        "record_id",
-        F.struct("redacted_text", F.col("entities").alias("entities_found")).alias("deidentified"),
-    )
-    whole = extracted.join(patterns, "record_id").join(redacted, "record_id").join(mitigated, "record_id")
+    patterns = standardised_map(run.load("standardised"), texts)
+    # the one table with texts meets two without any
+    whole = texts.join(patterns, "record_id").join(mitigated, "record_id")
     lists = F.transform_values(
         "extracted.vet_patterns",
         lambda k, v: F.when(k == "age", F.col("age_values")).when(k == "weight", F.col("weight_values")).otherwise(v),
@@ -97,7 +98,8 @@ def final_records(run: Run) -> DataFrame:
     shaped = whole.select(
         "record_id", "raw_text", "ground_truth",
         F.struct(F.col("extracted.ner_entities").alias("ner_entities"), lists.alias("vet_patterns")).alias("extracted"),
-        "standardised", "deidentified",
+        "standardised",
+        F.struct("redacted_text", F.col("entities").alias("entities_found")).alias("deidentified"),
     )
     return attach_scores(shaped, run.load("quality"))
 
@@ -105,8 +107,8 @@ def final_records(run: Run) -> DataFrame:
 def run_all(run: Run, source: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """All stages; returns the quality report.  The public table is written last."""
     load_stage(run, source, fmt, **options)
+    text_stage(run)
     standardise_stage(run)
-    deidentify_stage(run)
     privacy_stage(run)
     evaluation_stage(run)
     quality_stage(run)
