@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from noteloom.functions import similarity as sim
 from noteloom.functions.text import col, let, lit
 from noteloom.functions.vocabulary import terms_df
-from noteloom.operators.skew import SALTS
 
 VOCABULARY_LIMIT = 1000
+# Places that the rows of a large vocabulary's block are dealt to.
+SALTS = 64
 
 
 def best_of(candidates: str, score: str, cutoff: float) -> str:

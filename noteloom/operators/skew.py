@@ -8,41 +8,35 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The heaviest keys, by count.  Any key outside them holds at most 1/(HEAVY_KEYS + 1) of the rows,
-# so the set handed to every task is bounded whatever the data looks like.
-HEAVY_KEYS = 1000
-SALTS = 64
+# Rows of one key that a task takes at most; a key with more is dealt to as many places as it needs.
+TARGET_ROWS = 1_000_000
 
 
-def heavy_keys(counts: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """The keys with most rows and their counts, from a table with one row per key."""
-    return counts.orderBy(F.col(count).desc(), *keys).limit(HEAVY_KEYS).select(*keys, count)
+def heavy_keys(counts: DataFrame, keys: list[str], count: str, target: int = TARGET_ROWS) -> DataFrame:
+    """``(_hash, _places)`` of the keys with more than ``target`` rows, from a table with one row per key.
+
+    There are at most rows / ``target`` of them, twelve bytes each.
+    """
+    heavy = counts.filter(F.col(count) > target)
+    places = F.ceil(F.col(count) / target).cast("int")
+    return heavy.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.max(places).alias("_places"))
 
 
-def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], heavy: DataFrame, row_id: str, how: str = "left", salts: int = SALTS) -> DataFrame:
+def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], heavy: DataFrame, row_id: str, how: str = "left") -> DataFrame:
     """Join ``rows`` to ``groups`` (one row per key) with the rows of heavy keys spread out.
 
-    Rows of a heavy key go to one of ``salts`` places by a hash of ``row_id`` and the one group
+    Rows of a heavy key go to one of its places by a hash of ``row_id`` and the one group
     row of that key is copied to all of them; other keys join as usual.  NULL keys match NULL.
-    The salt depends on the row alone, so a task that runs again gives the same rows.
+    Both sides look a key up by its hash, so a key that shares one is merely dealt out too.
+    The place depends on the row alone, so a task that runs again gives the same rows.
     """
 
     def mark(df: DataFrame) -> DataFrame:
-        # the count is compared too where the group table has it: so all uses of the count table
-        # need the same columns and Spark runs it once
-        on = [c for c in heavy.columns if c in keys or c in df.columns]
-        marked = heavy.select(*[F.col(c).alias(f"_h_{c}") for c in on], F.lit(True).alias("_heavy"))
-        match = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in on]
-        return df.join(F.broadcast(marked), reduce(and_, match), "left").drop(*[f"_h_{c}" for c in on])
-
-    salt = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
-    left = mark(rows).withColumn("_salt", F.when(F.col("_heavy"), salt).otherwise(0)).drop("_heavy")
-    everywhere = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = (
-        mark(groups)
-        .withColumn("_g_salt", F.explode(F.when(F.col("_heavy"), everywhere).otherwise(F.array(F.lit(0)))))
-        .drop("_heavy")
-        .withColumnsRenamed({k: f"_g_{k}" for k in keys})
-    )
+        return df.join(F.broadcast(heavy), F.xxhash64(*keys) == F.col("_hash"), "left").drop("_hash")
+
+    place = F.when(F.col("_places").isNull(), 0).otherwise(F.pmod(F.xxhash64(row_id), F.col("_places")).cast("int"))
+    left = mark(rows).withColumn("_salt", place).drop("_places")
+    everywhere = F.sequence(F.lit(0), F.coalesce("_places", F.lit(1)) - 1)
+    right = mark(groups).withColumn("_g_salt", F.explode(everywhere)).drop("_places").withColumnsRenamed({k: f"_g_{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys] + [F.col("_salt") == F.col("_g_salt")]
     return left.join(right, reduce(and_, match), how).drop("_salt", "_g_salt", *[f"_g_{k}" for k in keys])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from noteloom.functions import similarity as sim
 from noteloom.functions.vocabulary import BREEDS, DIAGNOSES
 from noteloom.operators.matching import fuzzy_join, label_top1, vector_join, weighted_fuzzy_join
+from noteloom.operators.skew import heavy_keys, salted_join
 from noteloom.operators.standardise import cascade, fallback_label, match_terms, method_distribution, term_counts
 from noteloom.plans import inputs
 
@@ -165,6 +166,16 @@ def test_hot_term_keeps_every_span(spark):
     assert rows.count() == 30000 and rows.filter("method = 'exact_match'").count() == 10000
 
 
+def test_heavy_keys_join_like_others(spark):
+    rows = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 4 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most"))
+    heavy = heavy_keys(groups, ["k"], "n", 30)
+    assert sorted(r._places for r in heavy.collect())[-1] == 17
+    found = salted_join(rows, groups, ["k"], heavy, "id")
+    plain = rows.join(groups.withColumnRenamed("k", "g"), F.col("k").eqNullSafe(F.col("g"))).drop("g")
+    assert found.count() == 2000 and found.select(*plain.columns).exceptAll(plain).count() == 0
+
+
 def test_methods_partition_the_spans(notes):
     of_notes = inputs.spans_of(notes)
     assert method_distribution(of_notes).agg(F.sum("n")).first()[0] == of_notes.count()
