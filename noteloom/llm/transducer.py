@@ -25,11 +25,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noteloom.llm.scratch import written
 from noteloom.llm.words import CACHE, CUT_OFF, KNOWN, SPACES, WordEncoder, byte_letters, take_ranges
 
 LEXICON = 1 << 16  # frequent words in the automaton; the rest is merged
+LEVELS = 16  # steps of frequency in each doubling
 LONG = 64  # bytes; longer words are merged one by one
-COUNTED = 400_000  # words that a task counts before it hands them on
+COUNTED = 200_000  # words that a task counts before it hands them on
+TOGETHER = 1 << 17  # ids decoded at once
 NEVER = np.int64(1) << 40
 
 # Fixed value: how texts are cut into words
@@ -133,9 +136,10 @@ class Merges:
         ids, of = np.concatenate(done_ids), np.concatenate(done_of)
         return ids[np.argsort(of, kind="stable")].astype(np.uint32), np.bincount(of, minlength=len(words))
 
-    def decoded(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes that the ids spell."""
-        return take_ranges(self.spelt, self.starts[ids], self.sizes[ids])
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """The bytes that the ids spell; some ids at a time, as each byte takes a few numbers of eight bytes on the way."""
+        steps = (ids[at : at + TOGETHER] for at in range(0, len(ids), TOGETHER))
+        return b"".join([take_ranges(self.spelt, self.starts[x], self.sizes[x]).tobytes() for x in steps])
 
 
 def minimal_automaton(words: list[bytes]) -> tuple[list[dict[int, int]], list[bool]]:
@@ -374,11 +378,19 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def lexicon(docs: DataFrame, vocabulary: str, size: int = LEXICON) -> bytes:
-    """The compiled automaton of the ``size`` most frequent words; ties to the smaller word.
+    """The compiled automaton of the most frequent words, at most ``size``.
 
-    The words come to the driver, at most ``size`` of them, and so do not grow with the corpus.
+    Counts are put on levels, ``LEVELS`` to each doubling, and the words of the highest levels are taken as long as
+    there are no more than ``size``.  Only the sizes of the levels, some hundreds, and these words come to the driver.
     """
-    frequent = word_counts(docs, vocabulary).orderBy(F.desc("n"), "word").limit(size).collect()
+    counts = written(word_counts(docs, vocabulary).withColumn("level", F.floor(F.log2("n") * LEVELS).cast("int")), "word-counts")
+    words, least = 0, None
+    for row in counts.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        words += row["words"]
+        if words > size:
+            break
+        least = row["level"]
+    frequent = counts.filter(F.col("level") >= least).select("word").collect() if least is not None else []
     words = sorted(r["word"].encode("utf-8", "surrogatepass") for r in frequent)
     return compiled(words, *merge_table(vocabulary).words(words))
 
@@ -398,7 +410,7 @@ def encoded(docs: DataFrame, vocabulary: str, size: int = LEXICON) -> DataFrame:
         for batch in batches:
             for rows, flat, sizes in encoder.encode(batch.column(1)):
                 flat = flat.astype("<u4")
-                spelt = encoder.merges.decoded(flat).tobytes()
+                spelt = encoder.merges.decoded(flat)
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
                 letters = np.concatenate(([0], np.cumsum(encoder.merges.sizes[flat])))[bounds].tolist()
                 ids = [flat[s:e].tobytes() for s, e in pairwise(bounds.tolist())]

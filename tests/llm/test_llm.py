@@ -305,9 +305,11 @@ def test_transducer_and_merging(docs, empty):
         for _, flat, sizes in encoder.encode(pa.array(texts)):
             parts = np.split(flat, np.cumsum(sizes)[:-1])
             got += [x.tolist() for x in parts]
-            back += [merges.decoded(x).tobytes().decode() for x in parts]
+            back += [merges.decoded(x).decode() for x in parts]
         assert got == library_ids(BYTES, texts)
         assert back == texts
+    long = np.arange(300_000, dtype=np.uint32) % 50257
+    assert merges.decoded(long) == b"".join(merges.spelt[s : s + n].tobytes() for s, n in zip(merges.starts[long], merges.sizes[long], strict=True))
     rows = transducer.encoded(docs, BYTES, 50).collect()
     source = docs.collect()
     expected = Counter((r.doc_id, np.array(x, "<u4").tobytes(), (r.text or "").encode()) for r, x in zip(source, library_ids(BYTES, [r.text for r in source]), strict=True))
