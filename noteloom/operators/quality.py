@@ -30,13 +30,24 @@ def _sum(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("bigint")
 
 
-def _checks(one_row: DataFrame, parts: list[tuple[str, str, Column, Column]]) -> DataFrame:
+# (dimension, side, passed, checks) as expressions of the sums.
+NOTE_PARTS = [
+    ("Completeness", "before", "filled", "n * 3"),
+    ("Completeness", "after", "filled + n * 3", "n * 6"),
+    ("Accuracy", "before", "known", "words"),
+    ("Validity", "before", "long_enough", "n"),
+    ("Validity", "after", "long_enough", "n"),
+]
+UNIQUE_PARTS = [("Uniqueness", side, "`distinct`", "n") for side in ("before", "after")]
+
+
+def _checks(one_row: DataFrame, parts: list[tuple[str, str, str, str]]) -> DataFrame:
     """``(dimension, side, passed, checks)`` from a single row of sums."""
     rows = F.array(
         *[
             F.struct(
                 F.lit(d).alias("dimension"), F.lit(side).alias("side"),
-                p.cast("double").alias("passed"), n.cast("double").alias("checks"),
+                F.expr(p).cast("double").alias("passed"), F.expr(n).cast("double").alias("checks"),
             )
             for d, side, p, n in parts
         ]
@@ -50,33 +61,45 @@ def note_checks(notes: DataFrame, canonical: list[str] | None = None, text: str
     ``icd_labels`` and ``disease_spans`` are arrays.  The three slots that processing adds to a
     record are always filled, so each counts as a passed check.
     """
+    per_note = notes.select(*_note_facts(canonical, text))
+    return _checks(per_note.agg(*_note_sums()), NOTE_PARTS)
+
+
+def _note_facts(canonical: list[str] | None, text: str) -> list[Column]:
+    """What the checks need of one note, as numbers."""
     canonical = RAW_CANONICAL if canonical is None else canonical
     words = F.expr(all_matches(col(text), CAPITALS_PATTERN))
-    per_note = notes.select(
+    return [
         F.coalesce(F.length(text), F.lit(0)).alias("size"),
         F.coalesce(F.size("icd_labels"), F.lit(0)).alias("labels"),
         F.coalesce(F.size("disease_spans"), F.lit(0)).alias("spans"),
         F.size(words).alias("words"),
         F.size(F.filter(words, lambda w: w.isin(canonical))).alias("known"),
-    )
-    sums = per_note.agg(
+    ]
+
+
+def _note_sums() -> list[Column]:
+    return [
         F.count("*").alias("n"),
         (_sum(F.col("size") > 0) + _sum(F.col("labels") > 0) + _sum(F.col("spans") > 0)).alias("filled"),
         F.coalesce(F.sum("words"), F.lit(0)).alias("words"),
         F.coalesce(F.sum("known"), F.lit(0)).alias("known"),
         _sum(F.col("size") > MIN_TEXT).alias("long_enough"),
-    )
-    n, filled = F.col("n"), F.col("filled")
-    return _checks(
-        sums,
-        [
-            ("Completeness", "before", filled, n * 3),
-            ("Completeness", "after", filled + n * 3, n * 6),
-            ("Accuracy", "before", F.col("known"), F.col("words")),
-            ("Validity", "before", F.col("long_enough"), n),
-            ("Validity", "after", F.col("long_enough"), n),
-        ],
-    )
+    ]
+
+
+def _digests(columns: list[str]) -> list[Column]:
+    """Keys by a 256-bit digest, so a shuffle moves 32 bytes per distinct text.  NULL is a value."""
+    return [F.coalesce(F.unhex(F.sha2(F.col(c).cast("binary"), 256)), F.lit(b"")).alias(f"_{c}") for c in columns]
+
+
+def note_and_uniqueness_checks(notes: DataFrame, columns: list[str], canonical: list[str] | None = None, text: str = "raw_text") -> DataFrame:
+    """Both kinds of checks in one pass: the sums of the notes are taken per distinct key, then over all keys."""
+    facts = notes.select(*_digests(columns), *_note_facts(canonical, text))
+    groups = facts.groupBy(*[f"_{c}" for c in columns]).agg(*_note_sums())
+    names = ("n", "filled", "words", "known", "long_enough")
+    sums = groups.agg(F.count("*").alias("distinct"), *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names])
+    return _checks(sums, NOTE_PARTS + UNIQUE_PARTS)
 
 
 def _in_range(value: Column, pattern: Column) -> Column:
@@ -110,10 +133,10 @@ def item_checks(items: DataFrame, weight: str | None = None) -> DataFrame:
     return _checks(
         sums,
         [
-            ("Accuracy", "after", F.col("accurate"), F.col("n")),
-            ("Consistency", "after", F.col("in_range"), F.col("values")),
-            ("Validity", "after", F.col("valid"), F.col("measured")),
-            ("Standardisation", "after", F.col("standard"), F.col("n")),
+            ("Accuracy", "after", "accurate", "n"),
+            ("Consistency", "after", "in_range", "`values`"),
+            ("Validity", "after", "valid", "measured"),
+            ("Standardisation", "after", "standard", "n"),
         ],
     )
 
@@ -121,13 +144,9 @@ def item_checks(items: DataFrame, weight: str | None = None) -> DataFrame:
 def uniqueness_checks(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct key values against rows.  Keys are compared by a 256-bit digest, so a shuffle
     moves 32 bytes per distinct text and repeated texts are dropped before it.  NULL is a value."""
-    digests = rows.select(
-        *[F.coalesce(F.unhex(F.sha2(F.col(c).cast("binary"), 256)), F.lit(b"")).alias(c) for c in columns]
-    )
-    groups = digests.groupBy(*columns).agg(F.count("*").alias("n"))
+    groups = rows.select(*_digests(columns)).groupBy(*[f"_{c}" for c in columns]).agg(F.count("*").alias("n"))
     sums = groups.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    parts = [("Uniqueness", side, F.col("distinct"), F.col("n")) for side in ("before", "after")]
-    return _checks(sums, parts)
+    return _checks(sums, UNIQUE_PARTS)
 
 
 def scores(checks: DataFrame) -> DataFrame:
@@ -153,11 +172,7 @@ def scores(checks: DataFrame) -> DataFrame:
 
 def quality_checks(notes: DataFrame, items: DataFrame, key_columns: list[str] | None = None, canonical: list[str] | None = None, text: str = "raw_text", weight: str | None = None) -> DataFrame:
     """All checks; ``items`` is the standardised table, or its counts with their column as ``weight``."""
-    return (
-        note_checks(notes, canonical, text)
-        .unionByName(item_checks(items, weight))
-        .unionByName(uniqueness_checks(notes, key_columns or [text]))
-    )
+    return note_and_uniqueness_checks(notes, key_columns or [text], canonical, text).unionByName(item_checks(items, weight))
 
 
 def quality_scores(notes: DataFrame, items: DataFrame, **options) -> DataFrame:
