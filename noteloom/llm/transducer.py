@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.llm.scratch import written
-from noteloom.llm.words import CACHE, CUT_OFF, KNOWN, SPACES, WordEncoder, byte_letters, take_ranges
+from noteloom.llm.words import CUT_OFF, KNOWN, SPACES, WordEncoder, byte_letters, take_ranges
 
 LEXICON = 1 << 16  # frequent words in the automaton; the rest is merged
 LEVELS = 16  # steps of frequency in each doubling
@@ -275,7 +275,12 @@ class Transducer:
 
 
 class LexiconEncoder(WordEncoder):
-    """Encodes like its parent, words by automaton and merge table in place of the library."""
+    """Encodes like its parent, words by automaton and merge table in place of the library.
+
+    Merging takes some hundred bytes for each byte of an unknown word, so texts are taken in smaller parts.
+    """
+
+    part_bytes, cache = 2 << 20, 250_000
 
     def __init__(self, path: str, block: bytes):
         self.merges, self.lexicon = merge_table(path), Transducer(block)
@@ -313,8 +318,7 @@ class LexiconEncoder(WordEncoder):
         for i, words in cut.items():
             found[i] = b"".join([wanted[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in words])
         recent.update(zip(chunks, found, strict=True))
-        if len(recent) > CACHE // 2:
-            self.older, self.recent = recent, {}
+        self._forget()
         return found
 
 

@@ -57,6 +57,8 @@ class WordEncoder:
     with spaces dropped.
     """
 
+    part_bytes, cache = PART_BYTES, CACHE
+
     def __init__(self, path: str, byte_level: bool):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
@@ -77,7 +79,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         """Words not met while half of the cache filled up are dropped."""
-        if len(self.recent) > CACHE // 2:
+        if len(self.recent) > self.cache // 2:
             self.older, self.recent = self.recent, {}
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
@@ -154,13 +156,13 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """Some texts after the other: which, their ids in one array, and the number of ids of each.  Null texts are empty."""
-        texts = texts.cast(pa.large_string()).fill_null("")
-        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-        group = (np.cumsum(sizes) - sizes) // PART_BYTES
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = (np.cumsum(sizes) - sizes) // self.part_bytes
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
         for start, end in zip(cuts[:-1], cuts[1:], strict=True):
             if end > start:
-                yield slice(start, end), *self._part(texts.slice(start, end - start))
+                part = texts.slice(start, end - start).cast(pa.large_string()).fill_null("")
+                yield slice(start, end), *self._part(part)
 
 
 @lru_cache(maxsize=2)
