@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent.parent
@@ -34,6 +36,11 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def opened_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a URI as Spark writes it, and the path in it, for tasks that read and write files themselves."""
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, wherever the driver was started from."""
     if getattr(spark.sparkContext, "_noteloom_shipped", False):

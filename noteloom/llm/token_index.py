@@ -15,12 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from noteloom.llm.scratch import fresh, written
+from noteloom.llm.scratch import fresh, opened_store, written
 from noteloom.llm.words import word_encoder
 
 END = 0
@@ -147,7 +146,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, byte_level: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary, byte_level)
         kind = np.dtype("<u2" if max(encoder.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
-        store, root = pafs.FileSystem.from_uri(folder)
+        store, root = opened_store(folder)
         keys, sizes, first, sink, total = [], [], None, None, 0
         path = f"shard-{uuid.uuid4().hex}.tok"
         for batch in batches:
@@ -193,7 +192,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                store, path = pafs.FileSystem.from_uri(row["path"])
+                store, path = opened_store(row["path"])
                 with store.open_input_file(path) as source:
                     shard = TokenShard(source)
                     distinct = np.unique(shard.keys)

@@ -15,12 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noteloom.llm.scratch import fresh, written
+from noteloom.llm.scratch import fresh, opened_store, written
 
 LEAST = 100  # payload bytes from which equal payloads are revisits
 FRAME_BYTES = 1 << 20  # records are added to a frame until it holds so many
@@ -139,7 +138,7 @@ def write_bundles(pages: DataFrame, folder: str, least: int = LEAST, frame_bytes
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = pafs.FileSystem.from_uri(folder)
+        store, root = opened_store(folder)
         name, sink, packer = f"{uuid.uuid4().hex}.warc.zst", None, zstandard.ZstdCompressor(level=LEVEL)
         frames: list[tuple[int, int]] = []
         held, ids, pages_, places, begin = [], [], [], [], 0
@@ -199,7 +198,7 @@ def read_bundles(index: DataFrame) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 if row["bundle"] != opened:
-                    store, path = pafs.FileSystem.from_uri(row["bundle"])
+                    store, path = opened_store(row["bundle"])
                     if bundle is not None:
                         bundle.source.close()
                     opened, bundle, at_frame = row["bundle"], Bundle(store.open_input_file(path)), None
