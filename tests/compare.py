@@ -38,7 +38,7 @@ def rows_of(columns: list[str], rows) -> Counter:
 
 
 def kinds(types: dict[str, str]) -> dict[str, str]:
-    same = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
+    same = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean", "INTEGER": "int"}
     return {c: same.get(t, t) for c, t in types.items()}
 
 
@@ -73,7 +73,7 @@ def main(scale: str, names: list[str]) -> int:
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         print(f"{name:30s} {time.time() - start:6.1f}s {'ok' if problem is None else problem}", flush=True)
-        failed += [name] if problem else []
+        failed += [name] if problem not in (None, "no SQL") else []
     print(f"{len(failed)} differ: {failed}")
     return len(failed)
 
