@@ -49,11 +49,12 @@ def _repeated(packed: Column, words: Column, bits: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """One row for each row of ``(doc_id, text, source)`` with word counts, line hashes and a sketch.
+    """One row for each row of ``(doc_id, text, source)`` with word counts, line hashes and the hash of the text.
 
     Windows are found twice by sorting numbers that hold a window's hash above its place, so that equal ones
     meet; the place takes as many bits as the document's number of words needs.
-    ``lines`` has the hash and the words of each different normalised line.
+    ``lines`` has the hash and the words of each normalised line; ``sketch``, the text's hash, says which rows are
+    one document.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
@@ -72,13 +73,12 @@ def measured(docs: DataFrame) -> DataFrame:
         "row",
         "doc_id",
         "host",
-        F.xxhash64("text").alias("text_hash"),
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.translate("text", SPACES, "")).cast("bigint").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("bigint").alias("n_dup_lines"),
         covered.cast("bigint").alias("n_repeat_words"),
-        F.coalesce(F.array_min("windows"), F.xxhash64("text")).alias("sketch"),
+        F.xxhash64("text").alias("sketch"),
         pairs.alias("lines"),
     )
 
@@ -86,8 +86,8 @@ def measured(docs: DataFrame) -> DataFrame:
 def frequent_lines(rows: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR) -> DataFrame:
     """``(host, hash)`` of lines in more than ``floor`` and more than ``share`` of a host's distinct documents.
 
-    Documents are distinct by their sketch, the smallest hash of their word windows: copies, and nearly
-    always near copies, are one document here and are left to deduplication.
+    Documents are distinct by their whole text: exact copies are one document and are left to deduplication.
+    Texts that differ at all count each, however much they share, so near copies do too.
     """
     seen = rows.select("host", "sketch", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
     counts = seen.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") > floor)
@@ -122,7 +122,7 @@ def quality(docs: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR,
         failed.alias("base_failed"),
         (~failed & left).alias("kept"),
         removed.alias("removed_words"),
-        "text_hash",
+        F.col("sketch").alias("text_hash"),
     )
 
 

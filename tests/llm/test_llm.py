@@ -210,6 +210,18 @@ def test_lines_of_many_documents(spark):
     assert {r.doc_id for r in line_rules.keep_quality(docs, share=0.1, floor=5).collect()} == {r[0] for r in rows} - {20}
 
 
+def test_texts_that_share_most_of_their_words_are_different_documents(spark):
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    passage = "\n".join(words(20) for _ in range(10))
+    rows = [(i, f"{passage}\n{words(30)}", "depleted") for i in range(60)] + [(60 + i, words(80), "depleted") for i in range(20)]
+    rows += [(100 + i, f"{passage}\n{rows[0][1]}", "copies") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = rows_of(line_rules.quality(docs).orderBy("doc_id"), "removed_words", "kept")
+    assert got == brute.line_verdicts(rows, [t for _, t, _ in rows], 0.02, 20, 0.5)
+    assert got[:80] == [(200, False)] * 60 + [(0, True)] * 20 and {n for n, _ in got[80:]} == {0}
+
+
 # --- packing and token ids -------------------------------------------------------------------
 
 
