@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules on words and shared lines."""
+    """Documents that pass the rules on words and shared lines, without the lines that too many documents of a host share."""
     return line_rules.keep_quality(docs)
 
 

@@ -1,7 +1,7 @@
 """Quality rules on words and on lines that many documents of a host share.  DataFrame functions only.
 
 Lines are normalised and hashed; each host's documents with a line are counted, and lines in more of them
-than the limit count as removed.  A document that loses too many of its words is rejected.
+than the limit are removed.  A document that loses too many of its words is rejected.
 """
 
 from __future__ import annotations
@@ -48,6 +48,22 @@ def _repeated(packed: Column, words: Column, bits: Column) -> Column:
     return F.transform(F.filter(packed, twice), place)
 
 
+def _host(docs: DataFrame) -> Column:
+    return F.coalesce(docs["source"].cast("string"), F.lit(""))
+
+
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n")
+
+
+def _blank(line: Column) -> Column:
+    return F.length(F.translate(line, SPACES, "")) == 0
+
+
+def _normal(line: Column) -> Column:
+    return F.lower(F.array_join(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), " "))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """One row for each row of ``(doc_id, text, source)`` with word counts, line hashes and the hash of the text.
 
@@ -57,17 +73,17 @@ def measured(docs: DataFrame) -> DataFrame:
     one document.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
+    base = docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), _host(docs).alias("host"))
     base = base.withColumn("row", F.monotonically_increasing_id())
     base = base.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    base = base.withColumn("raw_lines", F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0))
+    base = base.withColumn("raw_lines", F.filter(_lines(F.col("text")), lambda x: ~_blank(x)))
     base = base.withColumn("windows", _hashes(F.col("words"))).withColumn("bits", F.length(F.bin(F.size("words"))))
     packed = F.transform("windows", lambda h, i: F.call_function("shiftleft", h, F.col("bits")).bitwiseOR(i.cast("bigint")))
     base = base.withColumn("packed", F.sort_array(packed))
     base = base.withColumn("places", F.sort_array(_repeated(F.col("packed"), F.col("words"), F.col("bits"))))
     steps = F.transform(F.slice("places", 2, F.greatest(F.size("places") - 1, F.lit(0))), lambda p, i: F.least(p - F.col("places")[i], F.lit(3)))
     covered = F.when(F.size("places") > 0, F.aggregate(steps, F.lit(3), lambda total, step: total + step)).otherwise(0)
-    normal = F.transform("raw_lines", lambda x: F.lower(F.array_join(F.regexp_extract_all(x, F.lit(WORD), F.lit(0)), " ")))
+    normal = F.transform("raw_lines", _normal)
     pairs = F.transform(normal, lambda x: F.struct(F.xxhash64(x).alias("hash"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("words")))
     return base.select(
         "row",
@@ -95,20 +111,12 @@ def frequent_lines(rows: DataFrame, share: float = HOST_SHARE, floor: int = HOST
     return counts.join(hosts, "host").filter(F.col("n") > F.col("docs") * F.lit(share)).select("host", "hash")
 
 
-def quality(docs: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR, min_left: float = MIN_LEFT) -> DataFrame:
-    """Word counts and verdict of every row of ``(doc_id, text, source)``.
-
-    ``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words,
-    text_hash)``.  ``kept`` is false where ``base_failed`` is, and where the lines that are too frequent for the
-    host (``source``) hold so many of the words that less than ``min_left`` of them remain.
-
-    A null text is an empty one and fails the base; a null source is a host of its own, as an empty one.  Repeated rows
-    and null ids are judged row by row.  An empty table gives no rows; other columns are ignored.
-    """
+def _judged(docs: DataFrame, share: float, floor: int, min_left: float) -> DataFrame:
+    """What ``quality`` returns, with the host and the hashes of the document's lines that are too frequent (``gone``)."""
     rows = written(measured(docs), "measured")
     frequent = written(frequent_lines(rows, share, floor), "frequent-lines")
     lines = rows.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.hash", "line.words")
-    lost = lines.join(frequent, ["host", "hash"]).groupBy("row").agg(F.sum("words").cast("bigint").alias("removed_words"))
+    lost = lines.join(frequent, ["host", "hash"]).groupBy("row").agg(F.sum("words").cast("bigint").alias("removed_words"), F.collect_set("hash").alias("gone"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     removed = F.coalesce("removed_words", F.lit(0).cast("bigint"))
     left = F.col("n_words") - removed >= F.col("n_words") * F.lit(min_left)
@@ -123,15 +131,38 @@ def quality(docs: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR,
         (~failed & left).alias("kept"),
         removed.alias("removed_words"),
         F.col("sketch").alias("text_hash"),
+        "host",
+        "gone",
     )
 
 
-def keep_quality(docs: DataFrame, **limits: float) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with all their columns.
+def quality(docs: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR, min_left: float = MIN_LEFT) -> DataFrame:
+    """Word counts and verdict of every row of ``(doc_id, text, source)``.
+
+    ``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words,
+    text_hash)``.  ``kept`` is false where ``base_failed`` is, and where the lines that are too frequent for the
+    host (``source``) hold so many of the words that less than ``min_left`` of them remain.
+
+    A null text is an empty one and fails the base; a null source is a host of its own, as an empty one.  Repeated rows
+    and null ids are judged row by row.  An empty table gives no rows; other columns are ignored.
+    """
+    return _judged(docs, share, floor, min_left).drop("host", "gone")
+
+
+def keep_quality(docs: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR, min_left: float = MIN_LEFT) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns, and their texts without the lines too frequent for the host.
+
+    The other lines stay as they are, in their order, and so do blank ones.  Where a text has lost lines, ``n_chars``
+    (if there is such a column) is the length of what is left.
 
-    Rows are matched by ``doc_id`` and hash of the text, nulls included, as equal rows have equal verdicts;
-    rows with one id and text but different sources go only if all of these go.
+    Rows are matched by ``doc_id``, host and hash of the text, nulls included, as such rows have equal verdicts.
     """
-    kept = quality(docs, **limits).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text")).distinct()
-    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (text == kept["_kept_text"]), "left_semi")
+    key = ["_kept_id", "_kept_text", "_kept_host"]
+    kept = _judged(docs, share, floor, min_left).filter("kept")
+    kept = kept.select(*[F.col(c).alias(k) for c, k in zip(("doc_id", "text_hash", "host"), key, strict=True)], F.col("gone").alias("_gone")).dropDuplicates(key)
+    same = docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept["_kept_text"]) & (_host(docs) == kept["_kept_host"])
+    text = F.array_join(F.filter(_lines(docs["text"]), lambda x: _blank(x) | ~F.array_contains("_gone", F.xxhash64(_normal(x)))), "\n")
+    columns = {"text": F.when(F.col("_gone").isNull(), docs["text"]).otherwise(text)}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("_gone").isNull(), docs["n_chars"]).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType))
+    return docs.join(kept, same).select(*[columns[c].alias(c) if c in columns else docs[c] for c in docs.columns])

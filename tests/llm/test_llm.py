@@ -222,6 +222,21 @@ def test_texts_that_share_most_of_their_words_are_different_documents(spark):
     assert got[:80] == [(200, False)] * 60 + [(0, True)] * 20 and {n for n, _ in got[80:]} == {0}
 
 
+def test_kept_texts_lose_their_frequent_lines(spark):
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    own = [(words(40), words(30)) for _ in range(30)]
+    rows = [(i, f"\n{a}\n\n Read  MORE here\n{b}\nread more here \n", "host", -1, i) for i, (a, b) in enumerate(own)]
+    rows += [(0, rows[0][1], "elsewhere", -1, 50), (None, rows[1][1], "host", -1, 51), (None, None, None, None, 52), (60, "read more here", "host", -1, 53)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int, extra int")
+    left = [f"\n{a}\n\n{b}\n" for a, b in own]
+    expected = [(i, x, "host", len(x), i) for i, x in enumerate(left)] + [rows[30], (None, left[1], "host", len(left[1]), 51)]
+    got = line_rules.keep_quality(docs)
+    assert got.dtypes == docs.dtypes
+    assert Counter(map(tuple, got.collect())) == Counter(expected)
+    assert Counter(map(tuple, corpus_pipeline.keep_quality(spark, docs, "").collect())) == Counter(expected)
+
+
 # --- packing and token ids -------------------------------------------------------------------
 
 
