@@ -20,6 +20,8 @@ MIN_WORDS = 50
 MAX_REPEAT = 50  # percent of the words in repeated windows
 HOST_SHARE = 0.02  # of a host's documents
 HOST_FLOOR = 20  # documents; for hosts with few
+SMALL_SHARE = 0.1  # of the documents of a host so small that this is less than the floor
+LEAST_FLOOR = 3  # documents; for the smallest hosts
 MIN_LEFT = 0.5  # of a document's words
 
 
@@ -102,13 +104,17 @@ def measured(docs: DataFrame) -> DataFrame:
 def frequent_lines(rows: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR) -> DataFrame:
     """``(host, hash)`` of lines in more than ``floor`` and more than ``share`` of a host's distinct documents.
 
+    Where ``SMALL_SHARE`` of the host is less than ``floor`` it takes its place, down to ``LEAST_FLOOR`` documents.
+    A host with no more distinct documents than that loses no line.
+
     Documents are distinct by their whole text: exact copies are one document and are left to deduplication.
     Texts that differ at all count each, however much they share, so near copies do too.
     """
     seen = rows.select("host", "sketch", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
-    counts = seen.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") > floor)
+    counts = seen.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") > min(floor, LEAST_FLOOR))
     hosts = rows.select("host", "sketch").distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    return counts.join(hosts, "host").filter(F.col("n") > F.col("docs") * F.lit(share)).select("host", "hash")
+    small = F.least(F.lit(floor), F.greatest(F.lit(LEAST_FLOOR), F.col("docs") * F.lit(SMALL_SHARE)))
+    return counts.join(hosts, "host").filter(F.col("n") > F.greatest(F.col("docs") * F.lit(share), small)).select("host", "hash")
 
 
 def _judged(docs: DataFrame, share: float, floor: int, min_left: float) -> DataFrame:

@@ -237,6 +237,16 @@ def test_kept_texts_lose_their_frequent_lines(spark):
     assert Counter(map(tuple, corpus_pipeline.keep_quality(spark, docs, "").collect())) == Counter(expected)
 
 
+def test_small_hosts_lose_lines_too(spark):
+    rng = random.Random(10)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    sizes = {3: 3, 4: 4, 10: 3, 20: 4, 50: 5, 51: 6, 199: 19, 200: 20, 210: 21}  # documents of a host: those with the line
+    rows = [(f"{words(55)}\nthe same notice" if i < n else words(55), f"host{size}") for size, n in sizes.items() for i in range(size)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string, source string")
+    got = Counter(rows[r.doc_id][1] for r in line_rules.quality(docs).filter("removed_words = 3").collect())
+    assert got == {"host4": 4, "host20": 4, "host51": 6, "host210": 21}
+
+
 # --- packing and token ids -------------------------------------------------------------------
 
 
