@@ -26,7 +26,7 @@ from itertools import combinations, permutations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.llm.components import components
@@ -65,15 +65,19 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view(np.uint64)[0])
 
 
+def _text_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("text_hash")
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` with the 64 bits as a signed number; one row for each row of ``(doc_id, text)``."""
+    """``(doc_id, fp, text_hash)`` with the 64 bits as a signed number; one row for each row of ``(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64)), batch.column(2)], ["doc_id", "fp", "text_hash"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), "text", _text_hash(docs)).mapInArrow(run, "doc_id bigint, fp bigint, text_hash bigint")
 
 
 def _remainder(word: int) -> int:
@@ -230,24 +234,33 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, bits: int = MAX_BITS)
 
     Equal fingerprints are one node, so only distinct ones are keyed and compared.
     """
+    return _grouped(docs, words, bits).drop("group", "text_hash")
+
+
+def _grouped(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """What ``near_duplicates`` returns, with a fingerprint that stands for the group and the hash of the text."""
     hashed = written(fingerprints(docs, words), "fingerprints")
     nodes = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     member = written(components(fingerprint_links(nodes, bits)), "members")
     linked_nodes = member.join(nodes, member["node"] == nodes["fp"]).select("node", "root", "least")
     least = linked_nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = linked_nodes.select("node", "root").join(least, "root").select("node", "component_id")
+    classes = linked_nodes.select("node", "root").join(least, "root").select("node", "root", "component_id")
     label = nodes.join(classes, nodes["fp"] == classes["node"], "left")
-    label = written(label.select(F.col("fp").alias("node"), F.coalesce("component_id", "least").alias("component_id")), "labels")
+    label = written(label.select(F.col("fp").alias("node"), F.coalesce("root", "fp").alias("group"), F.coalesce("component_id", "least").alias("component_id")), "labels")
     named = hashed.join(label, hashed["fp"] == label["node"])
     text = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return named.select("doc_id", "fp", text, "component_id")
+    return named.select("doc_id", "fp", text, "component_id", "group", "text_hash")
 
 
 def deduplicate(docs: DataFrame, words: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one whose ``doc_id`` names the group.
 
-    Of rows that repeat that ``doc_id`` one stays; rows with a null ``doc_id`` all stay.
+    Of rows that repeat that ``doc_id`` one stays, that of the smallest text hash among those whose group has this name.
+    A group of none but rows with a null ``doc_id`` keeps the one of the smallest text hash.
     """
-    kept = near_duplicates(docs, words, bits).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    found = _grouped(docs, words, bits)
+    named = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.min("text_hash").alias("_hash"))
+    held = docs.join(named, (docs["doc_id"] == named["_kept"]) & (_text_hash(docs) == named["_hash"]), "left_semi").dropDuplicates(["doc_id"])
+    nameless = found.filter("component_id IS NULL").groupBy("group").agg(F.min("text_hash").alias("_hash")).select("_hash").distinct()
+    rest = docs.filter("doc_id IS NULL").join(nameless, _text_hash(docs) == nameless["_hash"])
+    return held.unionByName(rest.dropDuplicates(["_hash"]).drop("_hash"))

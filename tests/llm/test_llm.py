@@ -147,6 +147,14 @@ def test_near_duplicates_of_odd_rows(docs, empty):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({i for i in least.values()})
 
 
+def test_deduplicate_without_names_and_with_repeated_ones(spark, ship):
+    texts = [" ".join(f"{w}{k}" for w in range(30)) for k in range(4)]
+    rows = [(None, texts[0], "a"), (None, texts[0], "b"), (None, texts[1], "c"), (3, texts[1], "d"), (3, texts[2], "e"), (2, texts[2], "f"), (None, None, "g"), (None, "", "h")]
+    assert len({*groups_of({plain_fingerprint(t) for _, t, _ in rows}).values()}) == 4
+    got = simhash.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string, extra string")).collect()
+    assert sorted(((r.doc_id, r.text or "") for r in got), key=key) == [(None, ""), (None, texts[0]), (2, texts[2]), (3, texts[1])]
+
+
 def test_components_of_a_long_path_and_of_nothing(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (None, 3), (200, 201), (201, 200)], "a bigint, b bigint")
     found = dict(rows_of(components.components(path), "node", "root"))
