@@ -68,7 +68,7 @@ def _terms(lengths: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray, np.n
 def _postings(rows: np.ndarray, dimensions: np.ndarray, weights: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     order = np.argsort(dimensions, kind="stable")
     found, starts = np.unique(dimensions[order], return_index=True)
-    ends = [*starts[1:], len(order)]
+    ends = [*starts[1:], len(order)][: len(found)]
     return {int(d): (rows[order[s:e]], weights[order[s:e]]) for d, s, e in zip(found, starts, ends, strict=True)}
 
 
@@ -123,14 +123,14 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, block: int = BL
 
     Both tables are ``(vec_id, weights)`` of whole numbers.  Ties go to the smaller ``vec_id``; a candidate with the query's own
     id is left out.  Vectors of unequal length meet on the dimensions they share, an empty one scores zero with all.
-    Rows that repeat a candidate's id count each; a query id that repeats is asked once, with one of its
-    vectors.  No queries or no candidates give no rows.
+    Rows that repeat a candidate's id count each; a query id that repeats is asked with each of its rows, and all that
+    these find is ranked together.  No queries or no candidates give no rows.
 
     Every block of queries meets every block of candidates, which is the exhaustive search.  Candidate blocks are dealt
     into groups and a block of queries goes to each group; only blocks are joined.  k rows a query leave each
     pair of blocks, and are cut to k again in each task before they are merged by query.
     """
-    asked = blocks(queries.dropDuplicates(["vec_id"]), QUERY_BLOCK, "query-blocks")
+    asked = blocks(queries.repartition("vec_id"), QUERY_BLOCK, "query-blocks")
     held = blocks(candidates, block, "candidate-blocks")
     spark = candidates.sparkSession
     groups = max(1, min(held.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))

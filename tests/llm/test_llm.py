@@ -450,6 +450,15 @@ def test_top_k_of_odd_vectors(spark, ship, block):
     assert topk.top_k(whole.filter("vec_id = 0"), whole.filter("vec_id < 4"), 9).count() == 3
 
 
+def test_repeated_queries_are_asked_with_each_of_their_vectors(spark, ship):
+    vectors = [(20, [1, 0]), (20, [0, 1]), (20, [0, 1]), (1, [9, 1]), (2, [1, 8]), (3, [7, 7]), (4, [0, 0])]
+    whole = spark.createDataFrame(vectors, "vec_id bigint, weights array<bigint>")
+    found = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for q, x in vectors if q == 20 for i, y in vectors if i != 20)
+    for k in (2, 5, 20):
+        got = topk.top_k(whole.filter("vec_id = 20"), whole, k).collect()
+        assert sorted(map(tuple, got)) == [(20, n, i, -s) for n, (s, i) in enumerate(found[:k], 1)]
+
+
 # --- preferences -----------------------------------------------------------------------------
 
 
