@@ -4,7 +4,7 @@ A shard file is written front to back: the ids of its documents, then the index,
 index maps a document key to its place by a minimal perfect hash: keys are hashed into a bit array, those alone on
 their bit are settled, the others go on to the next, smaller array; the rank of a key's bit is its slot.
 A slot holds a fingerprint of the key, to tell absent keys, and the document's first row.  Shards follow each other in the
-order of keys.
+order of keys; documents without a key come first and are in no index.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -23,11 +24,12 @@ from noteloom.llm.scratch import fresh, opened_store, written
 from noteloom.llm.words import word_encoder
 
 END = 0
-MAGIC = b"NLTOKEN1"
-FOOTER = "<8s6Q"  # magic, bytes of an id, ids, rows, keys, where the index begins, levels
+MAGIC = b"NLTOKEN2"
+FOOTER = "<8s7Q"  # magic, bytes of an id, ids, rows, rows without a key, keys, where the index begins, levels
 SPREAD = 1.5  # bits of a level for each key left
 READ_IDS = 1 << 22  # ids read at once
-MANIFEST = "path string, first_id bigint, first_hash bigint, n_rows bigint, n_ids bigint"
+ENCODED = "doc_id bigint, hash bigint, row bigint, ids binary"
+MANIFEST = "path string, first_id bigint, first_hash bigint, first_row bigint, n_rows bigint, n_ids bigint"
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -73,13 +75,13 @@ class PerfectHash:
         return found
 
 
-def _index(keys: np.ndarray, sizes: np.ndarray) -> tuple[bytes, int, int]:
-    """The index of sorted row keys and their numbers of ids; how many keys and levels it has."""
-    distinct, first = np.unique(keys, return_index=True)
+def _index(keys: np.ndarray, sizes: np.ndarray, blank: int) -> tuple[bytes, int, int]:
+    """The index of sorted row keys and their numbers of ids; how many keys and levels it has.  The first ``blank`` rows have no key."""
+    distinct, first = np.unique(keys[blank:], return_index=True)
     hashed = PerfectHash.of(distinct)
     slots = hashed.slots(distinct)
     prints, rows = np.zeros(len(distinct), "<u4"), np.zeros(len(distinct), "<u8")
-    prints[slots], rows[slots] = fingerprint(distinct), first
+    prints[slots], rows[slots] = fingerprint(distinct), first + blank
     parts = [struct.pack("<Q", len(x)) + np.packbits(x).tobytes() for x in hashed.levels]
     offsets = np.concatenate(([0], np.cumsum(sizes))).astype("<u8")
     return b"".join([*parts, prints.tobytes(), rows.tobytes(), keys.astype("<i8").tobytes(), offsets.tobytes()]), len(distinct), len(hashed.levels)
@@ -92,7 +94,7 @@ class TokenShard:
         self.source = source
         size = source.size()
         source.seek(size - struct.calcsize(FOOTER))
-        magic, width, self.n_ids, self.n_rows, n_keys, begin, n_levels = struct.unpack(FOOTER, source.read(struct.calcsize(FOOTER)))
+        magic, width, self.n_ids, self.n_rows, self.blank, n_keys, begin, n_levels = struct.unpack(FOOTER, source.read(struct.calcsize(FOOTER)))
         if magic != MAGIC:
             raise ValueError("not a token shard")
         self.kind = np.dtype(f"<u{width}")
@@ -135,19 +137,51 @@ class TokenShard:
         return found
 
 
+def encoded_rows(docs: DataFrame, vocabulary: str, byte_level: bool = True, end: int = END) -> DataFrame:
+    """``(doc_id, hash, row, ids)`` of every row of ``(doc_id, text)``, written: a shuffle of it moves ids and no text.
+
+    ``hash`` is the text's, ``row`` a number of its own; ``ids``, closed by ``end``, take two bytes each if all numbers of the
+    vocabulary do, else four.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, row = word_encoder(vocabulary, byte_level), TaskContext.get().partitionId() << 33
+        kind = _kind(encoder.tokenizer.get_vocab_size(), end)
+        for batch in batches:
+            for rows, flat, lengths in encoder.encode(batch.column(1)):
+                bounds = np.concatenate(([0], np.cumsum(lengths + 1)))
+                out = np.full(bounds[-1], end, kind)
+                own = np.ones(len(out), bool)
+                own[bounds[1:] - 1] = False
+                out[own] = flat
+                ids = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds * kind.itemsize), pa.py_buffer(out)])
+                own_columns = [batch.column(c).slice(rows.start, len(lengths)) for c in (0, 2)]
+                numbers = pa.array(np.arange(row, row + len(lengths)))
+                row += len(lengths)
+                yield pa.RecordBatch.from_arrays([*own_columns, numbers, ids.cast(pa.binary())], ["doc_id", "hash", "row", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    return written(rows.mapInArrow(run, ENCODED), "token-ids")
+
+
+def _kind(vocabulary: int, end: int) -> np.dtype:
+    return np.dtype("<u2" if max(vocabulary, end + 1) <= 1 << 16 else "<u4")
+
+
 def write_shards(docs: DataFrame, vocabulary: str, folder: str, byte_level: bool = True, end: int = END) -> DataFrame:
     """Encode ``(doc_id, text)`` and write the shards to ``folder``; returns the written manifest, one row a shard.
 
     ``end`` closes each document.  Every attempt of a task writes a file of its own, and the manifest names the one of the attempt
-    that counted.  Rows without ``doc_id`` have no key and are left out.  Rows that repeat a ``doc_id`` are kept in
-    the order of their texts' hashes.  Null texts are empty.  ``folder`` is a URI that executors reach.
+    that counted.  Rows without ``doc_id`` come first; they have no key, so only ``read_shards`` gives them.  Rows that
+    repeat a ``doc_id`` are kept in the order of their texts' hashes; they may be many, and go to as many shards as they need.
+    Null texts are empty, long ones whole: a document is encoded in one task.  Other columns are ignored, and an empty
+    table has no shards.  ``folder`` is a URI that executors reach.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(vocabulary, byte_level)
-        kind = np.dtype("<u2" if max(encoder.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
+        kind = _kind(word_encoder(vocabulary, byte_level).tokenizer.get_vocab_size(), end)
         store, root = opened_store(folder)
-        keys, sizes, first, sink, total = [], [], None, None, 0
+        keys, sizes, first, sink, total, blank = [], [], None, None, 0, 0
         path = f"shard-{uuid.uuid4().hex}.tok"
         for batch in batches:
             if not batch.num_rows:
@@ -155,30 +189,26 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, byte_level: bool
             if sink is None:
                 store.create_dir(root, recursive=True)
                 sink = store.open_output_stream(f"{root}/{path}", compression=None)
-                first = batch.column(0)[0].as_py(), batch.column(2)[0].as_py()
-            keys.append(batch.column(0).to_numpy())
-            for _, flat, lengths in encoder.encode(batch.column(1)):
-                ends = np.cumsum(lengths + 1) - 1
-                out = np.full(len(flat) + len(lengths), end, kind)
-                own = np.ones(len(out), bool)
-                own[ends] = False
-                out[own] = flat
-                sink.write(out.tobytes())
-                sizes.append(lengths + 1)
-                total += len(out)
+                first = [batch.column(c)[0].as_py() for c in range(3)]
+            blank += batch.column(0).null_count
+            keys.append(batch.column(0).fill_null(0).to_numpy())
+            ids = batch.column(3).to_pylist()
+            sink.write(b"".join(ids))
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)) // kind.itemsize)
+            total += int(sizes[-1].sum())
         if sink is None:
             return
         keys, sizes = np.concatenate(keys), np.concatenate(sizes)
-        index, n_keys, levels = _index(keys, sizes)
+        index, n_keys, levels = _index(keys, sizes, blank)
         sink.write(index)
-        sink.write(struct.pack(FOOTER, MAGIC, kind.itemsize, total, len(keys), n_keys, total * kind.itemsize, levels))
+        sink.write(struct.pack(FOOTER, MAGIC, kind.itemsize, total, len(keys), blank, n_keys, total * kind.itemsize, levels))
         sink.close()
-        row = [[f"{folder}/{path}"], [first[0]], [first[1]], [len(keys)], [total]]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["path", "first_id", "first_hash", "n_rows", "n_ids"])
+        row = [f"{folder}/{path}", *first, len(keys), total]
+        fields = ["path", "first_id", "first_hash", "first_row", "n_rows", "n_ids"]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.string() if c == "path" else pa.int64()) for c, x in zip(fields, row, strict=True)], fields)
 
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    rows = rows.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    ordered = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash")
+    order = ["doc_id", "hash", "row"]  # nulls first, in the shuffle as in the sort
+    ordered = encoded_rows(docs, vocabulary, byte_level, end).repartitionByRange(*order).sortWithinPartitions(*order)
     return written(ordered.mapInArrow(run, MANIFEST), "manifest")
 
 
@@ -186,7 +216,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of every document, by keyed access to the shards of a manifest.
 
     ``start`` counts the ids of all documents before, over all shards; ``ids`` are little-endian unsigned 32-bit
-    numbers.  Each shard's keys are looked up in its index; payloads are read some documents at a time.
+    numbers.  Each shard's keys are looked up in its index, and rows without a key are those before the first of them;
+    payloads are read some documents at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,22 +226,23 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 store, path = opened_store(row["path"])
                 with store.open_input_file(path) as source:
                     shard = TokenShard(source)
-                    distinct = np.unique(shard.keys)
+                    distinct = np.unique(shard.keys[shard.blank :])
                     begins = shard.rows(distinct)
-                    if (shard.keys[begins] != distinct).any():
+                    if (begins < shard.blank).any() or (shard.keys[begins] != distinct).any():
                         raise ValueError(f"the index of {row['path']} does not find its keys")
-                    # first and last row of groups of documents that are read at once
-                    groups = shard.offsets[begins] // READ_IDS
-                    cuts = begins[np.concatenate(([0], np.flatnonzero(np.diff(groups)) + 1))].tolist() if len(begins) else []
+                    # first and last row of groups of rows that are read at once, however many of them share a key
+                    groups = shard.offsets[:-1] // READ_IDS
+                    cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist()]
                     for first, last in zip(cuts, [*cuts[1:], shard.n_rows], strict=True):
                         ids = shard.ids(first, last).astype("<u4")
                         offsets = shard.offsets[first : last + 1]
                         bounds = (offsets - offsets[0]).tolist()
                         data = [ids[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-                        columns = [shard.keys[first:last], offsets[:-1] + row["base"], np.diff(offsets)]
-                        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(data, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+                        keys = pa.array(shard.keys[first:last], mask=np.arange(first, last) < shard.blank)
+                        columns = [keys, pa.array(offsets[:-1] + row["base"]), pa.array(np.diff(offsets)), pa.array(data, pa.binary())]
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
 
-    before = Window.orderBy("first_id", "first_hash").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    before = Window.orderBy("first_id", "first_hash", "first_row").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     files = manifest.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return files.repartition(tasks, "path").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")

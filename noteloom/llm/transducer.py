@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.llm.scratch import written
-from noteloom.llm.words import CUT_OFF, KNOWN, SPACES, WordEncoder, byte_letters, take_ranges
+from noteloom.llm.words import CUT_OFF, KNOWN, SPACES, Remembered, WordEncoder, byte_letters, sliced, take_ranges
 
 LEXICON = 1 << 16  # frequent words in the automaton; the rest is merged
 LEVELS = 16  # steps of frequency in each doubling
@@ -280,45 +280,40 @@ class LexiconEncoder(WordEncoder):
     Merging takes some hundred bytes for each byte of an unknown word, so texts are taken in smaller parts.
     """
 
-    part_bytes, cache = 2 << 20, 250_000
+    part_bytes = 2 << 20
 
     def __init__(self, path: str, block: bytes):
         self.merges, self.lexicon = merge_table(path), Transducer(block)
         self.byte_level = True
-        self.recent, self.older = {}, {}
+        self.known = Remembered()
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.merges.special, key=len, reverse=True))) or "(?!)")
 
     def _distinct(self, words: list[bytes]) -> list[bytes]:
         """Ids of words as bytes."""
         numbers = self.lexicon.numbers(words)
-        ids, sizes = self.merges.words([w for w, n in zip(words, numbers.tolist(), strict=True) if n < 0])
-        merged, at, bounds, held = ids.tobytes(), 0, self.lexicon.bounds, self.lexicon.ids
-        out, ends = [], iter((4 * np.cumsum(sizes)).tolist())
-        for n in numbers.tolist():
-            if n >= 0:
-                out.append(held[bounds[n] : bounds[n + 1]].tobytes())
-            else:
-                end = next(ends)
-                out.append(merged[at:end])
-                at = end
-        return out
+        unknown = [w for w, n in zip(words, numbers.tolist(), strict=True) if n < 0]
+        bounds, held = self.lexicon.bounds, self.lexicon.ids
+        merged = (ids for some in sliced(unknown) for ids in self._merged(some))
+        return [held[bounds[n] : bounds[n + 1]].tobytes() if n >= 0 else next(merged) for n in numbers.tolist()]
+
+    def _merged(self, words: list[bytes]) -> Iterator[bytes]:
+        ids, sizes = self.merges.words(words)
+        ends = (4 * np.cumsum(sizes)).tolist()
+        data = ids.tobytes()
+        return (data[s:e] for s, e in pairwise([0, *ends]))
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        recent, older = self.recent, self.older
-        found = [recent.get(c) or older.get(c) for c in chunks]
+        found = self.known.find(chunks)
         missing = [i for i, x in enumerate(found) if x is None]
         cut = {i: words_of(chunks[i], self.split, self.merges.special) for i in missing}
-        wanted: dict = {}
-        for words in cut.values():
-            for word in words:
-                if isinstance(word, str) and word not in wanted:
-                    wanted[word] = recent.get(word) or older.get(word)
+        words = list({w: None for own in cut.values() for w in own if isinstance(w, str)})
+        wanted = dict(zip(words, self.known.find(words), strict=True))
         new = [w for w, ids in wanted.items() if not ids]
-        wanted.update(zip(new, self._distinct([w.encode("utf-8", "surrogatepass") for w in new]), strict=True))
-        for i, words in cut.items():
-            found[i] = b"".join([wanted[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in words])
-        recent.update(zip(chunks, found, strict=True))
-        self._forget()
+        made = self._distinct([w.encode("utf-8", "surrogatepass") for w in new])
+        wanted.update(zip(new, made, strict=True))
+        for i, own in cut.items():
+            found[i] = b"".join([wanted[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in own])
+        self.known.add(chunks, found)
         return found
 
 
@@ -384,17 +379,20 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
 def lexicon(docs: DataFrame, vocabulary: str, size: int = LEXICON) -> bytes:
     """The compiled automaton of the most frequent words, at most ``size``.
 
-    Counts are put on levels, ``LEVELS`` to each doubling, and the words of the highest levels are taken as long as
-    there are no more than ``size``.  Only the sizes of the levels, some hundreds, and these words come to the driver.
+    Counts are put on levels, ``LEVELS`` to each doubling, and the words of the highest levels are taken; of the level
+    that does not fit whole, the first by word.  Only the sizes of the levels, some hundreds, and these words come to the
+    driver.
     """
     counts = written(word_counts(docs, vocabulary).withColumn("level", F.floor(F.log2("n") * LEVELS).cast("int")), "word-counts")
-    words, least = 0, None
+    left, whole, frequent = size, [], []
     for row in counts.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
-        words += row["words"]
-        if words > size:
+        if row["words"] > left:
+            frequent = counts.filter(F.col("level") == row["level"]).select("word").orderBy("word").limit(left).collect()
             break
-        least = row["level"]
-    frequent = counts.filter(F.col("level") >= least).select("word").collect() if least is not None else []
+        left -= row["words"]
+        whole.append(row["level"])
+    if whole:
+        frequent += counts.filter(F.col("level") >= min(whole)).select("word").collect()
     words = sorted(r["word"].encode("utf-8", "surrogatepass") for r in frequent)
     return compiled(words, *merge_table(vocabulary).words(words))
 

@@ -16,8 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHE = 500_000  # chunks that a worker remembers from batch to batch
+CACHE_BYTES = 128 << 20  # of chunks, words and their ids that a worker remembers from batch to batch, about
+ENTRY_BYTES = 180  # that a remembered chunk takes beside its letters and ids
+LONGEST = 64  # characters of a chunk that is remembered
 PART_BYTES = 8 << 20  # text encoded at once
+SLICE_BYTES = 256 << 10  # of it that the library or a merge table takes at once, as they need some hundred times as much
 
 # Letters and numbers below U+0250, white space of the tokenizers, and words cut off at apostrophes
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -50,55 +53,93 @@ def take_ranges(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
 
 
+def sliced(texts: list, size: int = SLICE_BYTES) -> Iterator[list]:
+    """``texts`` in their order, in lists of about ``size`` characters or bytes; a longer text is a list of its own."""
+    at, held = 0, 0
+    for end, text in enumerate(texts):
+        if held and held + len(text) > size:
+            yield texts[at:end]
+            at, held = end, 0
+        held += len(text)
+    if at < len(texts):
+        yield texts[at:]
+
+
+class Remembered:
+    """Ids of the texts met last, in two halves: when the newer one is full it becomes the older one, which is dropped.
+
+    Bounded in bytes whatever the texts are; long ones, which hardly come again, are not kept.
+    """
+
+    def __init__(self, limit: int = CACHE_BYTES):
+        self.limit, self.held = limit, 0
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def find(self, texts: list[str]) -> list[bytes | None]:
+        recent, older = self.recent.get, self.older.get
+        return [recent(t) or older(t) for t in texts]
+
+    def add(self, texts: list[str], ids: list[bytes]) -> None:
+        kept = {t: x for t, x in zip(texts, ids, strict=True) if len(t) <= LONGEST}
+        if not kept:
+            return
+        before = len(self.recent)
+        self.recent.update(kept)
+        letters = 2 * sum(map(len, kept)) + sum(map(len, kept.values()))
+        self.held += (len(self.recent) - before) * (ENTRY_BYTES + letters // len(kept))
+        if self.held > self.limit // 2:
+            self.older, self.recent, self.held = self.recent, {}, 0
+
+
 class WordEncoder:
     """Encodes arrays of texts as ``encode(text, add_special_tokens=False).ids`` would.
 
     ``byte_level`` says which of the two kinds of vocabulary the file holds: spaces kept before words, or lower case
-    with spaces dropped.
+    with spaces dropped.  With ``plain`` the strings of special tokens in a text are text like any other.
     """
 
-    part_bytes, cache = PART_BYTES, CACHE
+    part_bytes = PART_BYTES
 
-    def __init__(self, path: str, byte_level: bool):
+    def __init__(self, path: str, byte_level: bool, plain: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.tokenizer.encode_special_tokens = plain
         self.model = self.tokenizer.model
         self.byte_level = byte_level
         self.words, self.letters = WORDS[byte_level], byte_letters()
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _word(self, word: str) -> bytes:
-        found = self.recent.get(word) or self.older.get(word)
-        if not found:
-            written = word if word.isascii() and word.isalpha() else word.encode().decode("latin1").translate(self.letters)
-            found = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-        self.recent[word] = found
+        self.known = Remembered()
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        found = self.known.find(words)
+        for i, word in enumerate(words):
+            if not found[i]:
+                written = word if word.isascii() and word.isalpha() else word.encode().decode("latin1").translate(self.letters)
+                found[i] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return found
 
-    def _forget(self) -> None:
-        """Words not met while half of the cache filled up are dropped."""
-        if len(self.recent) > self.cache // 2:
-            self.older, self.recent = self.recent, {}
-
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks as bytes."""
-        recent, older = self.recent, self.older
-        found = [recent.get(c) or older.get(c) for c in chunks]
-        hard = []
+        found = self.known.find(chunks)
+        hard, cut = [], {}
         for i, chunk in enumerate(chunks):
             if found[i] is not None:
                 continue
             if "<|" in chunk or not KNOWN.fullmatch(chunk):
                 hard.append(i)
                 continue
-            words = self.words.findall(chunk if self.byte_level else chunk.lower())
-            found[i] = self._word(words[0]) if len(words) == 1 else b"".join(map(self._word, words))
-        for i, made in zip(hard, self.tokenizer.encode_batch_fast([chunks[i] for i in hard], add_special_tokens=False), strict=True):
-            found[i] = array("I", made.ids).tobytes()
-        recent.update(zip(chunks, found, strict=True))
-        self._forget()
+            cut[i] = self.words.findall(chunk if self.byte_level else chunk.lower())
+        words = list({w: None for own in cut.values() for w in own})
+        ids = dict(zip(words, self._words(words), strict=True))
+        self.known.add(words, list(ids.values()))
+        for i, own in cut.items():
+            found[i] = ids[own[0]] if len(own) == 1 else b"".join([ids[w] for w in own])
+        at = iter(hard)
+        for texts in sliced([chunks[i] for i in hard]):
+            for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                found[next(at)] = array("I", made.ids).tobytes()
+        self.known.add(chunks, found)
         return found
 
     @staticmethod
@@ -166,6 +207,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str, byte_level: bool) -> WordEncoder:
+def word_encoder(path: str, byte_level: bool, plain: bool = False) -> WordEncoder:
     """One for each worker process, so that what it remembers serves all its tasks."""
-    return WordEncoder(path, byte_level)
+    return WordEncoder(path, byte_level, plain)

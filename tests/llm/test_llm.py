@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from noteloom.llm import components, line_rules, packing, preference, queries, scratch, sharding, simhash, token_index, topk, toxicity, transducer, warc
+from noteloom.llm import components, line_rules, packing, preference, queries, scratch, sharding, simhash, token_index, topk, toxicity, transducer, warc, words
 from noteloom.llm.words import WordEncoder
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -315,10 +315,10 @@ def test_token_shards(docs, empty, spark):
     folder = scratch.fresh(spark, "test-shards")
     manifest = token_index.write_shards(docs.repartition(3), BYTES, folder)
     got = sorted(token_index.read_shards(manifest).collect(), key=lambda r: r.start)
-    source = [(r.doc_id, r.text) for r in docs.filter("doc_id IS NOT NULL").collect()]
+    source = [(r.doc_id, r.text) for r in docs.collect()]
     ids = [np.array([*x, 0], "<u4").tobytes() for x in library_ids(BYTES, [t for _, t in source])]
     assert Counter((r.doc_id, bytes(r.ids), r.n_tokens) for r in got) == Counter((i, x, len(x) // 4) for (i, _), x in zip(source, ids, strict=True))
-    assert [r.doc_id for r in got] == sorted(i for i, _ in source)
+    assert [r.doc_id for r in got] == sorted((i for i, _ in source), key=lambda i: (i is not None, i))  # no id first
     assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
     found = Counter()
     for row in manifest.collect():
@@ -327,10 +327,40 @@ def test_token_shards(docs, empty, spark):
             shard = token_index.TokenShard(file)
             assert shard.get(999) == [] and shard.get(-5) == []
             found.update((k, x.astype("<u4").tobytes()) for k in range(len(ODD)) for x in shard.get(k))
-    assert found == Counter((i, x) for (i, _), x in zip(source, ids, strict=True))
+    assert found == Counter((i, x) for (i, _), x in zip(source, ids, strict=True) if i is not None)
     assert token_index.encode_to_shards(empty, BYTES).count() == 0
 
 
+def test_one_id_fills_shards(spark, ship):
+    """A repeated id and texts alike go to more than one shard, and no row is lost."""
+    rows = [(5, f"text {i % 40}") for i in range(4000)] + [(None, "no id")] * 300 + [(i, "own") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_index.write_shards(docs, BYTES, scratch.fresh(spark, "test-shards"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 3
+    got = sorted(token_index.read_shards(manifest).collect(), key=lambda r: r.start)
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+
+
+def test_what_encoders_remember_is_bounded():
+    encoder = WordEncoder(BYTES, True)
+    encoder.known = words.Remembered(1 << 16)
+    rng = random.Random(12)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x7E00)) for _ in range(n)) for n in [1000] * 30 + [8] * 2000]
+    got = [x.tolist() for _, flat, sizes in encoder.encode(pa.array(texts)) for x in np.split(flat, np.cumsum(sizes)[:-1])]
+    assert got == library_ids(BYTES, texts)
+    kept = [*encoder.known.recent, *encoder.known.older]
+    assert max(map(len, kept), default=0) <= words.LONGEST
+    for _ in range(3):
+        encoder.encode(pa.array(texts)).__next__()
+    assert sum(len(k) for k in (*encoder.known.recent, *encoder.known.older)) < 1 << 16
+    assert [x for s in words.sliced(["a", "bc", "d" * 9, "e"], 3) for x in s] == ["a", "bc", "d" * 9, "e"]
+
+
 def test_transducer_and_merging(docs, empty):
     words = sorted({w.encode() for t in ODD[3:] for w in t.split()} | {b" the", b" then", b" them", b"them", b"\xff\x00"})
     merges = transducer.merge_table(BYTES)
