@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteloom.llm import line_rules, packing, preference, sharding, simhash, token_index, topk, toxicity, transducer, warc
+from noteloom.llm import alignment, line_rules, packing, periodic, preference, secrets, sharding, simhash, token_index, topk, toxicity, transducer, warc
 from noteloom.llm.scratch import ship, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,6 +179,55 @@ FROM written
 """
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two vocabularies, aligned by bytes, with scores of its links from the whole corpus."""
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    rows = written(alignment.aligned(table(spark, sf_dir, "documents"), *paths, digest=True), "aligned")
+    scored = alignment.scored(rows, alignment.pair_counts(rows))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: numbers by pattern, a digest of the patterns' spans, and all spans."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    base = f"filter(spans, s -> s.kind IN ({', '.join(map(repr, secrets.BASE_KINDS))}))"
+    return found.select(
+        "doc_id",
+        *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) AS bigint)").alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        F.sha2(F.expr(secrets.written_spans(base)), 256).alias("base_sha256"),
+        F.expr(secrets.written_spans("spans")).alias("spans"),
+    )
+
+
+def with_echo(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by a hash of the id, go on from some word with a short stretch again and again."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, the longest of them, and digests of all runs and of the words left."""
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), with_echo)
+    found = found.withColumn("longest", F.expr(periodic.longest_run()))
+    lines = "transform(runs, r -> concat(cast(r.start AS string), ',', cast(r.length AS string), ',', cast(r.period AS string), '\n'))"
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"longest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.expr(f"array_join({lines}, '')"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the pipeline over the documents."""

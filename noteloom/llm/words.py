@@ -10,6 +10,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,14 @@ def sliced(texts: list, size: int = SLICE_BYTES) -> Iterator[list]:
         yield texts[at:]
 
 
+def parts(texts: pa.Array, size: int) -> Iterator[slice]:
+    """The rows of ``texts`` in their order, about ``size`` bytes at a time; a longer text is a part of its own."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = (np.cumsum(lengths) - lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
+    return (slice(start, end) for start, end in pairwise(cuts) if end > start)
+
+
 class Remembered:
     """Ids of the texts met last, in two halves: when the newer one is full it becomes the older one, which is dropped.
 
@@ -92,6 +101,16 @@ class Remembered:
             self.older, self.recent, self.held = self.recent, {}, 0
 
 
+def put_back(odd: np.ndarray, others: tuple[np.ndarray, np.ndarray], odd_ones: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and numbers of ids of rows that were encoded apart, in the order of the rows."""
+    total = np.concatenate((others[1], odd_ones[1]))
+    starts = np.cumsum(total) - total
+    order = np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))
+    where = np.empty_like(order)
+    where[order] = np.arange(len(order))
+    return take_ranges(np.concatenate((others[0], odd_ones[0])), starts[where], total[where]), total[where]
+
+
 class WordEncoder:
     """Encodes arrays of texts as ``encode(text, add_special_tokens=False).ids`` would.
 
@@ -111,35 +130,37 @@ class WordEncoder:
         self.words, self.letters = WORDS[byte_level], byte_letters()
         self.known = Remembered()
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        found = self.known.find(words)
-        for i, word in enumerate(words):
-            if not found[i]:
-                written = word if word.isascii() and word.isalpha() else word.encode().decode("latin1").translate(self.letters)
-                found[i] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-        return found
+    def _word(self, word: str) -> bytes:
+        plain = word[1:].isalpha() and word.isascii()
+        written = f"\u0120{word[1:]}" if plain and word[0] == " " else word if plain else word.encode().decode("latin1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks as bytes."""
         found = self.known.find(chunks)
+        missing = [i for i, x in enumerate(found) if x is None]
         hard, cut = [], {}
-        for i, chunk in enumerate(chunks):
-            if found[i] is not None:
-                continue
-            if "<|" in chunk or not KNOWN.fullmatch(chunk):
+        for i in missing:
+            chunk = chunks[i]
+            if self.byte_level and chunk[1:].isalpha() and chunk.isascii() and (chunk[0] == " " or chunk[0].isalpha()):
+                found[i] = self._word(chunk)  # one word
+            elif "<|" in chunk or not KNOWN.fullmatch(chunk):
                 hard.append(i)
-                continue
-            cut[i] = self.words.findall(chunk if self.byte_level else chunk.lower())
+            else:
+                cut[i] = self.words.findall(chunk if self.byte_level else chunk.lower())
         words = list({w: None for own in cut.values() for w in own})
-        ids = dict(zip(words, self._words(words), strict=True))
-        self.known.add(words, list(ids.values()))
+        ids = dict(zip(words, self.known.find(words), strict=True))
+        new = [w for w, x in ids.items() if not x]
+        made = [self._word(w) for w in new]
+        self.known.add(new, made)
+        ids.update(zip(new, made, strict=True))
         for i, own in cut.items():
             found[i] = ids[own[0]] if len(own) == 1 else b"".join([ids[w] for w in own])
         at = iter(hard)
         for texts in sliced([chunks[i] for i in hard]):
             for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
                 found[next(at)] = array("I", made.ids).tobytes()
-        self.known.add(chunks, found)
+        self.known.add([chunks[i] for i in missing], [found[i] for i in missing])
         return found
 
     @staticmethod
@@ -173,7 +194,7 @@ class WordEncoder:
         bounds = np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(counts)))]
         return take_ranges(flat, (np.cumsum(sizes) - sizes)[codes], each), np.diff(bounds)
 
-    def _part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.byte_level:
             pieces = pc.ascii_split_whitespace(texts)
             return self._gathered(pieces.flatten(), None, pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -185,25 +206,18 @@ class WordEncoder:
         flat, sizes = self._gathered(pieces.flatten(), first, counts)
         if not odd.any():
             return flat, sizes
-        cut = [CHUNK.findall(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        return put_back(odd, (flat, sizes), self.cut_by(CHUNK, texts.filter(pa.array(odd))))
+
+    def cut_by(self, chunk: re.Pattern, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each text, cut into chunks by a pattern."""
+        cut = [chunk.findall(t) for t in texts.to_pylist()]
         values = pa.array([c for own in cut for c in own], pa.large_string())
-        more, more_sizes = self._gathered(values, None, np.array([len(c) for c in cut], np.int64))
-        total = np.concatenate((sizes, more_sizes))
-        starts = np.cumsum(total) - total
-        order = np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))
-        where = np.empty_like(order)
-        where[order] = np.arange(len(order))
-        return take_ranges(np.concatenate((flat, more)), starts[where], total[where]), total[where]
+        return self._gathered(values, None, np.array([len(c) for c in cut], np.int64))
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """Some texts after the other: which, their ids in one array, and the number of ids of each.  Null texts are empty."""
-        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        group = (np.cumsum(sizes) - sizes) // self.part_bytes
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
-        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-            if end > start:
-                part = texts.slice(start, end - start).cast(pa.large_string()).fill_null("")
-                yield slice(start, end), *self._part(part)
+        for rows in parts(texts, self.part_bytes):
+            yield rows, *self.part(texts.slice(rows.start, rows.stop - rows.start).cast(pa.large_string()).fill_null(""))
 
 
 @lru_cache(maxsize=2)
