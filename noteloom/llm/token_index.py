@@ -28,7 +28,8 @@ MAGIC = b"NLTOKEN2"
 FOOTER = "<8s7Q"  # magic, bytes of an id, ids, rows, rows without a key, keys, where the index begins, levels
 SPREAD = 1.5  # bits of a level for each key left
 READ_IDS = 1 << 22  # ids read at once
-ENCODED = "doc_id bigint, hash bigint, row bigint, ids binary"
+NO_ID = -(1 << 63)
+ENCODED = "doc_id bigint, hash bigint, row bigint, range int, ids binary"
 MANIFEST = "path string, first_id bigint, first_hash bigint, first_row bigint, n_rows bigint, n_ids bigint"
 
 
@@ -137,11 +138,22 @@ class TokenShard:
         return found
 
 
-def encoded_rows(docs: DataFrame, vocabulary: str, byte_level: bool = True, end: int = END) -> DataFrame:
-    """``(doc_id, hash, row, ids)`` of every row of ``(doc_id, text)``, written: a shuffle of it moves ids and no text.
+def ranges(docs: DataFrame, count: int) -> np.ndarray:
+    """Ids between ``count`` ranges of about as many rows each; one that fills several ranges is met as often.
 
-    ``hash`` is the text's, ``row`` a number of its own; ``ids``, closed by ``end``, take two bytes each if all numbers of the
-    vocabulary do, else four.
+    One pass over the ids alone.  A missing id counts as the smallest number.
+    """
+    shares = F.array(*[F.lit(i / count) for i in range(1, count)])
+    ids = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+    cuts = docs.agg(F.percentile_approx(ids, shares, max(10_000, 10 * count))).first()[0] if count > 1 else None
+    return np.array(cuts or [], np.int64)
+
+
+def encoded_rows(docs: DataFrame, vocabulary: str, cuts: np.ndarray, byte_level: bool = True, end: int = END) -> DataFrame:
+    """``(doc_id, hash, row, range, ids)`` of every row of ``(doc_id, text)``: a shuffle of it moves ids and no text.
+
+    ``hash`` is the text's, ``row`` a number of its own, ``range`` the place of the id among ``cuts``: one of several for an id that
+    is met there more than once.  ``ids``, closed by ``end``, take two bytes each if all numbers of the vocabulary do, else four.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,13 +167,18 @@ def encoded_rows(docs: DataFrame, vocabulary: str, byte_level: bool = True, end:
                 own[bounds[1:] - 1] = False
                 out[own] = flat
                 ids = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds * kind.itemsize), pa.py_buffer(out)])
-                own_columns = [batch.column(c).slice(rows.start, len(lengths)) for c in (0, 2)]
-                numbers = pa.array(np.arange(row, row + len(lengths)))
+                doc_id, text_hash = (batch.column(c).slice(rows.start, len(lengths)) for c in (0, 2))
+                numbers = np.arange(row, row + len(lengths))
                 row += len(lengths)
-                yield pa.RecordBatch.from_arrays([*own_columns, numbers, ids.cast(pa.binary())], ["doc_id", "hash", "row", "ids"])
+                known = doc_id.fill_null(NO_ID).to_numpy()
+                first = np.searchsorted(cuts, known, "left")
+                several = np.searchsorted(cuts, known, "right") - first + 1
+                place = first + (mixed(numbers, 0) % several.astype(np.uint64)).astype(np.int64)
+                columns = [doc_id, text_hash, pa.array(numbers), pa.array(place.astype(np.int32)), ids.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "row", "range", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
-    return written(rows.mapInArrow(run, ENCODED), "token-ids")
+    return rows.mapInArrow(run, ENCODED)
 
 
 def _kind(vocabulary: int, end: int) -> np.dtype:
@@ -192,7 +209,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, byte_level: bool
                 first = [batch.column(c)[0].as_py() for c in range(3)]
             blank += batch.column(0).null_count
             keys.append(batch.column(0).fill_null(0).to_numpy())
-            ids = batch.column(3).to_pylist()
+            ids = batch.column(4).to_pylist()
             sink.write(b"".join(ids))
             sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)) // kind.itemsize)
             total += int(sizes[-1].sum())
@@ -207,9 +224,10 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, byte_level: bool
         fields = ["path", "first_id", "first_hash", "first_row", "n_rows", "n_ids"]
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.string() if c == "path" else pa.int64()) for c, x in zip(fields, row, strict=True)], fields)
 
-    order = ["doc_id", "hash", "row"]  # nulls first, in the shuffle as in the sort
-    ordered = encoded_rows(docs, vocabulary, byte_level, end).repartitionByRange(*order).sortWithinPartitions(*order)
-    return written(ordered.mapInArrow(run, MANIFEST), "manifest")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = encoded_rows(docs, vocabulary, ranges(docs, tasks), byte_level, end)
+    order = ["doc_id", "hash", "row"]  # nulls first
+    return written(encoded.repartitionById(tasks, "range").sortWithinPartitions(*order).mapInArrow(run, MANIFEST), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
