@@ -34,7 +34,7 @@ from noteloom.llm.scratch import written
 from noteloom.llm.words import Remembered, WordEncoder, byte_letters, parts, put_back, sliced, take_ranges, word_encoder
 
 STEPS = 1 << 14  # ends merged by a piece
-PART_BYTES = 4 << 20  # text aligned at once
+PART_BYTES = 1 << 20  # text aligned at once; some hundred times as much is in hand meanwhile
 HOT_PAIRS = 1 << 16  # a pair in more than one of so many (document, pair) rows is sent to all tasks: there are fewer than that
 BLANK = "▁"
 SPACED = re.compile(" +[^ ]*")
