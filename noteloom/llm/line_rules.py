@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noteloom.llm.scratch import written
+from noteloom.llm.scratch import unused, written
 
 # What counts as a word and as a symbol
 WORD = r"[^\x20\x09-\x0D]+"
@@ -163,12 +163,14 @@ def keep_quality(docs: DataFrame, share: float = HOST_SHARE, floor: int = HOST_F
 
     Rows are matched by ``doc_id``, host and hash of the text, nulls included, as such rows have equal verdicts.
     """
-    key = ["_kept_id", "_kept_text", "_kept_host"]
+    key = [unused(docs, c) for c in ("kept_id", "kept_text", "kept_host")]
+    gone = unused(docs, "gone")
     kept = _judged(docs, share, floor, min_left).filter("kept")
-    kept = kept.select(*[F.col(c).alias(k) for c, k in zip(("doc_id", "text_hash", "host"), key, strict=True)], F.col("gone").alias("_gone")).dropDuplicates(key)
-    same = docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept["_kept_text"]) & (_host(docs) == kept["_kept_host"])
-    text = F.array_join(F.filter(_lines(docs["text"]), lambda x: _blank(x) | ~F.array_contains("_gone", F.xxhash64(_normal(x)))), "\n")
-    columns = {"text": F.when(F.col("_gone").isNull(), docs["text"]).otherwise(text)}
+    kept = kept.select(*[F.col(c).alias(k) for c, k in zip(("doc_id", "text_hash", "host"), key, strict=True)], F.col("gone").alias(gone)).dropDuplicates(key)
+    own = (docs["doc_id"], F.xxhash64(F.coalesce(docs["text"], F.lit(""))), _host(docs))
+    same = own[0].eqNullSafe(kept[key[0]]) & (own[1] == kept[key[1]]) & (own[2] == kept[key[2]])
+    text = F.array_join(F.filter(_lines(docs["text"]), lambda x: _blank(x) | ~F.array_contains(kept[gone], F.xxhash64(_normal(x)))), "\n")
+    columns = {"text": F.when(kept[gone].isNull(), docs["text"]).otherwise(text)}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_gone").isNull(), docs["n_chars"]).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType))
+        columns["n_chars"] = F.when(kept[gone].isNull(), docs["n_chars"]).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType))
     return docs.join(kept, same).select(*[columns[c].alias(c) if c in columns else docs[c] for c in docs.columns])

@@ -15,9 +15,11 @@ PACKAGE = Path(__file__).resolve().parent.parent
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``.  A local one is made only where that is unset, as in tests."""
+    """The folder of ``spark.checkpoint.dir``.  A local one is made only where that is unset and all work is local, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set, and a folder of this machine is not seen by the others")
         folder = f"file://{tempfile.mkdtemp(prefix='noteloom-')}"
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -36,6 +38,14 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def unused(rows: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``rows`` has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def opened_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a URI as Spark writes it, and the path in it, for tasks that read and write files themselves."""
     return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))

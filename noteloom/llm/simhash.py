@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.llm.components import components
-from noteloom.llm.scratch import written
+from noteloom.llm.scratch import unused, written
 
 # Bits of the three segments, lowest first, and the generator of the Golay code
 SEGMENTS = (22, 21, 21)
@@ -255,12 +255,16 @@ def _grouped(docs: DataFrame, words: int, bits: int) -> DataFrame:
 def deduplicate(docs: DataFrame, words: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one whose ``doc_id`` names the group.
 
-    Of rows that repeat that ``doc_id`` one stays, that of the smallest text hash among those whose group has this name.
-    A group of none but rows with a null ``doc_id`` keeps the one of the smallest text hash.
+    Of rows that repeat that ``doc_id`` within the group one of the smallest text hash stays, and so it is in a group of none
+    but rows with a null ``doc_id``.  Groups named by the same ``doc_id`` keep a row each: texts that are no near duplicates are
+    never lost to an id that repeats.
     """
     found = _grouped(docs, words, bits)
-    named = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.min("text_hash").alias("_hash"))
-    held = docs.join(named, (docs["doc_id"] == named["_kept"]) & (_text_hash(docs) == named["_hash"]), "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.filter("component_id IS NULL").groupBy("group").agg(F.min("text_hash").alias("_hash")).select("_hash").distinct()
-    rest = docs.filter("doc_id IS NULL").join(nameless, _text_hash(docs) == nameless["_hash"])
-    return held.unionByName(rest.dropDuplicates(["_hash"]).drop("_hash"))
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first"))
+    # a text is in one group only, so id and text say which group's row it is
+    kept_id, kept_hash = (unused(docs, c) for c in ("kept_id", "kept_hash"))
+    kept = first.select(F.col("first.doc_id").alias(kept_id), F.col("first.text_hash").alias(kept_hash))
+    own_hash = unused(kept, unused(docs, "own_hash"))
+    marked = docs.withColumn(own_hash, _text_hash(docs))
+    same = marked["doc_id"].eqNullSafe(kept[kept_id]) & (marked[own_hash] == kept[kept_hash])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own_hash]).drop(own_hash)

@@ -144,7 +144,9 @@ def test_near_duplicates_of_odd_rows(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
     kept = simhash.deduplicate(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({i for i in least.values()})
+    # a row of each group, also where an id names more than one
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(i for i in least.values())
+    assert len({truth[plain_fingerprint(r.text)] for r in kept.collect()}) == kept.count() == len(set(truth.values()))
 
 
 def test_deduplicate_without_names_and_with_repeated_ones(spark, ship):
@@ -155,6 +157,15 @@ def test_deduplicate_without_names_and_with_repeated_ones(spark, ship):
     assert sorted(((r.doc_id, r.text or "") for r in got), key=key) == [(None, ""), (None, texts[0]), (2, texts[2]), (3, texts[1])]
 
 
+def test_no_text_is_lost_to_a_repeated_id(spark, ship):
+    texts = [" ".join(f"{w}{k}" for w in range(30)) for k in range(3)]
+    rows = [(4, texts[0], "a", "x", 1, "k"), (4, texts[1], "b", "y", 2, "l"), (4, texts[0], "c", "z", 3, "m"), (9, texts[2], "d", "w", 4, "n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _hash string, _kept string, kept_id bigint, OWN_HASH string")
+    got = simhash.deduplicate(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted([(4, texts[0]), (4, texts[1]), (9, texts[2])])
+
+
 def test_components_of_a_long_path_and_of_nothing(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (None, 3), (200, 201), (201, 200)], "a bigint, b bigint")
     found = dict(rows_of(components.components(path), "node", "root"))
@@ -175,6 +186,18 @@ def test_shards(docs, empty):
     assert sharding.shard_records(empty).count() == 0
 
 
+def test_a_crowded_slot_is_divided(spark, ship):
+    rows = [(i, "t" * 40) for i in range(3000)] + [(None, "t" * 40)] * 2000 + [(77, "t" * 40)] * 1000
+    got = sharding.shard_records(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    sums, places = Counter(), {}
+    for r in got:
+        sums[r.shard] += r["size"]
+        places.setdefault(r.shard, []).append(r.slot)
+    mean = sum(sums.values()) / 24
+    assert len(got) == 6000 and len(sums) == 24 and all(abs(x - mean) <= 0.05 * mean for x in sums.values())
+    assert all(sorted(x) == list(range(len(x))) for x in places.values())
+
+
 def test_rebalancing_evens_bytes_and_moves_little():
     rng = random.Random(2)
     loads = {s: int(rng.paretovariate(1.5) * 100) for s in range(4096)}
@@ -245,6 +268,18 @@ def test_kept_texts_lose_their_frequent_lines(spark):
     assert Counter(map(tuple, corpus_pipeline.keep_quality(spark, docs, "").collect())) == Counter(expected)
 
 
+def test_kept_texts_beside_columns_of_any_name(spark):
+    rng = random.Random(13)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    rows = [(i, f"{words(55)}\nthe same notice", "h", "g", "k") for i in range(30)] + [(99, "short", "h", "g", "k")]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string, source string, c string, d string")
+    docs = plain.withColumnsRenamed({"c": "_gone", "d": "Gone"}).withColumn("kept_text", F.lit(1)).withColumn("_kept_id", F.lit(2))
+    got = line_rules.keep_quality(docs)
+    assert got.columns == docs.columns
+    expected = line_rules.keep_quality(plain).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got.select("doc_id", "text").collect())) == sorted(map(tuple, expected)) and len(expected) == 30
+
+
 def test_small_hosts_lose_lines_too(spark):
     rng = random.Random(10)
     words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
