@@ -40,3 +40,31 @@ def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], heavy: Data
     right = mark(groups).withColumn("_g_salt", F.explode(everywhere)).drop("_places").withColumnsRenamed({k: f"_g_{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys] + [F.col("_salt") == F.col("_g_salt")]
     return left.join(right, reduce(and_, match), how).drop("_salt", "_g_salt", *[f"_g_{k}" for k in keys])
+
+
+# Rows of one key and side that a cell of a join takes.
+CELL_ROWS = 4096
+
+
+def dealt_join(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, how: str = "left", cell: int = CELL_ROWS) -> DataFrame:
+    """Join many rows to many on ``key``, with the pairs of heavy keys dealt to cells.
+
+    A key with more than ``cell`` rows on either side becomes a grid: each row goes to one line of it by a hash of its id, and is copied to
+    all cells of that line, so no task gets more than ``cell`` times ``cell`` pairs of a key at once.  Heavy keys are at most
+    (rows of both sides) / ``cell``, sixteen bytes each, and known by exact counts.  A left row may be met several times without
+    a partner if ``how`` is left.
+    """
+    counts = left.groupBy(key).agg(F.count("*").alias("_nl")).join(right.groupBy(key).agg(F.count("*").alias("_nr")), key)
+    heavy = counts.filter((F.col("_nl") > cell) | (F.col("_nr") > cell)).select(
+        F.col(key).alias("_heavy"), *[F.ceil(F.col(n) / cell).cast("int").alias(p) for n, p in (("_nl", "_pl"), ("_nr", "_pr"))]
+    )
+
+    def mark(df: DataFrame, own: str, other: str, row_id: str, names: tuple[str, str]) -> DataFrame:
+        marked = df.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left").drop("_heavy")
+        line = F.coalesce(F.pmod(F.xxhash64(row_id), F.col(own)).cast("int"), F.lit(0)).alias(names[0])
+        cells = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)).alias(names[1])
+        return marked.select(*df.columns, line, cells)
+
+    on = ["_line", "_column"]
+    rows, others = mark(left, "_pl", "_pr", left_id, ("_line", "_column")), mark(right, "_pr", "_pl", right_id, ("_column", "_line"))
+    return rows.join(others, [key, *on], how).drop(*on)

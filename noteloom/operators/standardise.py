@@ -11,7 +11,7 @@ from noteloom.functions import similarity as sim
 from noteloom.functions.text import NUMBER, col, first_match, first_number, lit, to_number
 from noteloom.functions.vocabulary import DIAGNOSES, NOTE_LABELS, abbreviations_df, terms_df
 from noteloom.operators.extract import extract_patterns
-from noteloom.operators.matching import VOCABULARY_LIMIT, fuzzy_best, prepared_terms, prepared_vectors, spread_terms, vector_best, with_best
+from noteloom.operators.matching import best_label, entries, fuzzy_best, label_top1, spread_terms, vector_best
 from noteloom.operators.skew import heavy_keys, salted_join
 
 # Unit texts per parsed pattern, in the order they are tried.
@@ -21,6 +21,8 @@ UNITS = {
     "dosage": r"(?:mg/kg|mg|ml|IU|mcg)",
 }
 DEGREES = "°C"
+# Places that the rows of one key are dealt to when they meet a vocabulary of any size.
+PLACES = 16
 
 STANDARD_COLUMNS = ["record_id", "pattern", "ord", "raw", "standard", "category", "value", "unit", "score", "method"]
 # A record without annotated diagnoses.
@@ -70,29 +72,36 @@ def one_per_term(vocabulary: DataFrame, fold_keys: bool = False) -> DataFrame:
     return vocabulary.groupBy(term.alias("term")).agg(last).select("term", "last.canonical", "last.category")
 
 
-def lookup(rows: DataFrame, key: Column, vocabulary: DataFrame, fold_keys: bool = False) -> DataFrame:
+def lookup(rows: DataFrame, key: Column, vocabulary: DataFrame, fold_keys: bool = False, places: int = PLACES) -> DataFrame:
     """Add ``standard`` and ``category`` of the vocabulary term equal to the upper-cased key, else
     to the key as it is.  ``fold_keys`` compares without regard to case instead.
 
-    Of entries for one term, or for one folded term, the last by ``ord`` counts: every row stays one row."""
-    rows = rows.withColumn("_key", key)
-    entries = one_per_term(vocabulary, fold_keys)
-    first = entries.select(F.col("term").alias("_t1"), F.col("canonical").alias("_c1"), F.col("category").alias("_g1"))
-    out = rows.join(first, F.upper("_key") == F.col("_t1"), "left")
-    if fold_keys:
-        return out.withColumnsRenamed({"_c1": "standard", "_g1": "category"}).drop("_key", "_t1")
-    second = entries.select(F.col("term").alias("_t2"), F.col("canonical").alias("_c2"), F.col("category").alias("_g2"))
-    return out.join(second, F.col("_key") == F.col("_t2"), "left").select(
-        *[c for c in rows.columns if c != "_key"],
-        F.coalesce("_c1", "_c2").alias("standard"),
-        F.coalesce("_g1", "_g2").alias("category"),
-    )
+    Of entries for one term, or for one folded term, the last by ``ord`` counts: every row stays one row.  The rows of
+    a key are dealt to ``places`` by their own hash, and the entries copied to each, so a key in nearly every note is not one task's.
+    """
+    place = F.pmod(F.xxhash64(*rows.columns), F.lit(places)).cast("int") if places > 1 else F.lit(0)
+    rows = rows.select("*", key.alias("_key"), place.alias("_place"))
+    entries = one_per_term(vocabulary, fold_keys).withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(places - 1))) if places > 1 else F.lit(0))
+
+    def joined(left: DataFrame, own: Column, n: int) -> DataFrame:
+        names = {"term": "_t", "canonical": "_c", "category": "_g", "_p": "_p"}
+        side = entries.select(*[F.col(c).alias(f"{name}{n}") for c, name in names.items()])
+        return left.join(side, (own == F.col(f"_t{n}")) & (F.col("_place") == F.col(f"_p{n}")), "left")
+
+    out = joined(rows, F.upper("_key"), 1)
+    if not fold_keys:
+        out = joined(out, F.col("_key"), 2)
+    own = [c for c in rows.columns if c not in ("_key", "_place")]
+    found = {c: [F.col(f"_{c}{n}") for n in ((1,) if fold_keys else (1, 2))] for c in ("c", "g")}
+    return out.select(*own, F.coalesce(*found["c"]).alias("standard"), F.coalesce(*found["g"]).alias("category"))
 
 
 def standardise_patterns(patterns: DataFrame, vocabulary: DataFrame | None = None, fold_keys: bool = False) -> DataFrame:
     """Long standardised table of pattern matches: looked up, else parsed, else unmatched."""
+    # the shipped vocabulary goes to every task anyway
+    places = 1 if vocabulary is None else PLACES
     vocabulary = abbreviations_df(patterns.sparkSession) if vocabulary is None else vocabulary
-    found = lookup(parse_values(patterns), lookup_key("raw"), vocabulary, fold_keys)
+    found = lookup(parse_values(patterns), lookup_key("raw"), vocabulary, fold_keys, places)
     exact = F.col("standard").isNotNull()
     return found.select(
         *patterns.columns,
@@ -130,7 +139,6 @@ def match_terms(
     encode: Encoder = sim.hashed_ngrams,
     case_sensitive: bool = True,
     fold_keys: bool = False,
-    limit: int = VOCABULARY_LIMIT,
     term_vectors: DataFrame | None = None,
     diagnosis_vectors: DataFrame | None = None,
 ) -> DataFrame:
@@ -147,27 +155,22 @@ def match_terms(
     spark = terms.sparkSession
     vocabulary = abbreviations_df(spark) if vocabulary is None else vocabulary
     diagnoses = DIAGNOSES if diagnoses is None else diagnoses
-    table = diagnoses if isinstance(diagnoses, DataFrame) else terms_df(spark, diagnoses)
-    size = None if isinstance(diagnoses, DataFrame) else len(diagnoses)
-
-    looked_up = lookup(spread_terms(terms, "term"), F.col("term"), vocabulary, fold_keys).drop("category").withColumnRenamed("standard", "_exact")
-    fuzzy = with_best(
-        looked_up, prepared_terms(table),
-        lambda c: f"if(_exact IS NULL, {fuzzy_best('term', c, fuzzy_threshold, case_sensitive)}, NULL)",
-        "term", size, limit,
-    ).withColumnRenamed("best", "_fuzzy")
-    vector, vectors = encode("term"), None
+    table, large = entries(spark, diagnoses)
+
+    # each term is there once
+    looked_up = lookup(spread_terms(terms, "term"), F.col("term"), vocabulary, fold_keys, 1).drop("category").withColumnRenamed("standard", "_exact")
+    fuzzy = fuzzy_best(looked_up, table, fuzzy_threshold, case_sensitive, unless="_exact IS NOT NULL", large=large).withColumnRenamed("best", "_fuzzy")
+    found = "_exact IS NOT NULL OR _fuzzy IS NOT NULL"
     if term_vectors is not None:
         given = term_vectors.select(F.col("term").alias("_term"), F.col("vector").alias("_vector"))
         fuzzy = fuzzy.join(given, F.col("term") == F.col("_term"), "left").drop("_term")
-        vector, vectors, size = "_vector", diagnosis_vectors, None
-    # no vector, no score
-    nearest = f"if(_exact IS NULL AND _fuzzy IS NULL, {vector_best(vector, '{c}', semantic_threshold)}, NULL)"
-    semantic = with_best(
-        fuzzy, prepared_vectors(encoded_terms(table, encode) if vectors is None else vectors),
-        lambda c: nearest.replace("{c}", c),
-        "term", size, limit,
-    ).withColumnRenamed("best", "_semantic")
+        semantic = vector_best(fuzzy, diagnosis_vectors, "_vector", semantic_threshold, unless=found)
+    elif large:
+        semantic = vector_best(fuzzy, encoded_terms(table, encode), encode("term"), semantic_threshold, unless=found)
+    else:  # a list is part of the query anyway
+        nearest = best_label(encode("term"), encoded_terms(table, encode), semantic_threshold)
+        semantic = fuzzy.select("*", F.explode_outer(F.expr(f"array(if({found}, NULL, {nearest}))")).alias("best"))
+    semantic = semantic.withColumnRenamed("best", "_semantic")
     return semantic.select(
         *terms.columns,
         F.coalesce("_exact", "_fuzzy.term", "_semantic.term", "term").alias("standard"),
@@ -185,13 +188,14 @@ def term_counts(spans: DataFrame, entity: str = "entity") -> DataFrame:
     return spans.groupBy(F.col(entity).alias("term")).agg(F.count("*").alias("n_spans"))
 
 
-def cascade(spans: DataFrame, key: str = "record_id", **options) -> DataFrame:
+def cascade(spans: DataFrame, key: str = "record_id", matched: Callable[[DataFrame], DataFrame] | None = None, **options) -> DataFrame:
     """Diagnosis rows of the standardised long table from spans ``(key, ord, entity)``.
 
-    Distinct terms are matched and joined back; very common terms are salted.
+    Distinct terms are matched and joined back; very common terms are salted.  ``matched`` may find the matches of the terms in
+    another way than by :func:`match_terms`; terms that it does not give are unmatched.
     """
     counts = term_counts(spans)
-    matched = match_terms(counts, **options)
+    matched = (matched(counts) if matched else match_terms(counts, **options)).select("term", "standard", "score", "method")
     rows = spans.select(key, "ord", F.col("entity").alias("term"))
     out = salted_join(rows, matched, ["term"], heavy_keys(counts, ["term"], "n_spans"), key)
     return out.select(
@@ -204,7 +208,7 @@ def cascade(spans: DataFrame, key: str = "record_id", **options) -> DataFrame:
         F.lit(None).cast("double").alias("value"),
         F.lit(None).cast("string").alias("unit"),
         "score",
-        "method",
+        F.coalesce("method", F.lit("unmatched")).alias("method"),
     )
 
 
@@ -238,14 +242,26 @@ def fallback_label(
     encode: Encoder = sim.hashed_ngrams,
     text: str = "raw_text",
     key: str = "record_id",
+    scores: DataFrame | None = None,
 ) -> DataFrame:
     """Diagnosis rows for notes that have none: the label most similar to the whole note, if it reaches
-    ``threshold``.  ``bare`` is a condition on the note's own columns that says it has none, so no note leaves its row."""
+    ``threshold``.  ``bare`` is a condition on the note's own columns that says it has none, so no note leaves its row.
+
+    With ``scores (key, label, ord, score)``, such as :func:`noteloom.operators.labels.scored_notes` makes, the best of these is
+    taken instead.
+    """
+    if scores is not None:
+        best = label_top1(scores, threshold, key).select(F.col(key).alias("_key"), F.struct("score", F.col("label").alias("term")).alias("best"))
+        return _labelled(notes.filter(bare).select(key).join(best, F.col(key) == F.col("_key")), key)
     labels = NOTE_LABELS if labels is None else labels
-    vectors = prepared_vectors(encoded_terms(terms_df(notes.sparkSession, labels), encode))
+    vectors = encoded_terms(terms_df(notes.sparkSession, labels), encode)
     rows = notes.filter(bare).select(key, text)
-    best = with_best(rows, vectors, lambda c: vector_best(encode(col(text)), c, threshold), key, len(labels))
-    return best.filter("best IS NOT NULL").select(
+    best = rows.select(key, F.explode(F.expr(f"array({best_label(encode(col(text)), vectors, threshold)})")).alias("best"))
+    return _labelled(best.filter("best IS NOT NULL"), key)
+
+
+def _labelled(best: DataFrame, key: str) -> DataFrame:
+    return best.select(
         key,
         F.lit("diagnoses").alias("pattern"),
         F.lit(0).alias("ord"),
@@ -259,13 +275,21 @@ def fallback_label(
     )
 
 
-def standardise(notes: DataFrame, spans: DataFrame, patterns: DataFrame | None = None, use_fallback: bool = False, bare: str = NO_SPANS, **options) -> DataFrame:
+def standardise(
+    notes: DataFrame, spans: DataFrame, patterns: DataFrame | None = None, use_fallback: bool = False, bare: str = NO_SPANS, match_folder: str | None = None, **options
+) -> DataFrame:
     """The standardised long table of notes and their diagnosis spans.
 
-    With ``use_fallback`` notes that are ``bare``, by default records without annotated diagnoses, get a label.
+    With ``use_fallback`` notes that are ``bare``, by default records without annotated diagnoses, get a label.  With
+    ``match_folder`` matched terms are kept there and only new ones are matched (:mod:`noteloom.operators.dictionary`).
     """
     patterns = extract_patterns(notes) if patterns is None else patterns
-    diagnoses = cascade(spans, **options)
+    if match_folder:
+        from noteloom.operators.dictionary import cascade_with_dictionary  # which is built on this module
+
+        diagnoses = cascade_with_dictionary(spans, match_folder, **options)
+    else:
+        diagnoses = cascade(spans, **options)
     if use_fallback:
         diagnoses = diagnoses.unionByName(fallback_label(notes, bare, encode=options.get("encode", sim.hashed_ngrams)))
     return standardise_patterns(patterns).unionByName(diagnoses).select(*STANDARD_COLUMNS)

@@ -1,12 +1,16 @@
+import random
 from functools import lru_cache
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from noteloom.functions import similarity as sim
 from noteloom.functions.vocabulary import BREEDS, DIAGNOSES
+from noteloom.functions import pieces as P
+from noteloom.operators import matching
 from noteloom.operators.matching import fuzzy_join, label_top1, vector_join, weighted_fuzzy_join
-from noteloom.operators.skew import heavy_keys, salted_join
+from noteloom.operators.skew import dealt_join, heavy_keys, salted_join
 from noteloom.operators.standardise import cascade, fallback_label, match_terms, method_distribution, term_counts
 from noteloom.plans import inputs
 
@@ -104,11 +108,68 @@ def test_top1_equals_brute_force(spark, sf_dir, join, vocabulary, score, cutoff,
         assert (r.matched, r.score) == best(r.term, vocabulary, score, cutoff), r.term
 
 
-def test_blocks_give_the_same_as_one_vocabulary(spark, sf_dir):
+def test_a_table_gives_the_same_as_a_list(spark, sf_dir):
     terms = inputs.misspelt_diagnoses(spark, sf_dir).select("term").distinct()
-    names = spark.createDataFrame([(t, i) for i, t in enumerate(DIAGNOSES)], "term string, ord int")
-    whole, blocks = fuzzy_join(terms, names), fuzzy_join(terms, names, limit=10)
-    assert whole.count() == blocks.count() and whole.exceptAll(blocks).count() == 0
+    names = spark.createDataFrame([(t, i) for i, t in enumerate(DIAGNOSES)] + [(None, 99), ("Abscess", 100)], "term string, ord int")
+    for join in (fuzzy_join, weighted_fuzzy_join):
+        by_list, by_table = join(terms, DIAGNOSES), join(terms, names)
+        assert by_list.count() == by_table.count() and by_list.exceptAll(by_table).count() == 0
+
+
+def random_texts(seed, letters, n, longest):
+    rng = random.Random(seed)
+    return list(dict.fromkeys("".join(rng.choices(letters, k=rng.randint(0, longest))) for _ in range(n)))
+
+
+@pytest.mark.parametrize("cutoff", [30, 60, 75, 85, 95, 100])
+def test_pieces_lose_no_match(spark, cutoff):
+    vocabulary, own = random_texts(1, "abc ", 120, 14) + ["é🙂b", "é🙂c"], random_texts(2, "abc ", 120, 16) + ["aé🙂b"]
+    terms = spark.createDataFrame([(t, i) for i, t in enumerate([*own, None])], "term string, term_no int")
+    names = spark.createDataFrame(list(zip(vocabulary, range(999), strict=False)), "term string, ord int")
+    got = {r.term: (r.matched, r.score) for r in fuzzy_join(terms, names, cutoff).collect()}
+    assert got.pop(None) == (None, None)
+    assert got == {t: best(t, vocabulary, ratio, cutoff) for t in own}
+
+
+def test_large_vocabularies(spark):
+    """Names of ten syllables share many pieces; even so few pairs meet, and the best is that of all."""
+    rng = random.Random(3)
+    parts = ["ka", "lor", "min", "tes", "bra", "vel", "on", "ix", "dur", "pho"]
+    names = list(dict.fromkeys("".join(rng.choices(parts, k=rng.randint(3, 7))) for _ in range(20_000)))
+    own = []
+    for name in rng.sample(names, 40):
+        at = rng.randrange(len(name))
+        own += [name[:at] + name[at + 1 :], name[:at] + "z" + name[at:]]
+    terms = spark.createDataFrame([(t,) for t in dict.fromkeys(own)], "term string")
+    table = spark.createDataFrame(list(zip(names, range(len(names)), strict=True)), "term string, ord int")
+    got = {r.term: r.score for r in fuzzy_join(terms, table).collect()}
+    near = {t: [n for n in names if abs(len(n) - len(t)) <= 0.15 * (len(n) + len(t))] for t in got}
+    for t in list(got)[:12]:
+        assert got[t] == pytest.approx(max(ratio(t, n) for n in near[t])), t
+    met = matching.met(terms, table, "term", P.probe_keys("term", 85, "p"), P.piece_keys("term", 85, "p"), True)
+    assert met.filter("cand IS NOT NULL").select("term", "cand.term").distinct().count() < 0.1 * len(names) * len(got)
+
+
+@pytest.mark.parametrize("cutoff", [50, 75, 90])
+def test_weighted_candidates_lose_no_match(spark, cutoff):
+    rng = random.Random(4)
+    words = ["ab", "abc", "ca", "cab", "bull", "dog", "bulldog", "of", "a", "great", "age"]
+    phrases = lambda n: list(dict.fromkeys(" ".join(rng.choices(words, k=rng.randint(1, 7))) for _ in range(n)))
+    vocabulary, own = phrases(40), phrases(25) + random_texts(5, "abc dog", 25, 14)
+    terms = spark.createDataFrame([(t,) for t in own], "term string")
+    names = spark.createDataFrame(list(zip(vocabulary, range(999), strict=False)), "term string, ord int")
+    got = {r.term: r.score for r in weighted_fuzzy_join(terms, names, cutoff).collect()}
+    assert got == {t: best(t, vocabulary, weighted, cutoff)[1] for t in own}
+
+
+def test_cells_of_heavy_keys(spark):
+    left = spark.range(400).select(F.col("id"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 20).alias("k"))
+    right = spark.range(300).select(F.col("id").alias("other"), F.when(F.col("id") % 2 > 0, 7).otherwise(F.col("id") % 15).alias("k"))
+    plain = left.join(right, "k")
+    got = dealt_join(left, right, "k", "id", "other", "inner", 16)
+    assert got.count() == plain.count() and got.exceptAll(plain.select(*got.columns)).count() == 0
+    kept = dealt_join(left, right, "k", "id", "other", cell=16).select("id").distinct()
+    assert kept.count() == 400
 
 
 def test_case_switch_and_short_terms(spark):
@@ -132,8 +193,26 @@ def test_vectors(spark):
     vocab = spark.createDataFrame([("x", 0, [2.0, 0.0]), ("y", 1, [0.0, 3.0])], "term string, ord int, vector array<float>")
     got = {r.term: (r.matched, r.score) for r in vector_join(rows, vocab, 0.7).collect()}
     assert got == {"a": ("x", 1.0), "b": ("x", pytest.approx(0.5**0.5)), "z": (None, None)}
-    blocks = {r.term: r.matched for r in vector_join(rows, vocab, 0.7, limit=1).collect()}
-    assert blocks == {"a": "x", "b": "x", "z": None}
+    with pytest.raises(ValueError, match="threshold"):
+        vector_join(rows, vocab, 0)
+
+
+@pytest.mark.parametrize(("cutoff", "share"), [(0.86, 0.05), (0.5, 0.6), (0.22, 1)])
+def test_groups_of_vectors_lose_no_match(spark, cutoff, share):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 32))
+    known = np.concatenate([c + 0.25 * rng.normal(size=(60, 32)) for c in centres]).astype("f4").astype(float)
+    asked = np.concatenate([centres[:20] + 0.3 * rng.normal(size=(20, 32)), rng.normal(size=(30, 32)), known[:5], np.zeros((1, 32))]).astype("f4").astype(float)
+    vocabulary = spark.createDataFrame([(f"v{i}", i, x.tolist()) for i, x in enumerate(known)] + [("zero", -1, [0.0] * 32), ("none", -2, None)], "term string, ord int, vector array<float>")
+    rows = spark.createDataFrame([(f"q{i}", x.tolist(), i) for i, x in enumerate(asked)] + [("none", None, 1)], "term string, vector array<float>, pivot int")
+    got = {r.term: r for r in vector_join(rows, vocabulary, cutoff, counted=True).collect()}
+    assert got["none"].matched is None and got["none"].pairs == 0 and len(got) == len(asked) + 1
+    for i, x in enumerate(asked):
+        cosine = known @ x / np.maximum(np.linalg.norm(x) * np.linalg.norm(known, axis=1), 1e-12)
+        top = int(cosine.argmax())
+        row = got[f"q{i}"]
+        assert (row.matched, row.score) == ((f"v{top}", pytest.approx(cosine[top])) if cosine[top] >= cutoff else (None, None))
+    assert sum(r.pairs for r in got.values()) < share * len(asked) * len(known)
 
 
 def test_label_top1(spark):
