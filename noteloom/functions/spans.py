@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from noteloom.functions.text import all_matches, gaps, let, lits
 
-NO_SPANS = "cast(array() AS array<struct<start:int,neg_len:int,rank:int,stop:int>>)"
+SPAN = "struct<start:int,neg_len:int,rank:int,stop:int>"
+NO_SPANS = f"cast(array() AS array<{SPAN}>)"
+# Items that are folded at once: appending to a list copies it, so lists are kept short and joined.
+BLOCK = 128
 
 
 def span(start: str, stop: str, rank: str) -> str:
@@ -20,40 +23,51 @@ def slice_text(text: str, start: str, stop: str) -> str:
     return f"substring({text}, {start} + 1, {stop} - {start})"
 
 
+def folded(items: str, kind: str, step: str, value: str) -> str:
+    """``array<kind>`` made by going through ``items`` once with a running number ``fo_a.pos``, 0 at first.
+
+    For an item ``fo_s`` the number becomes ``step``, and ``value``, unless it is NULL, is added.  Blocks of items are folded one
+    after the other, so the time is in proportion to the items however many there are.
+    """
+    none = f"cast(array() AS array<{kind}>)"
+    added = f"if(({value}) IS NULL, fo_a.out, array_append(fo_a.out, {value}))"
+    own = items if items.isidentifier() else "fo_i"
+    block = f"""aggregate(fo_b, named_struct('pos', fo_o.pos, 'out', {none}), (fo_a, fo_s) -> named_struct('pos', {step}, 'out', {added}),
+        fo_a -> named_struct('pos', fo_a.pos, 'parts', array_append(fo_o.parts, fo_a.out)))"""
+    whole = f"""if(size({own}) = 0, {none}, aggregate(
+      transform(sequence(0, cast((size({own}) - 1) div {BLOCK} AS int)), fo_n -> slice({own}, fo_n * {BLOCK} + 1, {BLOCK})),
+      named_struct('pos', 0, 'parts', cast(array() AS array<array<{kind}>>)), (fo_o, fo_b) -> {block}, fo_o -> flatten(fo_o.parts)))"""
+    return whole if own == items else let("fo_i", items, whole)
+
+
+def running(sizes: str) -> str:
+    """``array<int>``: what stands before each of ``sizes``, added up."""
+    return folded(sizes, "int", "fo_a.pos + fo_s", "fo_a.pos")
+
+
 def pattern_spans(text: str, pattern: str, rank: int, ignore_case: bool = False) -> str:
     """Spans of one pattern, from its matches and the lengths of the gaps between them."""
-    start = "ps_a.pos + ps_s.gap"
-    located = f"""aggregate(
-      zip_with(slice({gaps(text, pattern, ignore_case)}, 1, size(ps_m)), ps_m,
-        (ps_g, ps_x) -> named_struct('gap', length(ps_g), 'len', length(ps_x))),
-      named_struct('pos', 0, 'out', {NO_SPANS}),
-      (ps_a, ps_s) -> named_struct('pos', {start} + ps_s.len,
-        'out', array_append(ps_a.out, {span(start, f'{start} + ps_s.len', str(rank))})),
-      ps_a -> ps_a.out)"""
+    start = "fo_a.pos + fo_s.gap"
+    pieces = f"""zip_with(slice({gaps(text, pattern, ignore_case)}, 1, size(ps_m)), ps_m,
+        (ps_g, ps_x) -> named_struct('gap', length(ps_g), 'len', length(ps_x)))"""
+    located = folded(pieces, SPAN, f"{start} + fo_s.len", span(start, f"{start} + fo_s.len", str(rank)))
     return let("ps_m", all_matches(text, pattern, ignore_case), f"if(size(ps_m) = 0, {NO_SPANS}, {located})")
 
 
 def merge_overlapping(spans: str) -> str:
     """Union of each cluster of overlapping spans, ranked as the cluster's first span."""
-    union = span("mo_a.cur.start", "greatest(mo_a.cur.stop, mo_s.stop)", "mo_a.cur.rank")
-    merged = f"""aggregate(
-      slice(mo_o, 2, size(mo_o) - 1),
-      named_struct('done', {NO_SPANS}, 'cur', mo_o[0]),
-      (mo_a, mo_s) -> if(mo_s.start < mo_a.cur.stop,
-        named_struct('done', mo_a.done, 'cur', {union}),
-        named_struct('done', array_append(mo_a.done, mo_a.cur), 'cur', mo_s)),
-      mo_a -> array_append(mo_a.done, mo_a.cur))"""
-    return let("mo_o", f"array_sort({spans})", f"if(size(mo_o) <= 1, mo_o, {merged})")
+    # the furthest stop up to each span; a cluster begins where that is not over the next start, and ends at it
+    furthest = folded("mo_o", "int", "greatest(fo_a.pos, fo_s.stop)", "greatest(fo_a.pos, fo_s.stop)")
+    begins = "filter(sequence(0, size(mo_o) - 1), mo_i -> mo_i = 0 OR get(mo_o, mo_i).start >= get(mo_f, mo_i - 1))"
+    stop = "get(mo_f, coalesce(get(mo_c, mo_k + 1), size(mo_o)) - 1)"
+    merged = let("mo_c", begins, f"transform(mo_c, (mo_b, mo_k) -> {span('get(mo_o, mo_b).start', stop, 'get(mo_o, mo_b).rank')})")
+    return let("mo_o", f"array_sort({spans})", f"if(size(mo_o) <= 1, mo_o, {let('mo_f', furthest, merged)})")
 
 
 def drop_overlapping(spans: str) -> str:
     """Of overlapping spans the first (then longest, then lowest rank) stays."""
-    kept = f"""aggregate(
-      do_o,
-      named_struct('pos', 0, 'out', {NO_SPANS}),
-      (do_a, do_s) -> if(do_s.start < do_a.pos, do_a,
-        named_struct('pos', do_s.stop, 'out', array_append(do_a.out, do_s))),
-      do_a -> do_a.out)"""
+    free = "fo_s.start >= fo_a.pos"
+    kept = folded("do_o", SPAN, f"if({free}, fo_s.stop, fo_a.pos)", f"if({free}, fo_s, NULL)")
     return let("do_o", f"array_sort({spans})", f"if(size(do_o) <= 1, do_o, {kept})")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noteloom.functions import spans as S
 from noteloom.functions.patterns import IDENTIFIER_PATTERNS
-from noteloom.functions.text import col, let, lits
+from noteloom.functions.text import col, lits
 from noteloom.operators.entities import REDACTED_TYPES, Gazetteer, keep_redactable, tagged_spans, with_gazetteer
 
 
@@ -31,13 +31,6 @@ def entity_redaction(text: str, tagged: str) -> str:
     return S.redaction(text, S.merge_overlapping(keep_redactable(tagged)), REDACTED_TYPES, by_rank=False)
 
 
-def full_redaction(text: str, gazetteer: dict | None = None, patterns: dict[str, str] | None = None) -> str:
-    """``struct<redacted_text, structured, named>``: structured identifiers first, then names in the rest."""
-    second = let("fr_t", "fr_1.redacted_text", entity_redaction("fr_t", tagged_spans("fr_t", gazetteer)))
-    result = "named_struct('redacted_text', fr_2.redacted_text, 'structured', fr_1.entities, 'named', fr_2.entities)"
-    return let("fr_1", structured_redaction(text, patterns), let("fr_2", second, result))
-
-
 def find_pii(notes: DataFrame, patterns: dict[str, str] | None = None, text: str = "raw_text", key: str = "record_id") -> DataFrame:
     """Long table of identifier matches with offsets, before any merging."""
     patterns = patterns or IDENTIFIER_PATTERNS
@@ -88,19 +81,20 @@ def deidentify(
     of any size, or from column ``spans`` (``array<struct<text, label, start, end>>``), found by a model of your own on the
     text that :func:`redact_structured` gives.  ``key``, unique in ``notes``, is used only with a table.
     """
-    if spans is None and not isinstance(gazetteer, DataFrame):
-        done = notes.select("*", F.expr(full_redaction(col(text), gazetteer, patterns)).alias("_r"))
+    # a column each: as one expression the two would be nested deeper than the analyzer goes
+    first = notes.select("*", F.expr(structured_redaction(col(text), patterns)).alias("_r1"))
+    first = first.withColumn("_text", F.col("_r1.redacted_text"))
+    if spans is not None:
+        tagged = col(spans)
+    elif isinstance(gazetteer, DataFrame):
+        first, tagged = with_gazetteer(first, gazetteer, "_text", key), tagged_spans("_text", given="_given")
     else:
-        first = notes.select("*", F.expr(structured_redaction(col(text), patterns)).alias("_r1"))
-        first = first.withColumn("_text", F.col("_r1.redacted_text"))
-        if spans is None:
-            first = with_gazetteer(first, gazetteer, "_text", key)
-        tagged = tagged_spans("_text", given="_given") if spans is None else col(spans)
-        second = first.select("*", F.expr(entity_redaction("_text", tagged)).alias("_r2"))
-        whole = F.struct(
-            F.col("_r2.redacted_text").alias("redacted_text"), F.col("_r1.entities").alias("structured"), F.col("_r2.entities").alias("named")
-        )
-        done = second.select(*notes.columns, whole.alias("_r"))
+        tagged = tagged_spans("_text", gazetteer)
+    second = first.select("*", F.expr(entity_redaction("_text", tagged)).alias("_r2"))
+    whole = F.struct(
+        F.col("_r2.redacted_text").alias("redacted_text"), F.col("_r1.entities").alias("structured"), F.col("_r2.entities").alias("named")
+    )
+    done = second.select(*notes.columns, whole.alias("_r"))
     return done.select(
         *notes.columns,
         F.col("_r.redacted_text").alias("redacted_text"),

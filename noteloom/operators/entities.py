@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from noteloom.functions import spans as S
 from noteloom.functions.patterns import WORD
-from noteloom.functions.text import col, has_digit, is_lower, is_upper, let, lit, lits, strip
+from noteloom.functions.text import all_matches, col, has_digit, is_lower, is_upper, let, lit, lits, strip
 from noteloom.functions.vocabulary import GAZETTEER, STOPLIST
-from noteloom.operators.skew import heavy_keys, salted_join
 
 ENTITY_LABELS = ["PERSON", "ORG", "GPE", "LOC", "DATE"]
 REDACTED_TYPES = ["PERSON", "ORG", "LOCATION"]
@@ -25,6 +24,9 @@ DATE_CUE = rf"\b\d{{1,2}}[ -]{_MONTH}(?:[ -]\d{{2,4}})?\b|\b{_MONTH} \d{{4}}\b"
 # names by label, or a table (name, label)
 Gazetteer = dict[str, list[str]] | DataFrame
 
+# Places that the runs of one beginning are dealt to.
+SALTS = 8
+
 PLACEHOLDER = r"\[[A-Z]+_\d+\]"
 
 
@@ -80,31 +82,71 @@ def tag_entities(notes: DataFrame, gazetteer: Gazetteer | None = None, text: str
     return long.filter("s IS NOT NULL").select(key, "s.text", "s.label", "s.start", "s.end")
 
 
+def _chain(tokens: str, n: str, seed: int) -> str:
+    """A hash of the first ``n`` of an array of hashes, each taken in after the other."""
+    return f"aggregate(slice({tokens}, 1, {n}), {seed}L, (ch_a, ch_x) -> xxhash64(ch_a, ch_x))"
+
+
+def _trie(names: DataFrame, width: int) -> DataFrame:
+    """The beginnings of ``width`` tokens: ``(prefix, sizes, longer)``.
+
+    ``sizes`` are those of the names with such a beginning and fewer than twice as many tokens; ``longer`` says that there are
+    names with more.  Each comes once for every salt.
+    """
+    own = names.filter(F.col("n") >= width).groupBy(F.expr(_chain("t", str(width), 0)).alias("prefix"))
+    nodes = own.agg(F.collect_set(F.when(F.col("n") < 2 * width, F.col("n"))).alias("sizes"), (F.max("n") >= 2 * width).alias("longer"))
+    return nodes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def gazetteer_spans(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_text", key: str = "record_id") -> DataFrame:
     """Every place where a name of a gazetteer table ``(name, label)`` stands, overlapping ones too.
 
-    A name begins and ends with a letter, digit or underscore and stands between other characters; names that
-    do not are never found.  Runs of as many words as the longest name has meet the names in an equi-join, which
-    Spark broadcasts or shuffles by size; word runs that are very frequent are salted.
+    A text is a row of tokens: words, and single characters of any other kind.  A name is found where its tokens follow each
+    other, unless a word character stands right before or after it.  The names are a trie of relations: from each token, the run
+    of twice as many tokens goes on only if the shorter one begins a name, with the hash of the run as the key of an equi-join,
+    which Spark broadcasts or shuffles by size.  Runs are numbers; no text goes with them.  Runs and
+    names that are equal by two 64-bit hashes are taken to be the same.
     """
-    word = f"{WORD}+"
-    names = gazetteer.select("name", "label").filter("name IS NOT NULL AND label IS NOT NULL").distinct()
-    # one number, and one pass over the names
-    longest = names.agg(F.max(F.size(F.expr(f"regexp_extract_all(name, {lit(word)}, 0)")))).first()[0] or 0
-    words = notes.select(key, text, F.expr(S.pattern_spans(col(text), word, 0)).alias("_w"))
-    first = words.select(key, text, "_w", F.posexplode("_w").alias("i", "s"))
-    runs = first.select(
-        key, text, "s",
-        F.explode(F.slice("_w", F.col("i") + 1, F.lit(longest))).alias("t"),
-    ).select(
-        key,
-        F.expr(S.slice_text(col(text), "s.start", "t.stop")).alias("name"),
-        F.col("s.start").alias("start"),
-        F.col("t.stop").alias("end"),
-    )
-    hot = heavy_keys(runs.groupBy("name").count(), ["name"], "count")
-    hits = salted_join(runs, names, ["name"], hot, key, how="inner")
-    return hits.select(key, F.col("name").alias("text"), "label", "start", "end")
+    token = f"{WORD}+|(?s:.)"
+    hashes = "transform({}, {} -> xxhash64({}))"
+    names = gazetteer.select("name", "label").filter("name IS NOT NULL AND label IS NOT NULL AND name <> ''").distinct()
+    names = names.select("name", "label", F.expr(hashes.format(all_matches("name", token), "tk_x", "tk_x")).alias("t")).withColumn("n", F.size("t"))
+    # the one number that the plan depends on
+    longest = names.agg(F.max("n")).first()[0] or 0
+    if not longest:
+        return notes.select(key, F.lit("").alias("text"), F.lit("").alias("label"), F.lit(0).alias("start"), F.lit(0).alias("end")).filter("false")
+
+    bounds = f"array_append({S.running('transform(gz_t, gz_l -> length(gz_l))')}, length({col(text)}))"
+    run = f"""named_struct('start', get(gz_b, gz_i), 't', slice(gz_h, gz_i + 1, {longest}),
+      'ends', slice(gz_b, gz_i + 2, {longest}), 'word', slice(gz_w, gz_i + 1, {longest + 1}))"""
+    free = "NOT (coalesce(get(gz_w, gz_i - 1), false) AND NOT get(gz_w, gz_i))"
+    runs = f"transform(filter(sequence(0, size(gz_t) - 1), gz_i -> {free}), gz_i -> {run})"
+    is_word = f"transform(gz_t, gz_x -> gz_x RLIKE {lit('^' + WORD)})"
+    every = let("gz_b", bounds, let("gz_h", hashes.format("gz_t", "gz_y", "gz_y"), let("gz_w", is_word, runs)))
+    all_runs = let("gz_t", all_matches(col(text), token), f"if(size(gz_t) = 0, NULL, {every})")
+
+    rows = notes.select(key, F.explode(F.expr(all_runs)).alias("r")).select(key, "r.*")
+    # very frequent beginnings are in several places
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(key, "start"), F.lit(SALTS)).cast("int"))
+    width, found = 1, []
+    while width <= longest:
+        go = "true" if width == 1 else f"_longer AND size(t) >= {width}"
+        # runs that do not go on have keys of their own, not one for all
+        prefix = F.expr(f"if({go}, {_chain('t', str(width), 0)}, xxhash64({col(key)}, start, 'no name'))")
+        nodes = _trie(names, width).withColumnsRenamed({"sizes": f"_sizes{width}", "longer": "_next"})
+        keyed = rows.withColumn("prefix", prefix)
+        joined = keyed.join(nodes, ["prefix", "salt"], "inner" if width == 1 else "left")
+        found.append(f"_sizes{width}")
+        rows = joined.withColumn("_longer", F.coalesce("_next", F.lit(False))).drop("_next", "prefix")
+        width *= 2
+    sizes = "concat(" + ", ".join(f"coalesce({c}, cast(array() AS array<int>))" for c in found) + ")"
+    ended = "NOT (coalesce(get(word, n), false) AND NOT get(word, n - 1))"
+    hits = rows.select("*", F.explode(F.expr(f"filter({sizes}, sz -> sz <= size(t))")).alias("n")).filter(ended)
+    ids = [F.expr(_chain("t", "n", seed)).alias(f"h{seed}") for seed in (0, 1)]
+    whole = hits.select(key, "start", F.expr("get(ends, n - 1)").alias("end"), "n", "salt", *ids)
+    known = names.select("name", "label", "n", *ids).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = whole.join(known, ["h0", "h1", "n", "salt"])
+    return same.select(key, F.col("name").alias("text"), "label", "start", "end")
 
 
 def with_gazetteer(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_text", key: str = "record_id") -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -145,6 +146,41 @@ def test_gazetteer_table_of_any_size(spark, texts):
     assert sorted(tag_entities(rows, many).collect()) == expected
 
 
+def test_gazetteer_names_of_any_shape(spark, texts):
+    """Names may begin and end with any character; a word character beside them still rules them out."""
+    rows = texts(
+        "Acme Inc. and Acme Ltd of St. Mary (North), not xAcme Inc. nor Acme Inc.x", "(North) (North)s x(North) ((North))", "C++ C++x #1 a#1 C+", "St. Mary (North) St. Mary",
+        "naïve Café-Bar’s, Café-Bar", "Acme  Inc. Acme\nInc.", "one two three four five six seven eight nine", "", None, "A.B.C. A.B.C", "Acme Inc.Acme Inc.", "é(North) 日(North) (North)é",
+    )
+    lists = {
+        "GPE": ["St. Mary (North)", "(North)", "St. Mary"], "LOC": ["one two three four five six seven eight nine", "two three", "one two three four five"],
+        "ORG": ["Acme Inc.", "Acme Ltd", "Acme", "C++", "#1", "Café-Bar", "A.B.C.", "A.B.", "Acme Inc.Acme"],
+    }
+    table = spark.createDataFrame([(n, label) for label, names in lists.items() for n in names] + [("", "ORG")], "name string, label string")
+    expected = sorted(tag_entities(rows, lists).collect())
+    assert len(expected) > 15
+    assert sorted(tag_entities(rows, table).collect()) == expected
+    assert sorted(deidentify(rows, table).collect()) == sorted(deidentify(rows, lists).collect())
+
+
+def test_random_gazetteers(spark, texts):
+    rng = random.Random(11)
+    pieces = ["Ab", "Cd", "e", ".", "(", " ", "  ", "-", "é", "1", "\n", "'"]
+    make = lambda n: "".join(rng.choices(pieces, k=rng.randint(1, n)))
+    names = list(dict.fromkeys(make(5) for _ in range(40)))
+    lists = {"GPE": names[:20], "ORG": names[20:]}
+    rows = texts(*[make(40) for _ in range(150)])
+    table = spark.createDataFrame([(n, label) for label, own in lists.items() for n in own], "name string, label string")
+    assert sorted(tag_entities(rows, table).collect()) == sorted(tag_entities(rows, lists).collect())
+
+
+def test_many_matches_take_time_in_proportion(texts):
+    text = "x@y.com " * 100_000
+    found = find_pii(texts(text, "a@b.org"), {"EMAIL": IDENTIFIER_PATTERNS["EMAIL"]}).filter("record_id = 0")
+    got = found.agg(F.count("*"), F.min("start"), F.max("end"), F.countDistinct("start")).first()
+    assert tuple(got) == (100_000, 0, len(text) - 1, 100_000)
+
+
 def test_given_spans_after_structured_redaction(texts):
     rows = texts("Call 01234 567890 for Hale")
     named = redact_structured(rows).select("record_id", "raw_text", F.expr("array(named_struct('text', 'Hale', 'label', 'PERSON', 'start', 19, 'end', 23))").alias("model"))
