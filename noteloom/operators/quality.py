@@ -90,18 +90,34 @@ def _note_sums() -> list[Column]:
 
 def _digests(columns: list[str]) -> list[Column]:
     """Keys by a 256-bit digest, so a shuffle moves 32 bytes per distinct text.  NULL is a value."""
-    return [F.coalesce(F.unhex(F.sha2(F.col(c).cast("binary"), 256)), F.lit(b"")).alias(f"_{c}") for c in columns]
+    return [F.coalesce(F.unhex(F.sha2(F.col(c).cast("string").cast("binary"), 256)), F.lit(b"")).alias(f"_{c}") for c in columns]
 
 
 def note_and_uniqueness_checks(notes: DataFrame, columns: list[str], canonical: list[str] | None = None, text: str = "raw_text") -> DataFrame:
     """Both kinds of checks in one pass: the sums of the notes are taken per distinct key, then over all keys."""
     facts = notes.select(*_digests(columns), *_note_facts(canonical, text))
-    groups = facts.groupBy(*[f"_{c}" for c in columns]).agg(*_note_sums())
+    return _fact_checks(facts, [f"_{c}" for c in columns])
+
+
+def _fact_checks(facts: DataFrame, keys: list[str]) -> DataFrame:
+    groups = facts.groupBy(*keys).agg(*_note_sums())
     names = ("n", "filled", "words", "known", "long_enough")
     sums = groups.agg(F.count("*").alias("distinct"), *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names])
     return _checks(sums, NOTE_PARTS + UNIQUE_PARTS)
 
 
+def with_note_facts(records: DataFrame, columns: list[str] | None = None, canonical: list[str] | None = None, text: str = "raw_text") -> DataFrame:
+    """Records with ``note_facts``: the numbers and the digest that the checks need of a note, some dozen bytes, taken while its text is at hand."""
+    truth = records.select("*", F.col("ground_truth.icd_labels").alias("icd_labels"), F.col("ground_truth.disease_spans.entity").alias("disease_spans"))
+    keys = F.struct(*_digests(columns or [text])).alias("key")
+    return truth.select(*records.columns, F.struct(*_note_facts(canonical, text), keys).alias("note_facts"))
+
+
+def fact_checks(facts: DataFrame) -> DataFrame:
+    """The checks of :func:`note_and_uniqueness_checks` from ``note_facts`` alone."""
+    return _fact_checks(facts.select("note_facts.*"), ["key"])
+
+
 def _in_range(value: Column, pattern: Column) -> Column:
     weight, temperature, age = RANGES["weight"], RANGES["temperature"], RANGES["age"]
     return (
@@ -149,6 +165,33 @@ def uniqueness_checks(rows: DataFrame, columns: list[str]) -> DataFrame:
     return _checks(sums, UNIQUE_PARTS)
 
 
+# Logarithm of a sketch's registers: the error of a count is about 1.04 / sqrt(2 ** LOG_REGISTERS), one standard deviation.
+LOG_REGISTERS = 14
+
+
+def distinct_sketches(rows: DataFrame, columns: list[str], by: list[str] | None = None, log_registers: int = LOG_REGISTERS) -> DataFrame:
+    """``(*by, sketch, n)``: a mergeable sketch of the distinct keys of ``columns`` and the number of rows, for each group.
+
+    Sketches of parts, days or stages are some kilobytes each, whatever their rows, and are kept and merged instead of
+    the keys.  NULL is a value.
+    """
+    digest = F.sha2(F.concat(*_digests(columns)) if len(columns) == 1 else F.to_json(F.struct(*[F.hex(d).alias(c) for d, c in zip(_digests(columns), columns, strict=True)])).cast("binary"), 256)
+    keyed = rows.select(*(by or []), digest.alias("_k"))
+    return keyed.groupBy(*(by or [])).agg(F.hll_sketch_agg("_k", log_registers).alias("sketch"), F.count("*").alias("n"))
+
+
+def merged_sketches(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Sketches of parts merged into those of whole groups."""
+    return sketches.groupBy(*(by or [])).agg(F.hll_union_agg("sketch").alias("sketch"), F.sum("n").alias("n"))
+
+
+def approximate_uniqueness(sketches: DataFrame, log_registers: int = LOG_REGISTERS) -> DataFrame:
+    """``sketches`` with ``distinct_keys``, ``uniqueness`` and ``error``, the relative error that three standard deviations allow."""
+    found = sketches.withColumn("distinct_keys", F.hll_sketch_estimate("sketch")).drop("sketch")
+    share = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.col("distinct_keys"), F.col("n")), F.lit(0.0)))
+    return found.withColumn("uniqueness", share).withColumn("error", F.lit(3 * 1.04 / 2 ** (log_registers / 2)))
+
+
 def scores(checks: DataFrame) -> DataFrame:
     """``(dimension, before, after)`` from check sums; dimensions without data get their default."""
 
@@ -181,10 +224,16 @@ def quality_scores(notes: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def quality_report(six: DataFrame) -> DataFrame:
-    """The six dimensions with their change, and their unweighted mean as a last row."""
-    mean = six.agg(F.avg("before").alias("before"), F.avg("after").alias("after"))
-    rows = six.unionByName(mean.withColumn("dimension", F.lit(OVERALL)))
-    return rows.select("dimension", "before", "after", (F.col("after") - F.col("before")).alias("delta"))
+    """The six dimensions with their change, and their unweighted mean as a last row; the scores are computed once."""
+    rows = six.agg(F.collect_list(F.struct("dimension", "before", "after")).alias("rows"))
+
+    def mean(side: str) -> Column:
+        total = F.aggregate(F.col("rows")[side], F.lit(0.0), lambda s, x: s + x)
+        return F.try_divide(total, F.size("rows")).alias(side)
+
+    overall = F.struct(F.lit(OVERALL).alias("dimension"), mean("before"), mean("after"))
+    every = rows.select(F.inline(F.concat("rows", F.array(overall))))
+    return every.select("dimension", "before", "after", (F.col("after") - F.col("before")).alias("delta"))
 
 
 def attach_scores(records: DataFrame, six: DataFrame) -> DataFrame:

@@ -426,6 +426,29 @@ SELECT user_id, event_type AS label, round(score, 6) AS score FROM r WHERE rn =
     out["cascade_misspelt"] = with_(
         CTE_VOCAB, f"spans AS (SELECT record_id, 0::BIGINT AS ord, term FROM ({inputs.MISSPELT_DIAGNOSES}))", *cascade_ctes(), CTE_DX
     ) + "SELECT record_id, raw, standard, round(score, 6) AS score, method FROM dx"
+    out["cascade_dictionary"] = out["cascade_misspelt"]
+    out["round_trip_records"] = out["shape_records"]
+    out["semantic_match_parts"] = with_(
+        f"terms AS (SELECT term, count(*) AS n, {ngrams('term')} AS vec FROM ({inputs.MISSPELT_PARTS}) GROUP BY term)",
+        f"parts AS (SELECT p_name AS part, min(p_partkey) AS ord, {ngrams('p_name')} AS vec FROM part GROUP BY p_name)",
+        "s AS (SELECT t.term, t.n, p.part, p.ord, list_cosine_similarity(t.vec, p.vec) AS s FROM terms t CROSS JOIN parts p)",
+    ) + """SELECT term, n, CASE WHEN max(s) >= 0.62 THEN arg_max(part, (round(s, 12), -ord)) END AS matched,
+  CASE WHEN max(s) >= 0.62 THEN round(max(s), 6) END AS score FROM s GROUP BY term, n"""
+    centroids = [
+        CTE_NOTES,
+        r"""words AS (SELECT record_id, disease, word, count(*) AS n FROM (
+  SELECT record_id, disease, unnest(regexp_extract_all(lower(raw_text), '[\p{L}\p{N}_]+')) AS word FROM notes) GROUP BY ALL)""",
+        """weights AS (SELECT word, ln((1.0 + (SELECT count(DISTINCT record_id) FROM words WHERE disease IS NOT NULL)) / (1.0 + count(*))) AS w
+  FROM words WHERE disease IS NOT NULL GROUP BY word)""",
+        "raw AS (SELECT record_id, disease, word, n * w AS x FROM words JOIN weights USING (word) WHERE w > 0)",
+        "vecs AS (SELECT r.record_id, r.disease, r.word, r.x / l.len AS x FROM raw r JOIN (SELECT record_id, sqrt(sum(x * x)) AS len FROM raw GROUP BY record_id) l USING (record_id))",
+        "sums AS (SELECT disease AS label, word, sum(x) AS x FROM vecs WHERE disease IS NOT NULL GROUP BY disease, word)",
+        "cent AS (SELECT s.label, s.word, s.x / l.len AS x FROM sums s JOIN (SELECT label, sqrt(sum(x * x)) AS len FROM sums GROUP BY label) l USING (label))",
+        "labelled AS (SELECT v.record_id, c.label, sum(v.x * c.x) AS score FROM vecs v JOIN cent c USING (word) WHERE v.disease IS NULL GROUP BY v.record_id, c.label)",
+    ]
+    out["label_centroid_scores"] = with_(*centroids) + "SELECT record_id, label, round(score, 6) AS score FROM labelled"
+    out["fallback_centroids"] = with_(*centroids) + """SELECT record_id, arg_max(label, (score, -ascii(label), label)) AS standard, round(max(score), 6) AS score, 'zero_shot' AS method
+FROM labelled GROUP BY record_id HAVING max(score) >= 0.05"""
     out["fallback_label"] = with_(
         CTE_NOTES,
         f"labels AS (SELECT term, ord, {ngrams('term')} AS vec FROM {values(NOTE_LABELS)} AS d(term, ord))",
@@ -447,7 +470,8 @@ UNION ALL SELECT record_id, 'diagnoses', NULL, NULL, NULL, NULL, NULL, NULL, NUL
         out[name] = with_(CTE_NOTES, pii_cte(kinds=[kind])) + """SELECT record_id, text, start::BIGINT AS start, "end"::BIGINT AS "end" FROM pii"""
     out["pii_email_documents"] = with_(pii_cte("documents", "doc_id", "text", ["EMAIL"])) + """SELECT doc_id, text, start::BIGINT AS start, "end"::BIGINT AS "end" FROM pii"""
     out["pii_conversations"] = with_(
-        "turns AS (SELECT conv_id * 1000 + turn AS turn_id, text AS body FROM conversations)", pii_cte("turns", "turn_id", "body")
+        """turns AS (SELECT conv_id * 1000 + turn AS turn_id, text || CASE conv_id % 3 WHEN 0 THEN ' Mail user.' || conv_id || '@example.org, M1 1AA'
+  WHEN 1 THEN ' on 01/0' || (turn % 9 + 1) || '/2024' ELSE '' END AS body FROM conversations)""", pii_cte("turns", "turn_id", "body")
     ) + """SELECT turn_id, type, text, start::BIGINT AS start, "end"::BIGINT AS "end" FROM pii"""
     out["pii_documents"] = with_(pii_cte("documents", "doc_id", "text")) + """SELECT doc_id, type, text, start::BIGINT AS start, "end"::BIGINT AS "end" FROM pii"""
     found = with_(CTE_NOTES, pii_cte())
@@ -521,6 +545,9 @@ UNION ALL SELECT 'abbreviations', round({raw_accuracy(['BAR', 'NAD', 'CRT', 'BP'
     out["quality_uniqueness"] = notes + rounded_scores(unique("notes", "raw_text"))
     out["quality_uniqueness_documents"] = rounded_scores(unique("documents", "text"))
     out["quality_standardisation"] = with_(*ITEMS) + f"SELECT 'Standardisation' AS dimension, 0.0::DOUBLE AS before, round({STANDARD}, 6) AS after FROM items"
+    out["quality_uniqueness_sketches"] = """SELECT count(*) AS n, (count(DISTINCT text) + max((text IS NULL)::INT))::BIGINT AS distinct_texts, true AS near FROM documents"""
+    out["quality_no_notes"] = """SELECT d AS dimension, b::DOUBLE AS before, b::DOUBLE AS after, 0::DOUBLE AS delta FROM (VALUES ('Completeness', 0), ('Accuracy', 0),
+  ('Consistency', 0.5), ('Validity', 0), ('Uniqueness', 0), ('Standardisation', 0), ('OVERALL', 0.083333)) AS t(d, b)"""
     out["quality_report"] = with_(*ITEMS, SIX) + """SELECT dimension, round(before::DOUBLE, 6) AS before, round(after::DOUBLE, 6) AS after, round((after - before)::DOUBLE, 6) AS delta FROM (
   SELECT * FROM six UNION ALL SELECT 'OVERALL', avg(before), avg(after) FROM six)"""
     sides = ", ".join(

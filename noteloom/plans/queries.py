@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from noteloom.functions.patterns import CLINICAL_PATTERNS, IDENTIFIER_PATTERNS
 from noteloom.functions.vocabulary import BREEDS, DIAGNOSES, abbreviations_df
 from noteloom.operators import deidentify as deid
+from noteloom.operators import dictionary, evaluation, labels, matching, privacy, quality
 from noteloom.operators import entities as ent
-from noteloom.operators import evaluation, matching, privacy, quality
 from noteloom.operators import extract as ext
 from noteloom.operators import standardise as std
 from noteloom.operators.publish import publish
 from noteloom.plans import inputs
 from noteloom.sources.annotations import parse_annotations
-from noteloom.sources.notes import shape_records
+from noteloom.sources.folders import fresh_folder
+from noteloom.sources.notes import read_records, shape_records, write_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 NGRAM_THRESHOLD = 0.5
 # The given vectors are spread out: the nearest label mean is rarely closer than this.
 VECTOR_THRESHOLD = 0.22
+# Names within longer texts are about so near.
+PART_THRESHOLD = 0.62
 # About half of the users have an event type with more than this share of their events.
 LABEL_SHARE = 0.25
 CASCADE = {"semantic_threshold": NGRAM_THRESHOLD}
@@ -89,7 +92,20 @@ def parse_annotations_rows(spark, sf_dir):
 
 @query
 def shape_records_rows(spark, sf_dir):
+    return _shaped(shape_records(parse_annotations(inputs.source_rows(spark, sf_dir))))
+
+
+@query
+def round_trip_records(spark, sf_dir):
+    """Records written as Parquet, these read and written as JSON lines, and those read back."""
     records = shape_records(parse_annotations(inputs.source_rows(spark, sf_dir)))
+    folder = fresh_folder(spark, "records")
+    write_records(records, f"{folder}/parquet")
+    write_records(read_records(spark, f"{folder}/parquet"), f"{folder}/json", "json")
+    return _shaped(read_records(spark, f"{folder}/json", "json"))
+
+
+def _shaped(records: DataFrame) -> DataFrame:
     truth = "ground_truth"
     return records.select(
         "record_id",
@@ -259,6 +275,43 @@ def cascade_vectors(spark, sf_dir):
     return out.select("record_id", "raw", "standard", "score", "method")
 
 
+@query
+def cascade_dictionary(spark, sf_dir):
+    """The cascade twice with one folder of matches: the second run finds every term in it."""
+    spans = inputs.misspelt_diagnoses(spark, sf_dir).select("record_id", F.lit(0).alias("ord"), F.col("term").alias("entity"))
+    folder = fresh_folder(spark, "matches")
+    dictionary.matched_terms(std.term_counts(spans), folder, **CASCADE)
+    return dictionary.cascade_with_dictionary(spans, folder, **CASCADE).select("record_id", "raw", "standard", "score", "method")
+
+
+def _disease_labels(notes: DataFrame) -> DataFrame:
+    """Scores of all notes without a disease, by what notes with one have in common."""
+    known = notes.filter("disease IS NOT NULL")
+    weights, learnt = labels.learnt_labels(known, known.select("record_id", F.col("disease").alias("label"), F.ascii("disease").alias("ord")))
+    return labels.scored_notes(notes.filter("disease IS NULL"), weights, learnt)
+
+
+@on_notes
+def label_centroid_scores(notes):
+    return _disease_labels(notes).select("record_id", "label", "score")
+
+
+@on_notes
+def fallback_centroids(notes):
+    """The best of these scores as the label of each note."""
+    found = std.fallback_label(notes, "disease IS NULL", scores=_disease_labels(notes), threshold=0.05)
+    return found.select("record_id", "standard", "score", "method")
+
+
+@query
+def semantic_match_parts(spark, sf_dir):
+    """Vectors of misspelt part names against those of a table of names."""
+    terms = inputs.misspelt_parts(spark, sf_dir).groupBy("term").agg(F.count("*").alias("n"))
+    names = inputs.table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("term")).agg(F.min("p_partkey").alias("ord"))
+    rows = std.encoded_terms(terms.withColumn("ord", F.col("n"))).select("term", F.col("ord").alias("n"), "vector")
+    return matching.vector_join(rows, std.encoded_terms(names), PART_THRESHOLD).drop("vector")
+
+
 @on_notes
 def standardised_long(notes):
     return std.standardise(notes, inputs.spans_of(notes), **CASCADE)
@@ -314,9 +367,11 @@ def pii_email_documents(spark, sf_dir):
 
 @query
 def pii_conversations(spark, sf_dir):
-    """Identifiers of every type in whole conversation turns."""
+    """Identifiers of every type in whole conversation turns, to some of which a line of contact is added."""
     turns = inputs.table(spark, sf_dir, "conversations")
-    keyed = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
+    contact = F.expr("""CASE conv_id % 3 WHEN 0 THEN concat(' Mail user.', cast(conv_id AS string), '@example.org, M1 1AA')
+      WHEN 1 THEN concat(' on 01/0', cast(turn % 9 + 1 AS string), '/2024') ELSE '' END""")
+    keyed = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), F.concat("text", contact).alias("text"))
     return deid.find_pii(inputs.spread(keyed, "turn_id"), None, "text", "turn_id")
 
 
@@ -534,6 +589,23 @@ def quality_uniqueness_documents(spark, sf_dir):
     return _dimension(quality.uniqueness_checks(inputs.table(spark, sf_dir, "documents"), ["text"]), "Uniqueness")
 
 
+@query
+def quality_uniqueness_sketches(spark, sf_dir):
+    """Sketches by source of the documents, merged: rows, and whether the count of distinct texts is as near as it should be."""
+    documents = inputs.table(spark, sf_dir, "documents")
+    merged = quality.approximate_uniqueness(quality.merged_sketches(quality.distinct_sketches(documents, ["text"], ["source"])))
+    exact = documents.agg((F.countDistinct("text") + F.max(F.when(F.col("text").isNull(), 1).otherwise(0))).alias("exact"))
+    near = F.abs(F.col("distinct_keys") - F.lit(exact.scalar())) <= F.col("error") * F.lit(exact.scalar())
+    return merged.select("n", F.lit(exact.scalar()).cast("bigint").alias("distinct_texts"), near.alias("near"))
+
+
+@on_notes
+def quality_no_notes(notes):
+    """The report on a table that has no rows."""
+    none = notes.filter("record_id < 0")
+    return quality.quality_report(quality.quality_scores(inputs.annotated(none), _items(none), weight="n"))
+
+
 @on_notes
 def quality_standardisation(notes):
     return _dimension(quality.item_checks(_items(notes), "n"), "Standardisation")
