@@ -150,7 +150,8 @@ def quality(docs: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR,
     host (``source``) hold so many of the words that less than ``min_left`` of them remain.
 
     A null text is an empty one and fails the base; a null source is a host of its own, as an empty one.  Repeated rows
-    and null ids are judged row by row.  An empty table gives no rows; other columns are ignored.
+    and null ids are judged row by row.  Long texts, words and lines are judged whole.  An empty table gives no rows; other
+    columns are ignored.
     """
     return _judged(docs, share, floor, min_left).drop("host", "gone")
 

@@ -33,8 +33,8 @@ def pieces(docs: DataFrame, vocabulary: str, byte_level: bool = False, longest:
 
     ``ids`` are little-endian unsigned 32-bit numbers; ``end`` closes every document.  ``part`` and ``place`` number the
     pieces of a length within a task; write the rows before ``numbered``.  Null and empty texts are one
-    piece, the closing id.  Repeated rows and null ids are packed as any other; other columns are ignored, and an
-    empty table gives no rows.  ``longest`` must be a power of two.
+    piece, the closing id.  Repeated rows and null ids are packed as any other; long texts become as many pieces as
+    they need.  Other columns are ignored, and an empty table gives no rows.  ``longest`` must be a power of two.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")

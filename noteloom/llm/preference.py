@@ -61,7 +61,7 @@ def preference_pairs(pairs: DataFrame) -> DataFrame:
     Adds ``prompt_turns``, ``prompt``, ``chosen_text``, ``rejected_text``, ``chosen_spans`` and ``rejected_spans``.  The prompt is the
     longest run of first turns that are equal in role and text, written once.  A null array is an empty
     conversation.  Equal conversations, and one that is the start of the other, leave an empty completion; both empty
-    leave an empty prompt.  Columns of the given table with one of the six names are replaced.
+    leave an empty prompt.  Long texts are written whole.  Columns of the given table with one of the six names are replaced.
     """
     none = F.array().cast("array<struct<role:string,text:string>>")
     chosen, rejected = (F.coalesce(F.col(c), none) for c in ("chosen", "rejected"))
@@ -82,7 +82,7 @@ def preference_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def next_with_key(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``(key, id)`` with ``next_id``, the next larger id of the same key, null at the last.
+    """``(key, id)`` with ``next_id``, the next larger id of the same key, null at the last; ids are numbers.
 
     Ids are cut into blocks and followed within a block; the last of a block goes on to the first of the next
     block that has any.  So a key with very many rows is dealt over many tasks.

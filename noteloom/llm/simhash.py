@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, bits: int = MAX_BITS)
     its own included; a row that nothing links to has its own.  Null, empty and blank texts have
     fingerprint zero and link as any other.  Rows with a null ``doc_id`` stay, and count as no
     smallest one; a group of none but such rows has a null component.  Repeated rows are returned as often as given.  Columns beside
-    the two are ignored.  An empty table gives no rows.
+    the two are ignored.  An empty table gives no rows.  Long texts are hashed whole, by one task.
 
     Equal fingerprints are one node, so only distinct ones are keyed and compared.
     """

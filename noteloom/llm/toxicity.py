@@ -313,8 +313,8 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every row of ``(doc_id, text)``.
 
-    Null and empty texts are scored as a text without words; repeated rows and null ids as any other.  Other
-    columns are ignored, and an empty table gives no rows.
+    Null and empty texts are scored as a text without words; repeated rows and null ids as any other, long texts
+    whole.  Other columns are ignored, and an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -402,8 +402,8 @@ def encoded(docs: DataFrame, vocabulary: str, size: int = LEXICON) -> DataFrame:
     UTF-8 bytes of the text that the ids spell.
 
     The ids are those of the vocabulary's own library, special tokens in the text included.  Null and empty texts have
-    no ids and decode to nothing.  Repeated rows and null ids are rows as any other; other columns are
-    ignored, and an empty table gives no rows.
+    no ids and decode to nothing.  Repeated rows and null ids are rows as any other; long texts, and
+    words, are encoded whole by one task.  Other columns are ignored, and an empty table gives no rows.
     """
     block = docs.sparkSession.sparkContext.broadcast(lexicon(docs, vocabulary, size))
 
