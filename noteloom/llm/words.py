@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 CACHE_BYTES = 128 << 20  # of chunks, words and their ids that a worker remembers from batch to batch, about
 ENTRY_BYTES = 180  # that a remembered chunk takes beside its letters and ids
 LONGEST = 64  # characters of a chunk that is remembered
-PART_BYTES = 8 << 20  # text encoded at once
+PART_BYTES = 4 << 20  # text encoded at once
 SLICE_BYTES = 256 << 10  # of it that the library or a merge table takes at once, as they need some hundred times as much
 
 # Letters and numbers below U+0250, white space of the tokenizers, and words cut off at apostrophes
