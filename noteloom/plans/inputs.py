@@ -96,19 +96,22 @@ SELECT p_partkey AS record_id,
 FROM part
 """.replace("strpos(", "instr(")
 
-# Names of one to six words from the given tables, one of which stands inside another.
+# Names of one to six words from the given tables, one of which stands inside another, and some that end in a bracket.
 GAZETTEER = """
 SELECT c_name AS name, 'ORG' AS label FROM customer
 UNION ALL SELECT 'Clinic ' || CAST(c_custkey AS STRING) || ' of the ' || p_name, 'ORG' FROM customer
   JOIN part ON p_partkey = c_custkey % 200
 UNION ALL SELECT DISTINCT p_name, 'LOC' FROM part
 UNION ALL SELECT 'Clinic', 'GPE'
+UNION ALL SELECT 'Vet (' || CAST(c_custkey AS STRING) || ')', 'ORG' FROM customer
 """
 # Notes with such names, a title, a placeholder, and a name that a letter beyond ASCII runs into.
 NAMED_NOTES = """
 SELECT event_id AS record_id, c_name, p_name, 'Clinic ' || CAST(c_custkey AS STRING) || ' of the ' || p_name AS clinic,
+  'Vet (' || CAST(c_custkey AS STRING) || ')' AS vet,
   'Dr Hale saw ' || c_name || ' at Clinic ' || CAST(c_custkey AS STRING) || ' of the ' || p_name
-    || ', not [LOCATION_1] nor Clinic and ' || CASE event_id % 2 WHEN 0 THEN 'é' ELSE 'e' END || p_name || '. ' || p_name AS raw_text
+    || ', not [LOCATION_1] nor Clinic and ' || CASE event_id % 2 WHEN 0 THEN 'é' ELSE 'e' END || p_name || '. ' || p_name
+    || ' via Vet (' || CAST(c_custkey AS STRING) || '), not xVet (' || CAST(c_custkey AS STRING) || ')' AS raw_text
 FROM events JOIN customer ON c_custkey = event_id % 150
   JOIN part ON p_partkey = c_custkey % 200
 """

@@ -499,11 +499,12 @@ LEFT JOIN x ON d.record_id = x.record_id"""
     out["tag_gazetteer"] = with_(named, """parts AS (SELECT record_id, unnest([
   {'text': 'Hale', 'label': 'PERSON', 's': 3}, {'text': c_name, 'label': 'ORG', 's': 12}, {'text': clinic, 'label': 'ORG', 's': 16 + len(c_name)},
   {'text': 'Clinic', 'label': 'GPE', 's': 39 + len(c_name) + len(clinic)},
-  {'text': p_name, 'label': 'LOC', 's': 53 + len(c_name) + len(clinic) + len(p_name)}]) AS x FROM named)""") + (
+  {'text': p_name, 'label': 'LOC', 's': 53 + len(c_name) + len(clinic) + len(p_name)},
+  {'text': vet, 'label': 'ORG', 's': 58 + len(c_name) + len(clinic) + 2 * len(p_name)}]) AS x FROM named)""") + (
         """SELECT record_id, x.text AS text, x.label AS label, x.s::BIGINT AS start, (x.s + len(x.text))::BIGINT AS "end" FROM parts"""
     )
     out["deidentify_gazetteer"] = with_(named) + """SELECT record_id, 'Dr [PERSON_1] saw ' || c_name || ' at ' || clinic || ', not [LOCATION_1] nor [LOCATION_1] and '
-  || CASE record_id % 2 WHEN 0 THEN 'é' ELSE 'e' END || p_name || '. [LOCATION_2]' AS redacted_text, 3::BIGINT AS n_entities FROM named"""
+  || CASE record_id % 2 WHEN 0 THEN 'é' ELSE 'e' END || p_name || '. [LOCATION_2] via ' || vet || ', not x' || vet AS redacted_text, 3::BIGINT AS n_entities FROM named"""
     out["entities_all"] = with_(*CHAIN) + f"""SELECT {entity}, 'raw' AS frame FROM s_entities UNION ALL
 SELECT record_id, seq + coalesce(n, 0), type, text, start::BIGINT, "end"::BIGINT, placeholder, 'regex_redacted'
 FROM e_entities LEFT JOIN (SELECT record_id, count(*) AS n FROM s_entities GROUP BY record_id) USING (record_id)"""

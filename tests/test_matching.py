@@ -5,13 +5,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from noteloom.functions import similarity as sim
-from noteloom.functions.vocabulary import BREEDS, DIAGNOSES
 from noteloom.functions import pieces as P
+from noteloom.functions import similarity as sim
+from noteloom.functions.vocabulary import BREEDS, DIAGNOSES, abbreviations_df
 from noteloom.operators import matching
+from noteloom.operators.extract import extract_patterns
 from noteloom.operators.matching import fuzzy_join, label_top1, vector_join, weighted_fuzzy_join
 from noteloom.operators.skew import dealt_join, heavy_keys, salted_join
-from noteloom.operators.standardise import cascade, fallback_label, match_terms, method_distribution, term_counts
+from noteloom.operators.standardise import cascade, fallback_label, lookup, match_terms, method_distribution, standardise_patterns, term_counts
 from noteloom.plans import inputs
 
 
@@ -283,6 +284,20 @@ def test_given_vectors(spark):
         match_terms(terms, term_vectors=given)
 
 
+def test_a_vocabulary_table_gives_the_same_and_deals_hot_keys(spark, texts):
+    items = extract_patterns(texts(*["HR 90 BAR 4kg"] * 200, "oa NAD", "qar CRT 1", None))
+    plain = standardise_patterns(items)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = standardise_patterns(items, abbreviations_df(spark))
+        assert table.count() == plain.count() and table.exceptAll(plain).count() == 0
+        key, rows = F.expr("upper(raw)"), items.select("record_id", "raw")
+        places = lookup(rows, key, abbreviations_df(spark)).filter("standard IS NOT NULL")
+        assert places.exceptAll(lookup(rows, key, abbreviations_df(spark), places=1)).count() == 0 and places.count() > 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_repeated_vocabulary_rows_keep_one_row_an_item(spark):
     rows = [("OA", "first", "g", 0), ("OA", "last", "h", 1), ("oa", "folded", "i", 2), ("oA", "other", "j", 3), (None, "none", "k", 4)]
     vocabulary = spark.createDataFrame(rows, "term string, canonical string, category string, ord int")
