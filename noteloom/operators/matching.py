@@ -188,7 +188,10 @@ def _angle(a: Column, b: Column, lengths: Column) -> Column:
 
 def prepared_vectors(vocabulary: DataFrame) -> DataFrame:
     """``(term, ord, vector, norm)`` from ``(term, ord, vector)``, without those that have no direction."""
-    return vocabulary.select("term", "ord", "vector", F.expr(sim.norm("vector")).alias("norm")).filter("norm > 0")
+    # a filter on the outer form stays above a grouping by term, so that only distinct terms are encoded
+    sized = vocabulary.select("term", "ord", F.explode_outer(F.array("vector")).alias("vector"))
+    sized = sized.select("*", F.expr(sim.norm("vector")).alias("norm"))
+    return sized.filter("norm > 0")
 
 
 def best_label(vector: str, labels: DataFrame, cutoff: float) -> str:

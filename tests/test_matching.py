@@ -304,3 +304,12 @@ def test_repeated_vocabulary_rows_keep_one_row_an_item(spark):
     for fold, expected in ((False, "last"), (True, "other")):
         found = match_terms(term_counts(spans(spark, "OA")), vocabulary, fold_keys=fold).collect()
         assert [(r.standard, r.method) for r in found] == [(expected, "exact_match")]
+
+
+def test_names_are_encoded_once_however_often_they_occur(spark):
+    """The check of a vector's direction stays above the grouping of a table's names."""
+    names = spark.range(20).select(F.concat(F.lit("name "), (F.col("id") % 3).cast("string")).alias("term"), F.col("id").alias("ord"))
+    known = matching.prepared_vectors(encoded_terms(names.groupBy("term").agg(F.min("ord").alias("ord"))))
+    below = known._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)[1].split("\n", 1)[1]
+    assert "lambda" not in below
+    assert sorted((r.term, r.ord, len(r.vector) > 0) for r in known.collect()) == [("name 0", 0, True), ("name 1", 1, True), ("name 2", 2, True)]
