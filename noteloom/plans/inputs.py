@@ -125,13 +125,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows that a task of costly work on rows takes at most.
+TASK_ROWS = 100_000
+
+
 def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Give a file that is a single split to all cores before costly work on its rows.
+    """Give every core a part, and no part more than ``TASK_ROWS`` rows on average, before costly work on the rows.
 
-    Input with at least as many splits as cores, as large data has, is left alone: no shuffle.
+    The cost is in the rows, not in their bytes: a split of a narrow table holds millions of them.  Input that has
+    enough splits is left alone: no shuffle.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+    return rows.repartition(parts, key) if rows.rdd.getNumPartitions() < parts else rows
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +169,7 @@ def _from_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     names = ("events", "customer", "part")
     for name in names:
         sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}").replace(f"JOIN {name}", f"JOIN {{{name}}}")
-    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in names})
+    return spark.sql(sql, **{name: events(spark, sf_dir) if name == "events" else table(spark, sf_dir, name) for name in names})
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from noteloom.operators import matching
 from noteloom.operators.extract import extract_patterns
 from noteloom.operators.matching import fuzzy_join, label_top1, vector_join, weighted_fuzzy_join
 from noteloom.operators.skew import dealt_join, heavy_keys, salted_join
-from noteloom.operators.standardise import cascade, fallback_label, lookup, match_terms, method_distribution, standardise_patterns, term_counts
+from noteloom.operators.standardise import cascade, encoded_terms, fallback_label, lookup, match_terms, method_distribution, standardise_patterns, term_counts
 from noteloom.plans import inputs
 
 

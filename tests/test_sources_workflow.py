@@ -194,3 +194,12 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
         write_stream(transform(stream_notes(spark, str(tmp_path / "in"))), out, state).awaitTermination()
         batch, stream = transform(notes), spark.read.parquet(out)
         assert batch.count() == stream.count() and batch.exceptAll(stream.select(*batch.columns)).count() == 0
+
+
+def test_tasks_grow_with_the_rows(spark, monkeypatch):
+    """Rows as narrow as events get more tasks as they grow, and all of them arrive."""
+    monkeypatch.setattr(inputs, "TASK_ROWS", 1000)
+    rows = spark.range(0, 64_500, 1, 8)
+    spread = inputs.spread(rows, "id")
+    assert spread.rdd.getNumPartitions() == 65 and spread.distinct().count() == 64_500
+    assert inputs.spread(spark.range(0, 500, 1, 8), "id").rdd.getNumPartitions() == 8
