@@ -62,7 +62,7 @@ def _tuned(pattern: str, ignore_case: bool) -> str:
 def ascii_regex(pattern: str, ignore_case: bool = False) -> str:
     """The pattern for text known to be ASCII, where Java's fast shorthands mean the same."""
     out = _tuned(pattern, ignore_case) if pattern in CLINICAL_PATTERNS.values() else pattern
-    return ("(?i)" if ignore_case else "") + out.replace(r"\s", r"[\t-\r\x1c-\x1f ]")
+    return ("(?i)" if ignore_case else "") + out.replace(r"\s", r"[\t-\r\x1c-\x1f ]").replace(WORD, r"\w")
 
 
 def unicode_regex(pattern: str, ignore_case: bool = False) -> str:

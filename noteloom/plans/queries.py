@@ -287,7 +287,14 @@ def cascade_dictionary(spark, sf_dir):
 def _disease_labels(notes: DataFrame) -> DataFrame:
     """Scores of all notes without a disease, by what notes with one have in common."""
     known = notes.filter("disease IS NOT NULL")
-    weights, learnt = labels.learnt_labels(known, known.select("record_id", F.col("disease").alias("label"), F.ascii("disease").alias("ord")))
+    of = known.select("record_id", F.col("disease").alias("label"), F.ascii("disease").alias("ord"))
+    weights, _ = labels.learnt_labels(known, of)
+    # learnt once: the texts are not taken apart again for each use
+    spark, folder = notes.sparkSession, fresh_folder(notes.sparkSession, "labels")
+    weights.write.parquet(f"{folder}/weights")
+    _, learnt = labels.learnt_labels(known, of, weights=spark.read.parquet(f"{folder}/weights"))
+    learnt.write.parquet(f"{folder}/centroids")
+    weights, learnt = (spark.read.parquet(f"{folder}/{name}") for name in ("weights", "centroids"))
     return labels.scored_notes(notes.filter("disease IS NULL"), weights, learnt)
 
 
