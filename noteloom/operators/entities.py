@@ -26,6 +26,8 @@ Gazetteer = dict[str, list[str]] | DataFrame
 
 # Places that the runs of one beginning are dealt to.
 SALTS = 8
+# First tokens of names that are looked for before runs are made, if there are no more.
+ROOTS = 256
 
 PLACEHOLDER = r"\[[A-Z]+_\d+\]"
 
@@ -116,11 +118,15 @@ def gazetteer_spans(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_tex
     if not longest:
         return notes.select(key, F.lit("").alias("text"), F.lit("").alias("label"), F.lit(0).alias("start"), F.lit(0).alias("end")).filter("false")
 
+    # few first tokens leave out most places of a text at once; many are left to the first join
+    roots = [r.root for r in names.select(F.expr("get(t, 0)").alias("root")).distinct().limit(ROOTS + 1).collect()]
+    begins = f"array_contains(array({', '.join(f'{r}L' for r in roots)}), get(gz_h, gz_i))" if len(roots) <= ROOTS else "true"
+
     bounds = f"array_append({S.running('transform(gz_t, gz_l -> length(gz_l))')}, length({col(text)}))"
     run = f"""named_struct('start', get(gz_b, gz_i), 't', slice(gz_h, gz_i + 1, {longest}),
       'ends', slice(gz_b, gz_i + 2, {longest}), 'word', slice(gz_w, gz_i + 1, {longest + 1}))"""
     free = "NOT (coalesce(get(gz_w, gz_i - 1), false) AND NOT get(gz_w, gz_i))"
-    runs = f"transform(filter(sequence(0, size(gz_t) - 1), gz_i -> {free}), gz_i -> {run})"
+    runs = f"transform(filter(sequence(0, size(gz_t) - 1), gz_i -> {begins} AND {free}), gz_i -> {run})"
     is_word = f"transform(gz_t, gz_x -> gz_x RLIKE {lit('^' + WORD)})"
     every = let("gz_b", bounds, let("gz_h", hashes.format("gz_t", "gz_y", "gz_y"), let("gz_w", is_word, runs)))
     all_runs = let("gz_t", all_matches(col(text), token), f"if(size(gz_t) = 0, NULL, {every})")

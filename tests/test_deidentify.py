@@ -215,3 +215,17 @@ def test_evaluation(spark):
     assert (row.tp, row.fn, row.fp) == (1, 2, 1) and row.precision == 0.5 and abs(row.recall - 1 / 3) < 1e-12
     empty = evaluate_spans(counts.filter("false")).first()
     assert (empty.precision, empty.recall, empty.f1) == (0.0, 0.0, 0.0)
+
+
+def test_gazetteer_with_few_and_many_first_tokens(spark, texts, monkeypatch):
+    """Names are the same whether their first tokens are looked for before the runs are made or by the join, and few make fewer runs."""
+    from noteloom.operators import entities
+
+    table = spark.createDataFrame([("Hale Clinic", "ORG"), ("Leeds", "LOC"), ("(North)", "LOC"), ("Hale", "ORG")], "name string, label string")
+    rows = texts("Seen at Hale Clinic in Leeds (North), not xLeeds", "Hale", "", None)
+    found = []
+    for roots in (0, 256):
+        monkeypatch.setattr(entities, "ROOTS", roots)
+        found.append(sorted((r.record_id, r.text, r.start, r.end) for r in gazetteer_spans(rows, table).collect()))
+    expected = [(0, "(North)", 29, 36), (0, "Hale", 8, 12), (0, "Hale Clinic", 8, 19), (0, "Leeds", 23, 28), (1, "Hale", 0, 4)]
+    assert found == [expected, expected]
