@@ -23,6 +23,8 @@ UNITS = {
 DEGREES = "°C"
 # Places that the rows of one key are dealt to when they meet a vocabulary of any size.
 PLACES = 16
+# Notes of one id that are made again at once.
+COPIES = 1 << 16
 
 STANDARD_COLUMNS = ["record_id", "pattern", "ord", "raw", "standard", "category", "value", "unit", "score", "method"]
 # A record without annotated diagnoses.
@@ -297,18 +299,20 @@ def standardise(
 
 def standardised_map(standardised: DataFrame, notes: DataFrame, key: str = "record_id") -> DataFrame:
     """``(key, standardised)``: one map per note, pattern to its items in order; the entry
-    ``diagnoses`` is always there."""
+    ``diagnoses`` is always there.
+
+    Notes and items meet in one grouping, whose lists are made before the shuffle: one row of a note moves, not one of each item, and
+    after the shuffle nothing is sorted but these.
+    """
     fields = ["ord", "raw", "standard", "category", "value", "unit", "score", "method"]
-    item = "struct<" + ",".join(f"{f}:{t}" for f, t in zip(fields, ["int", *["string"] * 3, "double", "string", "double", "string"])) + ">"
-    # one shuffle by the note serves both groupings and the join
-    lists = standardised.repartition(key).groupBy(key, "pattern").agg(F.sort_array(F.collect_list(F.struct(*fields).cast(item))).alias("items"))
-    maps = lists.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("pattern", "items"))).alias("m"))
-    none = F.create_map(F.lit("diagnoses"), F.array().cast(f"array<{item}>"))
-    joined = notes.select(key).join(maps, key, "left")
-    return joined.select(
-        key,
-        F.when(F.col("m").isNull(), none)
-        .when(F.map_contains_key("m", "diagnoses"), F.col("m"))
-        .otherwise(F.map_concat("m", none))
-        .alias("standardised"),
-    )
+    types = list(zip(fields, ["int", *["string"] * 3, "double", "string", "double", "string"], strict=True))
+    whole = f"struct<{','.join(f'{f}:{t}' for f, t in [('pattern', 'string'), *types])}>"
+    items = standardised.filter(F.col(key).isNotNull()).select(key, F.struct("pattern", *fields).cast(whole).alias("item"))
+    both = notes.select(key, F.lit(None).cast(whole).alias("item")).union(items)  # a row without an item is a note's
+    found = both.groupBy(key).agg(F.sort_array(F.collect_list("item")).alias("items"), F.count_if(F.col("item").isNull()).alias("n"))
+    own = f"transform(filter(items, i -> i.pattern = p), i -> named_struct({', '.join(f"'{f}', i.{f}" for f in fields)}))"
+    one = F.expr(f"map_from_entries(transform(array_union(items.pattern, array('diagnoses')), p -> struct(p, {own})))")
+    # an id that notes share, or that is missing, is counted, and its notes are made again some at a time
+    blocks = found.filter("n > 0").select(key, "items", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(COPIES))).alias("at"))
+    copies = F.array_repeat(one, F.least(F.col("n") - F.col("at"), F.lit(COPIES)).cast("int"))
+    return blocks.select(F.col(key).cast(notes.schema[key].dataType).alias(key), F.explode(copies).alias("standardised"))

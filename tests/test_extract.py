@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from noteloom.functions.patterns import CLINICAL_PATTERNS, IDENTIFIER_PATTERNS
 from noteloom.functions.text import all_matches
+from noteloom.operators import standardise as std
 from noteloom.operators.extract import extract_all, extract_patterns
-from noteloom.operators.standardise import parse_values, standardise_patterns, with_vital_value
+from noteloom.operators.standardise import parse_values, standardise_patterns, standardised_map, with_vital_value
 
 MIXED = [
     "HR 80 rr=20 Crt:2 BP 120.5 T=39.1 T 40 T: 38.25",
@@ -80,3 +81,32 @@ def test_result_does_not_depend_on_partitioning(notes):
     one = extract_patterns(notes.coalesce(1))
     many = extract_patterns(notes.repartition(13))
     assert one.exceptAll(many).count() == 0 == many.exceptAll(one).count()
+
+
+def test_map_of_odd_notes(spark):
+    """Lists are made before the one shuffle, and no join sorts them again; shared, missing and bare ids keep a row a note."""
+    rows = [(1, "weight", 1, "b"), (1, "weight", 0, "a"), (1, "age", 0, "c"), (2, "diagnoses", 0, "d"), (7, "age", 0, "lost"), (None, "age", 0, "lost")]
+    shape = "record_id long, pattern string, ord int, raw string"
+    blank = [F.lit(None).cast(t).alias(c) for c, t in (("standard", "string"), ("category", "string"), ("value", "double"), ("unit", "string"), ("score", "double"))]
+    items = spark.createDataFrame(rows, shape).select("*", *blank, F.lit("unmatched").alias("method"))
+    notes = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,), (None,)], "record_id int")
+    maps = standardised_map(items, notes)
+    assert maps.schema["record_id"].dataType.simpleString() == "int"
+    found = [(r.record_id, {p: [(i.ord, i.raw) for i in own] for p, own in r.standardised.items()}) for r in maps.collect()]
+    one, two, none = {"weight": [(0, "a"), (1, "b")], "age": [(0, "c")], "diagnoses": []}, {"diagnoses": [(0, "d")]}, {"diagnoses": []}
+    assert sorted(found, key=str) == sorted([(1, one), (2, two), (2, two), (3, none), (None, none), (None, none)], key=str)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, -1)
+    try:
+        plan = standardised_map(items, notes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(threshold)
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert plan.index("functions=[collect_list") < plan.index("Exchange") < plan.index("partial_collect_list")
+
+
+def test_map_of_many_notes_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(std, "COPIES", 3)
+    notes = spark.createDataFrame([(5,)] * 8, "record_id long")
+    items = std.standardise_patterns(spark.createDataFrame([(5, "weight", 0, "4kg")], "record_id long, pattern string, ord int, raw string"))
+    assert [r.standardised["weight"][0].value for r in standardised_map(items, notes).collect()] == [4.0] * 8
