@@ -6,9 +6,11 @@ its chunks, one after the other.  Distinct chunks of a batch are encoded, ids ar
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import pairwise
 
@@ -74,6 +76,18 @@ def parts(texts: pa.Array, size: int) -> Iterator[slice]:
     return (slice(start, end) for start, end in pairwise(cuts) if end > start)
 
 
+@contextmanager
+def unswept() -> Iterator[None]:
+    """Without Python's search for cycles: lists of words make none, and it would go through all of them again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class Remembered:
     """Ids of the texts met last, in two halves: when the newer one is full it becomes the older one, which is dropped.
 
@@ -86,8 +100,11 @@ class Remembered:
         self.older: dict[str, bytes] = {}
 
     def find(self, texts: list[str]) -> list[bytes | None]:
-        recent, older = self.recent.get, self.older.get
-        return [recent(t) or older(t) for t in texts]
+        found = list(map(self.recent.get, texts))
+        if self.older:
+            older = self.older.get
+            found = [x or older(t) for t, x in zip(texts, found, strict=True)]
+        return found
 
     def add(self, texts: list[str], ids: list[bytes]) -> None:
         kept = {t: x for t, x in zip(texts, ids, strict=True) if len(t) <= LONGEST}
@@ -172,17 +189,18 @@ class WordEncoder:
     def numbered(values: pa.Array, first: np.ndarray | None) -> tuple[list[str], np.ndarray]:
         """Distinct chunks, and the number of each chunk among them; chunks not ``first`` get a space before them."""
         coded = values.dictionary_encode()
-        codes, texts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, texts = coded.indices.to_numpy(), coded.dictionary
         if first is not None:
             codes = codes * 2 + ~first
             used = np.zeros(2 * len(texts), bool)
             used[codes] = True
             places = np.flatnonzero(used)
-            texts = [" " + texts[p >> 1] if p & 1 else texts[p >> 1] for p in places.tolist()]
+            before = pa.array(["", " "], texts.type).take(pa.array(places & 1))
+            texts = pc.binary_join_element_wise(before, texts.take(pa.array(places >> 1)), pa.scalar("", texts.type))
             renumbered = np.zeros(len(used), np.int64)
             renumbered[places] = np.arange(len(places))
             codes = renumbered[codes]
-        return texts, codes
+        return texts.to_numpy(zero_copy_only=False).tolist(), codes
 
     def _gathered(self, values: pa.Array, first: np.ndarray | None, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number for each text, from its chunks; chunks not ``first`` have a space before them."""
@@ -217,7 +235,9 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """Some texts after the other: which, their ids in one array, and the number of ids of each.  Null texts are empty."""
         for rows in parts(texts, self.part_bytes):
-            yield rows, *self.part(texts.slice(rows.start, rows.stop - rows.start).cast(pa.large_string()).fill_null(""))
+            with unswept():
+                ids, lengths = self.part(texts.slice(rows.start, rows.stop - rows.start).cast(pa.large_string()).fill_null(""))
+            yield rows, ids, lengths
 
 
 @lru_cache(maxsize=2)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
 import zlib
@@ -591,3 +592,29 @@ def test_pipeline_stages(spark, sf_dir, docs, empty):
     for given in (docs, empty):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, given, sf_dir).count() >= 0
+
+
+def test_words_are_encoded_without_sweeps(monkeypatch):
+    """The search for cycles is off while a part is encoded, and on again between parts and after a failure."""
+    encoder, seen, plain_part = WordEncoder(BYTES, True), [], WordEncoder.part
+
+    def part(self, texts):
+        seen.append(gc.isenabled())
+        return plain_part(self, texts)
+
+    monkeypatch.setattr(WordEncoder, "part", part)
+    assert gc.isenabled()
+    for _, ids, lengths in encoder.encode(pa.array(["some words, some more", None, ""])):
+        assert gc.isenabled() and lengths.tolist() == [len(ids), 0, 0]
+    assert seen == [False]
+    with pytest.raises(ZeroDivisionError), words.unswept():
+        1 / 0
+    assert gc.isenabled()
+
+
+def test_numbered_chunks_are_their_texts():
+    values = pa.array(["", "a", "", "a", "é\0b", ""], pa.large_string())
+    first = np.array([True, True, False, False, False, False])
+    texts, codes = WordEncoder.numbered(values, first)
+    assert [texts[c] for c in codes] == ["", "a", " ", " a", " é\0b", " "] and len(set(texts)) == len(texts)
+    assert WordEncoder.numbered(values.slice(0, 0), first[:0])[0] == []
