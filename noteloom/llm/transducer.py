@@ -14,7 +14,6 @@ import json
 import mmap
 import tempfile
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
@@ -26,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noteloom.llm.scratch import written
-from noteloom.llm.words import CUT_OFF, KNOWN, SPACES, Remembered, WordEncoder, byte_letters, sliced, take_ranges
+from noteloom.llm.words import CUT_OFF, KNOWN, PART_BYTES, SPACES, Remembered, WordEncoder, byte_letters, sliced, take_ranges
 
 LEXICON = 1 << 16  # frequent words in the automaton; the rest is merged
 LEVELS = 16  # steps of frequency in each doubling
 LONG = 64  # bytes; longer words are merged one by one
-COUNTED = 200_000  # words that a task counts before it hands them on
+COUNTED = 200_000  # words that a task counts before it hands them on, and chunks before it cuts them into words
 TOGETHER = 1 << 17  # ids decoded at once
 NEVER = np.int64(1) << 40
 
@@ -57,6 +56,7 @@ class Merges:
         order = np.argsort(keys)
         values = np.array(list(self.rank.values()), np.int64).reshape(-1, 2)
         self.keys, self.ranks, self.made = keys[order], values[order, 0], values[order, 1]
+        self.byte_pairs = self._look_up((self.byte_ids[:, None] * self.width + self.byte_ids).ravel())
         # bytes of every token, for decoding
         byte_of = {chr(c): b for b, c in letters.items()}
         spelt = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in vocabulary.items()}
@@ -102,16 +102,17 @@ class Merges:
 
         In each round every word merges its pair of lowest rank wherever it stands.  A merge makes no pair
         of lower rank than its own, so this is what merging one pair at a time, leftmost first, comes to.
+        Only pairs that a merge made are looked up again.
         """
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         short = np.flatnonzero(sizes <= LONG)
-        ids = self.byte_ids[np.frombuffer(b"".join(words[i] for i in short), np.uint8)]
-        of = np.repeat(short, sizes[short])
+        letters = np.frombuffer(b"".join(words[i] for i in short), np.uint8)
+        ids, of = self.byte_ids[letters], np.repeat(short, sizes[short])
+        pairs = letters * np.int64(256) + np.append(letters[1:], np.uint8(0))  # the last one is none
+        rank, made = (held[pairs] for held in self.byte_pairs)
+        rank[np.append(of[:-1] != of[1:], True)[: len(rank)]] = NEVER
         done_ids, done_of = [], []
         while len(ids):
-            rank, made = self._look_up(ids[:-1] * self.width + ids[1:])
-            rank[of[:-1] != of[1:]] = NEVER
-            rank, made = np.append(rank, NEVER), np.append(made, 0)
             first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
             least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(of))))
             over = least == NEVER
@@ -126,7 +127,13 @@ class Merges:
             ids[merge] = made[merge]
             keep = ~over
             keep[1:] &= ~merge[:-1]
-            ids, of = ids[keep], of[keep]
+            changed = merge.copy()
+            changed[:-1] |= merge[1:]
+            ids, of, rank, made, changed = (held[keep] for held in (ids, of, rank, made, changed))
+            rank[-1:] = NEVER
+            at = np.flatnonzero(changed[:-1])
+            rank[at], made[at] = self._look_up(ids[at] * self.width + ids[at + 1])
+            rank[at[of[at] != of[at + 1]]] = NEVER
         for i in np.flatnonzero(sizes > LONG).tolist():
             one = self.long_word(words[i])
             done_ids.append(np.array(one, np.int64))
@@ -306,9 +313,10 @@ class LexiconEncoder(WordEncoder):
         found = self.known.find(chunks)
         missing = [i for i, x in enumerate(found) if x is None]
         cut = {i: words_of(chunks[i], self.split, self.merges.special) for i in missing}
-        words = list({w: None for own in cut.values() for w in own if isinstance(w, str)})
+        whole = [chunks[i] for i, own in cut.items() if own == [chunks[i]]]  # were looked for as they are
+        words = list({w: None for i, own in cut.items() if own != [chunks[i]] for w in own if isinstance(w, str)})
         wanted = dict(zip(words, self.known.find(words), strict=True))
-        new = [w for w, ids in wanted.items() if not ids]
+        new = list(dict.fromkeys([*whole, *(w for w, ids in wanted.items() if not ids)]))
         made = self._distinct([w.encode("utf-8", "surrogatepass") for w in new])
         wanted.update(zip(new, made, strict=True))
         for i, own in cut.items():
@@ -319,6 +327,8 @@ class LexiconEncoder(WordEncoder):
 
 def words_of(chunk: str, split: regex.Pattern, special: dict[str, int]) -> list[str | int]:
     """The words of a chunk; special tokens as their ids."""
+    if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) and (chunk.isascii() or KNOWN.fullmatch(chunk)):
+        return [chunk]
     if "<" not in chunk or not split.search(chunk):
         return WordEncoder.cut(chunk) if KNOWN.fullmatch(chunk) else WORDS.findall(chunk)
     out, at = [], 0
@@ -340,20 +350,30 @@ def lexicon_encoder(path: str, block: bytes) -> LexiconEncoder:
 
 
 class _Counter(LexiconEncoder):
-    """Counts words in place of encoding them."""
+    """Counts words in place of encoding them: chunks first, so that a chunk met again is not cut again."""
+
+    part_bytes = PART_BYTES
 
     def __init__(self, path: str):
-        self.byte_level, self.seen = True, Counter()
+        self.byte_level, self.chunks, self.seen = True, {}, {}
         self.special = merge_table(path).special
         self.split = regex.compile("|".join(map(regex.escape, self.special)) or "(?!)")
 
     def _gathered(self, values: pa.Array, first: np.ndarray | None, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         texts, codes = self.numbered(values, first)
-        for chunk, n in zip(texts, np.bincount(codes, minlength=len(texts)).tolist(), strict=True):
+        held = self.chunks.get
+        self.chunks.update([(c, held(c, 0) + n) for c, n in zip(texts, np.bincount(codes, minlength=len(texts)).tolist(), strict=True)])
+        if len(self.chunks) > COUNTED:
+            self.cut_up()
+        return np.zeros(0, np.uint32), np.zeros(len(counts), np.int64)
+
+    def cut_up(self) -> None:
+        """Counts the words of the chunks held so far."""
+        chunks, self.chunks, held = self.chunks, {}, self.seen.get
+        for chunk, n in chunks.items():
             for word in words_of(chunk, self.split, self.special):
                 if isinstance(word, str):
-                    self.seen[word] += n
-        return np.zeros(0, np.uint32), np.zeros(len(counts), np.int64)
+                    self.seen[word] = held(word, 0) + n
 
 
 def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -363,7 +383,7 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
         counter = _Counter(vocabulary)
 
         def flush() -> pa.RecordBatch:
-            seen, counter.seen = counter.seen, Counter()
+            seen, counter.seen = counter.seen, {}
             columns = [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())]
             return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
@@ -371,6 +391,7 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
             for _ in counter.encode(batch.column(0)):
                 if len(counter.seen) > COUNTED:
                     yield flush()
+        counter.cut_up()
         yield flush()
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))

@@ -618,3 +618,39 @@ def test_numbered_chunks_are_their_texts():
     texts, codes = WordEncoder.numbered(values, first)
     assert [texts[c] for c in codes] == ["", "a", " ", " a", " é\0b", " "] and len(set(texts)) == len(texts)
     assert WordEncoder.numbered(values.slice(0, 0), first[:0])[0] == []
+
+
+def test_merges_look_up_changed_pairs_only(monkeypatch):
+    merges, looked_up, plain_look_up = transducer.Merges(BYTES), [], transducer.Merges._look_up
+
+    def look_up(self, pairs):
+        looked_up.append(len(pairs))
+        return plain_look_up(self, pairs)
+
+    monkeypatch.setattr(transducer.Merges, "_look_up", look_up)
+    rng = random.Random(3)
+    odd = [bytes(rng.choices(b"aab e\xc3\xa9th", k=rng.randint(1, 70))) for _ in range(2000)] + [b"a" * n for n in range(1, 80)] + [b" the"]
+    ids, sizes = merges.words(odd)
+    ends = np.cumsum(sizes)
+    assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes, strict=True)] == [merges.long_word(w) for w in odd]
+    merged = sum(len(w) for w in odd) - len(ids)
+    assert sum(looked_up) <= 2 * merged  # two neighbours of each merge; those of bytes are in a table
+    assert [x.tolist() for x in merges.words([])] == [[], []]
+
+
+def test_counted_chunks_are_cut_once(monkeypatch):
+    cut, plain_cut = Counter(), transducer.words_of
+
+    def words_of(chunk, split, special):
+        cut[chunk] += 1
+        return plain_cut(chunk, split, special)
+
+    monkeypatch.setattr(transducer, "words_of", words_of)
+    monkeypatch.setattr(transducer._Counter, "part_bytes", 16)
+    counter = transducer._Counter(BYTES)
+    texts = ["now, then <|endoftext|>now", "now, then", "äpfel now, 12"] * 5
+    for _ in counter.encode(pa.array(texts)):
+        pass
+    counter.cut_up()
+    assert set(cut.values()) == {1}
+    assert counter.seen == {"now": 15, ",": 15, " then": 10, " ": 5, "äpfel": 5, " now": 5, " 12": 5}
