@@ -525,6 +525,32 @@ def test_repeated_queries_are_asked_with_each_of_their_vectors(spark, ship):
         assert sorted(map(tuple, got)) == [(20, n, i, -s) for n, (s, i) in enumerate(found[:k], 1)]
 
 
+def test_top_k_copies_no_candidates(spark, ship, monkeypatch):
+    """Tasks read the blocks of candidates from files: none is joined to queries, however many blocks there are."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "UNIT", 6, raising=False)
+    rng = random.Random(5)
+    kinds = [[0, 0, 0, 1, -2, 9], [0] * 9 + [7], [5000, -9000, 1], [1 << 25, -3, 0], [1 << 40, -(1 << 50), 1]]
+    vectors = [(i % 90, [rng.choice(kinds[i % 5]) for _ in range(rng.randint(0, 40))]) for i in range(120)]
+    whole = spark.createDataFrame(vectors, "vec_id bigint, weights array<bigint>").repartition(5)
+    got = topk.top_k(whole.filter("vec_id % 4 = 0"), whole, 6, 10)
+    assert not any("candidate-blocks" in f for f in got.inputFiles())
+    wrapped = lambda x: (x + (1 << 63)) % (1 << 64) - (1 << 63)
+    expected = []
+    for q in range(0, 90, 4):
+        found = [[(-wrapped(sum(a * b for a, b in zip(x, y, strict=False))), i) for i, y in vectors if i != q] for j, x in vectors if j == q]
+        best = sorted(s for own in found for s in sorted(own)[:6])[:6]
+        expected += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_components_beyond_whole_numbers(spark, ship):
+    vectors = [(1, [1e300, -1e300, 0.5]), (2, [1.7e308]), (3, [-0.001]), (4, [None]), (5, []), (None, [1.0]), (6, None)]
+    got = topk.quantised(spark.createDataFrame(vectors, "vec_id int, embedding array<double>")).collect()
+    top = (1 << 63) - 1
+    assert sorted((r.vec_id, r.weights) for r in got) == [(1, [top, -top - 1, 32]), (2, [top]), (3, [-1]), (5, [])]
+
+
 # --- preferences -----------------------------------------------------------------------------
 
 
