@@ -11,6 +11,7 @@ from noteloom.functions.text import all_matches, gaps, let, lits
 
 SPAN = "struct<start:int,neg_len:int,rank:int,stop:int>"
 NO_SPANS = f"cast(array() AS array<{SPAN}>)"
+ENTITY = "struct<text:string,type:string,start:int,end:int,placeholder:string>"
 # Items that are folded at once: appending to a list copies it, so lists are kept short and joined.
 BLOCK = 128
 
@@ -116,6 +117,9 @@ def replace_spans(text: str, entities: str) -> str:
 def redaction(text: str, spans: str, types: list[str], by_rank: bool) -> str:
     """``struct<redacted_text, entities>`` for disjoint ``spans`` of ``text``."""
     replaced = f"named_struct('redacted_text', {replace_spans(text, 're_e')}, 'entities', re_e)"
-    return let(
-        "re_o", in_numbering_order(text, spans, types, by_rank), let("re_e", with_placeholders("re_o"), replaced)
+    whole = let(
+        "re_o", in_numbering_order(text, "re_s", types, by_rank), let("re_e", with_placeholders("re_o"), replaced)
     )
+    # most texts have none, and need no list but the empty one
+    none = f"named_struct('redacted_text', {text}, 'entities', cast(array() AS array<{ENTITY}>))"
+    return let("re_s", spans, f"if(size(re_s) = 0, {none}, {whole})")

@@ -26,8 +26,9 @@ Gazetteer = dict[str, list[str]] | DataFrame
 
 # Places that the runs of one beginning are dealt to.
 SALTS = 8
-# First tokens of names that are looked for before runs are made, if there are no more.
+# First tokens of names that are looked for by a pattern, if there are no more of them and no more characters in them.
 ROOTS = 256
+ROOT_CHARACTERS = 10_000
 
 PLACEHOLDER = r"\[[A-Z]+_\d+\]"
 
@@ -84,75 +85,82 @@ def tag_entities(notes: DataFrame, gazetteer: Gazetteer | None = None, text: str
     return long.filter("s IS NOT NULL").select(key, "s.text", "s.label", "s.start", "s.end")
 
 
-def _chain(tokens: str, n: str, seed: int) -> str:
-    """A hash of the first ``n`` of an array of hashes, each taken in after the other."""
-    return f"aggregate(slice({tokens}, 1, {n}), {seed}L, (ch_a, ch_x) -> xxhash64(ch_a, ch_x))"
+def _by_first_token(names: DataFrame, token: str) -> DataFrame:
+    """``(root, sizes, most, longest, word)`` of each first token: the numbers of tokens of its names, the largest, the most characters,
+    and whether it is a word."""
+    parts = names.select(F.expr(all_matches("name", token)).alias("t"), F.length("name").alias("chars"))
+    each = parts.groupBy(F.expr("get(t, 0)").alias("root"), F.size("t").alias("n")).agg(F.max("chars").alias("chars"))
+    by_root = each.groupBy("root").agg(F.collect_set("n").alias("sizes"), F.max("n").alias("most"), F.max("chars").alias("longest"))
+    return by_root.withColumn("word", F.expr(f"root RLIKE {lit('^' + WORD)}"))
 
 
-def _trie(names: DataFrame, width: int) -> DataFrame:
-    """The beginnings of ``width`` tokens: ``(prefix, sizes, longer)``.
+def _pieces(text: str, roots: dict[str, bool]) -> str:
+    """``text`` cut before each of ``roots`` that is a token with no word character before it; the first piece may begin with another.
 
-    ``sizes`` are those of the names with such a beginning and fewer than twice as many tokens; ``longer`` says that there are
-    names with more.  Each comes once for every salt.
+    ``roots`` says of each whether it is a word.
     """
-    own = names.filter(F.col("n") >= width).groupBy(F.expr(_chain("t", str(width), 0)).alias("prefix"))
-    nodes = own.agg(F.collect_set(F.when(F.col("n") < 2 * width, F.col("n"))).alias("sizes"), (F.max("n") >= 2 * width).alias("longer"))
-    return nodes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    heads: dict[str, list[str]] = {}
+    for root in sorted(roots):
+        heads.setdefault(root[0], []).append(re.escape(root[1:]))
+
+    def cut(word: str) -> str:
+        # after a single character that is no word a name goes on in any way
+        ends = {root[0]: f"(?!{word})" if is_word else "" for root, is_word in roots.items()}
+        any_root = "|".join(f"{re.escape(head)}(?:{'|'.join(rest)}){ends[head]}" for head, rest in heads.items())
+        return lit(rf"(?s).+?(?=(?<!{word})(?:{any_root})|\z)")
+
+    found = f"if(length({text}) = octet_length({text}), regexp_extract_all({text}, {cut(chr(92) + 'w')}, 0), regexp_extract_all({text}, {cut(WORD)}, 0))"
+    return f"coalesce({found}, cast(array() AS array<string>))"
 
 
 def gazetteer_spans(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_text", key: str = "record_id") -> DataFrame:
     """Every place where a name of a gazetteer table ``(name, label)`` stands, overlapping ones too.
 
     A text is a row of tokens: words, and single characters of any other kind.  A name is found where its tokens follow each
-    other, unless a word character stands right before or after it.  The names are a trie of relations: from each token, the run
-    of twice as many tokens goes on only if the shorter one begins a name, with the hash of the run as the key of an equi-join,
-    which Spark broadcasts or shuffles by size.  Runs are numbers; no text goes with them.  Runs and
-    names that are equal by two 64-bit hashes are taken to be the same.
+    other, unless a word character stands right before or after it.  Only where a first token of names stands as many tokens are
+    put together as its names have: few first tokens are looked for by a pattern in each row, more by an equi-join.  What is put
+    together meets the names by one equi-join on its hashes, which Spark broadcasts or shuffles by size; no text goes with
+    it.  Runs and names that are equal by two 64-bit hashes are taken to be the same.
     """
     token = f"{WORD}+|(?s:.)"
-    hashes = "transform({}, {} -> xxhash64({}))"
-    names = gazetteer.select("name", "label").filter("name IS NOT NULL AND label IS NOT NULL AND name <> ''").distinct()
-    names = names.select("name", "label", F.expr(hashes.format(all_matches("name", token), "tk_x", "tk_x")).alias("t")).withColumn("n", F.size("t"))
-    # the one number that the plan depends on
-    longest = names.agg(F.max("n")).first()[0] or 0
-    if not longest:
+    names = gazetteer.select("name", "label").filter("name IS NOT NULL AND label IS NOT NULL AND name <> ''")
+    by_root = _by_first_token(names, token)
+    roots = by_root.limit(ROOTS + 1).collect()
+    few = len(roots) <= ROOTS and sum(len(r.root) for r in roots) <= ROOT_CHARACTERS
+    # the numbers that the plan depends on
+    most, longest = (max((r[x] for r in roots), default=0) for x in (2, 3)) if few else by_root.agg(F.max("most"), F.max("longest")).first()
+    if not most:
         return notes.select(key, F.lit("").alias("text"), F.lit("").alias("label"), F.lit(0).alias("start"), F.lit(0).alias("end")).filter("false")
 
-    # few first tokens leave out most places of a text at once; many are left to the first join
-    roots = [r.root for r in names.select(F.expr("get(t, 0)").alias("root")).distinct().limit(ROOTS + 1).collect()]
-    begins = f"array_contains(array({', '.join(f'{r}L' for r in roots)}), get(gz_h, gz_i))" if len(roots) <= ROOTS else "true"
-
-    bounds = f"array_append({S.running('transform(gz_t, gz_l -> length(gz_l))')}, length({col(text)}))"
-    run = f"""named_struct('start', get(gz_b, gz_i), 't', slice(gz_h, gz_i + 1, {longest}),
-      'ends', slice(gz_b, gz_i + 2, {longest}), 'word', slice(gz_w, gz_i + 1, {longest + 1}))"""
-    free = "NOT (coalesce(get(gz_w, gz_i - 1), false) AND NOT get(gz_w, gz_i))"
-    runs = f"transform(filter(sequence(0, size(gz_t) - 1), gz_i -> {begins} AND {free}), gz_i -> {run})"
-    is_word = f"transform(gz_t, gz_x -> gz_x RLIKE {lit('^' + WORD)})"
-    every = let("gz_b", bounds, let("gz_h", hashes.format("gz_t", "gz_y", "gz_y"), let("gz_w", is_word, runs)))
-    all_runs = let("gz_t", all_matches(col(text), token), f"if(size(gz_t) = 0, NULL, {every})")
-
-    rows = notes.select(key, F.explode(F.expr(all_runs)).alias("r")).select(key, "r.*")
-    # very frequent beginnings are in several places
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64(key, "start"), F.lit(SALTS)).cast("int"))
-    width, found = 1, []
-    while width <= longest:
-        go = "true" if width == 1 else f"_longer AND size(t) >= {width}"
-        # runs that do not go on have keys of their own, not one for all
-        prefix = F.expr(f"if({go}, {_chain('t', str(width), 0)}, xxhash64({col(key)}, start, 'no name'))")
-        nodes = _trie(names, width).withColumnsRenamed({"sizes": f"_sizes{width}", "longer": "_next"})
-        keyed = rows.withColumn("prefix", prefix)
-        joined = keyed.join(nodes, ["prefix", "salt"], "inner" if width == 1 else "left")
-        found.append(f"_sizes{width}")
-        rows = joined.withColumn("_longer", F.coalesce("_next", F.lit(False))).drop("_next", "prefix")
-        width *= 2
-    sizes = "concat(" + ", ".join(f"coalesce({c}, cast(array() AS array<int>))" for c in found) + ")"
-    ended = "NOT (coalesce(get(word, n), false) AND NOT get(word, n - 1))"
-    hits = rows.select("*", F.explode(F.expr(f"filter({sizes}, sz -> sz <= size(t))")).alias("n")).filter(ended)
-    ids = [F.expr(_chain("t", "n", seed)).alias(f"h{seed}") for seed in (0, 1)]
-    whole = hits.select(key, "start", F.expr("get(ends, n - 1)").alias("end"), "n", "salt", *ids)
-    known = names.select("name", "label", "n", *ids).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    same = whole.join(known, ["h0", "h1", "n", "salt"])
-    return same.select(key, F.col("name").alias("text"), "label", "start", "end")
+    # a name and the character after it lie in the first characters of as many pieces; no piece is empty
+    tail = f"substring(array_join(slice(gz_c, gz_i + 1, {most + 1}), ''), 1, {longest + 1})"
+    run = f"named_struct('start', get(gz_b, gz_i), 'tail', {tail})"
+    places = "sequence(0, size(gz_t) - 1)"
+    if not few:
+        word = f"RLIKE {lit('^' + WORD)}"
+        places = f"filter({places}, gz_j -> NOT (coalesce(get(gz_t, gz_j - 1) {word}, false) AND NOT get(gz_t, gz_j) {word}))"
+    cut = f"transform(gz_t, gz_l -> substring(gz_l, 1, {longest + 1}))"
+    runs = let("gz_b", S.running("transform(gz_t, gz_l -> length(gz_l))"), let("gz_c", cut, f"transform({places}, gz_i -> {run})"))
+    every = let("gz_t", _pieces(col(text), {r.root: r.word for r in roots}) if few else all_matches(col(text), token), f"if(size(gz_t) = 0, NULL, {runs})")
+    # the outer form keeps the optimizer from evaluating the array a second time in a filter
+    rows = notes.select(key, F.explode_outer(F.expr(every)).alias("r")).filter("r IS NOT NULL")
+    # very frequent first tokens and names are in several places
+    salt = F.pmod(F.xxhash64(key, "r.start"), F.lit(SALTS)).cast("int").alias("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    rows = rows.select(key, "r.start", salt, F.expr(all_matches("r.tail", token)).alias("t"))
+    if few:
+        known = f"map_from_arrays(array({lits(r.root for r in roots)}), array({', '.join(f'array({lits(sorted(r.sizes))})' for r in roots)}))"
+        rows = rows.withColumn("sizes", F.expr(f"try_element_at({known}, get(t, 0))"))
+    else:
+        rows = rows.withColumn("root", F.expr("get(t, 0)")).join(by_root.select("root", "sizes").withColumn("salt", salts), ["root", "salt"])
+    hashes = "xxhash64({0}) AS h0", "xxhash64(1L, {0}) AS h1"
+    ended = f"sz <= size(t) AND NOT coalesce(get(t, sz) RLIKE {lit('^' + WORD)}, false)"
+    together = f"transform(filter(sizes, sz -> {ended}), ss -> array_join(slice(t, 1, ss), ''))"
+    whole = rows.select(key, "start", "salt", F.explode_outer(F.expr(together)).alias("s")).filter("s IS NOT NULL")
+    whole = whole.select(key, "start", "salt", *[F.expr(h.format("s")) for h in hashes])
+    known = names.distinct().select("name", "label", F.length("name").alias("n"), *[F.expr(h.format("name")) for h in hashes]).withColumn("salt", salts)
+    same = whole.join(known, ["h0", "h1", "salt"])
+    return same.select(key, F.col("name").alias("text"), "label", "start", F.expr("start + n").alias("end"))
 
 
 def with_gazetteer(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_text", key: str = "record_id") -> DataFrame:
@@ -161,12 +169,12 @@ def with_gazetteer(notes: DataFrame, gazetteer: DataFrame, text: str = "raw_text
     As with lists, a name does not start inside another of its label.  ``key`` is unique in ``notes``.
     """
     found = gazetteer_spans(notes, gazetteer, text, key)
-    # a name per place and label: nothing else of a note's text is collected
-    each = found.groupBy(key, "label").agg(F.collect_list(F.struct("start", "end")).alias("all"))
-    kept = S.drop_overlapping(f"transform(`all`, wg_s -> {S.span('wg_s.start', 'wg_s.`end`', '0')})")
-    named = f"transform({kept}, wg_x -> named_struct('label', label, 'start', wg_x.start, 'end', wg_x.stop))"
-    lists = each.groupBy(F.col(key).alias("_key")).agg(F.flatten(F.collect_list(F.expr(named))).alias("_given"))
-    joined = notes.join(lists, F.col(key) == F.col("_key"), "left").drop("_key")
+    # places and labels: nothing else of a note's text is collected
+    all_found = found.groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("label", "start", "end")).alias("all"))
+    own = f"transform(filter(`all`, wg_s -> wg_s.label = wg_l), wg_s -> {S.span('wg_s.start', 'wg_s.`end`', '0')})"
+    named = f"transform({S.drop_overlapping(own)}, wg_x -> named_struct('label', wg_l, 'start', wg_x.start, 'end', wg_x.stop))"
+    by_label = f"flatten(transform(array_distinct(transform(`all`, wg_y -> wg_y.label)), wg_l -> {named}))"
+    joined = notes.join(all_found.select("_key", F.expr(by_label).alias("_given")), F.col(key) == F.col("_key"), "left").drop("_key")
     none = "cast(array() AS array<struct<label:string,start:int,end:int>>)"
     return joined.withColumn("_given", F.coalesce("_given", F.expr(none)))
 
@@ -194,7 +202,7 @@ def is_name_like(
     lower_case: bool = True,
 ) -> str:
     """The filters against false names; each switch turns one of them off."""
-    clean = strip(text)
+    clean = "nl_c"  # trimmed once for all the tests
     tests = [f"{clean} NOT IN ({lits(STOPLIST if stoplist is None else stoplist)})"]
     if short_capitals:
         tests.append(f"NOT ({is_upper(clean)} AND length({clean}) <= 5)")
@@ -204,7 +212,7 @@ def is_name_like(
         tests.append(f"NOT {has_digit(clean)}")
     if lower_case:
         tests.append(f"NOT ({is_lower(clean)} AND {label} IN ('PERSON', 'ORG'))")
-    return "(" + " AND ".join(tests) + ")"
+    return let(clean, strip(text), "(" + " AND ".join(tests) + ")")
 
 
 def redacted_type(label: str) -> str:

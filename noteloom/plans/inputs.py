@@ -177,7 +177,9 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _from_tables(spark, sf_dir, NAMED_NOTES).select("record_id", "raw_text")
+    """``(record_id, raw_text)``, dealt by record: the joins leave the notes in as few parts as there are customers in them."""
+    parts = max(spark.sparkContext.defaultParallelism, -(-table(spark, sf_dir, "events").count() // TASK_ROWS))
+    return _from_tables(spark, sf_dir, NAMED_NOTES).select("record_id", "raw_text").repartition(parts, "record_id")
 
 
 def spans_of(notes: DataFrame) -> DataFrame:

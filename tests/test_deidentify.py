@@ -229,3 +229,58 @@ def test_gazetteer_with_few_and_many_first_tokens(spark, texts, monkeypatch):
         found.append(sorted((r.record_id, r.text, r.start, r.end) for r in gazetteer_spans(rows, table).collect()))
     expected = [(0, "(North)", 29, 36), (0, "Hale", 8, 12), (0, "Hale Clinic", 8, 19), (0, "Leeds", 23, 28), (1, "Hale", 0, 4)]
     assert found == [expected, expected]
+
+
+@pytest.mark.parametrize("roots", [0, 256])
+def test_gazetteer_against_brute_force(spark, texts, monkeypatch, roots):
+    """Names of any characters, those with a meaning in patterns too, by few and by many first tokens."""
+    from noteloom.operators import entities
+
+    monkeypatch.setattr(entities, "ROOTS", roots)
+    rng = random.Random(13)
+    pieces = ["\\", "s", "d", "b", "]", "[", "^", "-", "$", "|", "'", "\n", " ", "Ab", "é", "日", "😀", "_", "1", "."]
+    make = lambda n: "".join(rng.choices(pieces, k=rng.randint(1, n)))
+    names = sorted({make(4) for _ in range(60)} | {"Ab " * 40 + "Ab"})
+    rows = texts(*[make(40) for _ in range(120)], "x " + "Ab " * 45 + "Ab.", "Ab-Ab", "", None)
+    word = lambda c: c.isalnum() or c == "_"
+    expected = []
+    for r in rows.collect():
+        text = r.raw_text or ""
+        for name in names:
+            for i in (i for i in range(len(text)) if text.startswith(name, i)):
+                before, after = text[i - 1 : i] if i else "", text[i + len(name) : i + len(name) + 1]
+                if not (before and word(before)) and not (after and word(after)):
+                    expected.append((r.record_id, name, "ORG", i, i + len(name)))
+    assert len(expected) > 100
+    got = gazetteer_spans(rows, spark.createDataFrame([(n, "ORG") for n in names] * 2, "name string, label string"))
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_long_gazetteer_names_take_one_join(spark, texts):
+    """What is put together meets the names once, however many tokens they have."""
+    table = spark.createDataFrame([(" ".join(["Hale"] * 20), "ORG"), ("Leeds", "LOC")], "name string, label string")
+    plan = gazetteer_spans(texts("Hale " * 25 + "of Leeds"), table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and plan.count("Join") == 1
+
+
+def test_named_notes_are_dealt_by_record(spark, tmp_path):
+    """Joins by few customers don't leave the notes in few parts."""
+    from noteloom.plans import inputs
+
+    spark.range(400).selectExpr("id AS event_id", "id AS user_id").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(1, "Customer#1"), (1, "Customer#1b")], "c_custkey bigint, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, "red ring")], "p_partkey bigint, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(3000).selectExpr("id * 150 + 1 AS event_id", "id AS user_id").write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        notes = inputs.named_notes(spark, str(tmp_path))
+        sizes = [r[1] for r in notes.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sum(sizes) == 2 * 3003 and len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < sum(sizes) / 2
+
+
+def test_texts_without_identifiers_stay(texts):
+    rows = redact_structured(texts("nothing", "", None)).sort("record_id").collect()
+    assert [(r.redacted_text, r.entities) for r in rows] == [("nothing", []), ("", []), (None, [])]
